@@ -41,7 +41,7 @@ def split_fields(line: Column | str, sep: str = "\t") -> list[Column]:
 
 def typed_line_columns(fields_prefix: str = "") -> list[Column]:
     """Typed columns derived from the string fields: event code, event time, validity, reason."""
-    code = F.try_cast(F.col(f"{fields_prefix}eventType"), "int")
+    code = F.col(f"{fields_prefix}eventType").try_cast("int")
     ts = parse_iso_time(F.col(f"{fields_prefix}time"))
     reason = (
         F.when(F.col(f"{fields_prefix}time").isNull(), F.lit("short line"))
@@ -50,7 +50,7 @@ def typed_line_columns(fields_prefix: str = "") -> list[Column]:
     )
     return [
         code.alias("event_code"),
-        ts.alias("event_ts"),
+        ts.cast("timestamp_ntz").alias("event_ts"),
         reason.isNull().alias("is_valid"),
         reason.alias("reason"),
     ]

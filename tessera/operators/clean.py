@@ -29,8 +29,8 @@ def ip_filter(df: DataFrame, ip_col: str = "ip") -> DataFrame:
 
 
 def with_event_time(df: DataFrame, time_col: str = "time", out: str = "event_ts") -> DataFrame:
-    """Add the parsed Chinese-format time as ``event_ts`` (TIM-1)."""
-    return df.withColumn(out, parse_cn_time(time_col))
+    """Add the parsed Chinese-format time as ``event_ts`` TIMESTAMP_NTZ (TIM-1)."""
+    return df.withColumn(out, parse_cn_time(time_col).cast("timestamp_ntz"))
 
 
 def clean_gamelog(df: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def event_decode(df: DataFrame, code_col: str, out: str = "event_label") -> Data
     """
     spark = df.sparkSession
     dim = F.broadcast(event_type_frame(spark))
-    code = F.try_cast(F.col(code_col), "int")
+    code = F.col(code_col).try_cast("int")
     joined = df.join(dim, code == dim["code"], "left")
     return joined.select(*[df[c] for c in df.columns], dim["label"].alias(out))
 

@@ -61,7 +61,7 @@ def gamelog_from_events(events: DataFrame) -> DataFrame:
 
 
 def lines_from_events(events: DataFrame) -> DataFrame:
-    """``(event_id, value)`` where value is a 13-field tab line.
+    """``(event_id, ts, day, value)`` where value is a 13-field tab line.
 
     idx 3 = 11 for clicks else 10, idx 7 = user, idx 8 = healing item when
     k < 50, idx 12 = ISO time. Broken on purpose: value < 2 -> 11 fields only;
@@ -81,4 +81,4 @@ def lines_from_events(events: DataFrame) -> DataFrame:
             F.lit("325"), user, item, F.lit("96609"), F.lit("1")]
     full = head + [F.lit("装备回收"), time]
     line = F.when(v < 2.0, F.concat_ws("\t", *head)).otherwise(F.concat_ws("\t", *full))
-    return events.select(F.col("event_id"), F.to_date("ts").alias("day"), line.alias("value"))
+    return events.select(F.col("event_id"), F.col("ts"), F.to_date("ts").alias("day"), line.alias("value"))

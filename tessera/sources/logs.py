@@ -61,4 +61,4 @@ def lines_to_fields(lines: DataFrame, value_col: str = "value") -> DataFrame:
 def flagged_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """All flagged players: ``userName`` and ``avgTime`` text -> DOUBLE (SRC-5)."""
     df = spark.read.schema(FLAGGED).parquet(path)
-    return df.select(F.col("userName"), F.try_cast(F.trim(F.col("avgTime")), "double").alias("avgTime"))
+    return df.select(F.col("userName"), F.trim(F.col("avgTime")).try_cast("double").alias("avgTime"))
