@@ -76,3 +76,19 @@ def in_days(ts: Column, base: DateLike, first: int, last: int, dtype: T.DataType
 def day_offset(ts: Column, base: DateLike) -> Column:
     """Whole days between the base date and the day of ``ts`` (TIM-6)."""
     return F.datediff(F.to_date(ts), F.lit(as_date(base)))
+
+
+def day_range(df, ts_col: str, base: DateLike, first: int, last: int, date_col: str | None = None) -> Column:
+    """``in_days`` on ``ts_col``, plus the same range on a DATE partition column when the log has one.
+
+    The timestamp bound reaches the parquet row groups (``PushedFilters``); the
+    partition bound lets Spark skip whole ``event_date=...`` folders
+    (``PartitionFilters``), so a daily report over years of logs lists and
+    reads only its 8 days.
+    """
+    cond = in_days(F.col(ts_col), base, first, last, df.schema[ts_col].dataType)
+    if date_col and date_col in df.columns and isinstance(df.schema[date_col].dataType, T.DateType):
+        lo = as_date(base) + dt.timedelta(days=first)
+        hi = as_date(base) + dt.timedelta(days=last)
+        cond = cond & (F.col(date_col) >= F.lit(lo)) & (F.col(date_col) <= F.lit(hi))
+    return cond

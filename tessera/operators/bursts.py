@@ -27,6 +27,24 @@ def burst_stats(ts_col: str) -> list[Column]:
     return [F.count(ms).alias("cnt"), F.max(ms).alias("maxTime"), F.min(ms).alias("minTime")]
 
 
+def merge_stats(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Combine two burst-stat tables keyed by ``keys`` (the UDAF's merge step, FN-9).
+
+    Counts add, ``maxTime`` / ``minTime`` take ``greatest`` / ``least``; a key
+    present on one side only keeps its stats. Lets a stored rollup absorb a
+    new slice without rescanning the old events.
+    """
+    l = left.select(*keys, *[F.col(c).alias(f"l_{c}") for c in ("cnt", "maxTime", "minTime")])
+    r = right.select(*keys, *[F.col(c).alias(f"r_{c}") for c in ("cnt", "maxTime", "minTime")])
+    j = l.join(r, keys, "full_outer")
+    return j.select(
+        *keys,
+        (F.coalesce(F.col("l_cnt"), F.lit(0)) + F.coalesce(F.col("r_cnt"), F.lit(0))).alias("cnt"),
+        F.greatest("l_maxTime", "r_maxTime").alias("maxTime"),
+        F.least("l_minTime", "r_minTime").alias("minTime"),
+    )
+
+
 def avg_gap(cnt: str = "cnt", max_t: str = "maxTime", min_t: str = "minTime") -> Column:
     """(last - first) / count in ms, rounded to DECIMAL(18,4) HALF_UP, exposed as DOUBLE (M12/M13).
 

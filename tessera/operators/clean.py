@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import typed_line_columns, valid_ip
-from tessera.functions.time import in_days, parse_cn_time
+from tessera.functions.time import day_range, parse_cn_time
 from tessera.operators.roles import Roles
 from tessera.schemas import HEALING_ITEM, ITEM_USE_EVENT, event_type_frame
 from tessera.sources.logs import GAMELOG_COLUMNS
@@ -92,5 +92,4 @@ def event_decode(df: DataFrame, code_col: str, out: str = "event_label") -> Data
 
 def day_slice(df: DataFrame, roles: Roles, day, first: int = 0, last: int = 0) -> DataFrame:
     """Rows with ``ts`` in ``[day + first, day + last + 1)`` days (PRJ-11)."""
-    dtype = df.schema[roles.ts].dataType
-    return df.where(in_days(F.col(roles.ts), day, first, last, dtype))
+    return df.where(day_range(df, roles.ts, day, first, last, roles.date))

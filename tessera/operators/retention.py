@@ -23,18 +23,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import percent_text, ratio
-from tessera.functions.time import as_date, day_offset, in_days
+from tessera.functions.time import as_date, day_offset, day_range
 from tessera.operators.roles import Roles
-from tessera.operators.users import active_users, new_users, retained_semi
+from tessera.operators.users import active_users, login_offsets, new_users
 from tessera.schemas import RATE_COLUMNS, RETENTION_DAYS
 
 
 def user_flags(log: DataFrame, roles: Roles, base, days: int = RETENTION_DAYS) -> DataFrame:
     """One row per user seen in ``[base, base + days]``: ``is_new``, ``is_active``, ``d1``..``d{days}``."""
-    dtype = log.schema[roles.ts].dataType
     ts, ev = F.col(roles.ts), F.col(roles.event)
     bounded = log.where(
-        F.col(roles.user).isNotNull() & ev.isin(list(roles.active)) & in_days(ts, base, 0, days, dtype)
+        F.col(roles.user).isNotNull() & ev.isin(list(roles.active)) & day_range(log, roles.ts, base, 0, days, roles.date)
     )
     off = day_offset(ts, base)
     is_reg, is_login = ev.isin(list(roles.register)), ev.isin(list(roles.login))
@@ -83,6 +82,24 @@ def daily_report(log: DataFrame, roles: Roles, base, days: int = RETENTION_DAYS)
     return report_row(retention_counts(log, roles, base, days), base, days)
 
 
+def retention_counts_distinct(log: DataFrame, roles: Roles, base, days: int = RETENTION_DAYS) -> DataFrame:
+    """The reference's merged form of the day-n counts: a join of new users with login days,
+    then ``count(DISTINCT CASE WHEN day = n THEN user END)`` per n (AG-5, PRJ-12, JN-3).
+
+    Both sides are distinct before the join (at most ``days`` rows per user),
+    and the login side is bounded to ``[base + 1, base + days]`` (the
+    reference left it unbounded). Catalyst still expands each row ``days``
+    times for the distinct counts, which is why ``retention_counts`` uses
+    per-user flags instead.
+    """
+    new = new_users(log, roles, base)
+    pairs = new.join(login_offsets(log, roles, base, days), roles.user, "inner")
+    return pairs.agg(
+        *[F.count_distinct(F.when(F.col("day_n") == n, F.col(roles.user))).alias(f"d{n}_retained")
+          for n in range(1, days + 1)]
+    )
+
+
 def metrics_union(log: DataFrame, roles: Roles, base, days: int = RETENTION_DAYS) -> DataFrame:
     """The merged-SQL shape: padded metric rows, UNION ALL, max per column (SET-1, AG-6, FN-10).
 
@@ -91,11 +108,7 @@ def metrics_union(log: DataFrame, roles: Roles, base, days: int = RETENTION_DAYS
     """
     new_cnt = new_users(log, roles, base).agg(F.count(F.lit(1)).alias("newAddUserCnt"))
     act_cnt = active_users(log, roles, base).agg(F.count(F.lit(1)).alias("activeUserCnt"))
-    per_day = retained_semi(log, roles, base, days)
-    wide = per_day.agg(
-        *[F.max(F.when(F.col("day_n") == n, F.col("retained_users"))).alias(f"d{n}_retained")
-          for n in range(1, days + 1)]
-    )
+    wide = retention_counts_distinct(log, roles, base, days)
     cols = ["newAddUserCnt", "activeUserCnt"] + [f"d{n}_retained" for n in range(1, days + 1)]
     padded = [
         df.select(*[F.col(c) if c in df.columns else F.lit(0).cast("long").alias(c) for c in cols])
@@ -119,12 +132,9 @@ def retention_matrix(log: DataFrame, roles: Roles, days: int = RETENTION_DAYS,
     """
     ts, ev = F.col(roles.ts), F.col(roles.event)
     cond = F.col(roles.user).isNotNull() & ev.isin(list(roles.active))
-    if start is not None or end is not None:
-        dtype = log.schema[roles.ts].dataType
-        lo = as_date(start) if start is not None else None
-        hi = as_date(end) if end is not None else None
-        if lo is not None and hi is not None:
-            cond = cond & in_days(ts, lo, 0, (hi - lo).days + days, dtype)
+    if start is not None and end is not None:
+        lo, hi = as_date(start), as_date(end)
+        cond = cond & day_range(log, roles.ts, lo, 0, (hi - lo).days + days, roles.date)
     user_day = (
         log.where(cond)
         .groupBy(F.col(roles.user).alias("u"), F.to_date(ts).alias("day"))

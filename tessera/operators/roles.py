@@ -18,6 +18,8 @@ class Roles:
     event: str = "eventType"
     register: tuple = REGISTER_CODES
     login: tuple = LOGIN_CODES
+    # DATE partition column of a log written with ``write_event_log``; used only when present
+    date: str = "event_date"
 
     @property
     def active(self) -> tuple:

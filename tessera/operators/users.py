@@ -15,17 +15,16 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.time import as_date, day_offset, in_days
+from tessera.functions.time import as_date, day_offset, day_range
 from tessera.operators.roles import Roles
 from tessera.schemas import RETENTION_DAYS
 
 
 def _bounded(log: DataFrame, roles: Roles, base, first: int, last: int, codes) -> DataFrame:
-    dtype = log.schema[roles.ts].dataType
     return log.where(
         F.col(roles.user).isNotNull()
         & F.col(roles.event).isin(list(codes))
-        & in_days(F.col(roles.ts), base, first, last, dtype)
+        & day_range(log, roles.ts, base, first, last, roles.date)
     )
 
 

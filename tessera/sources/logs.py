@@ -62,3 +62,17 @@ def flagged_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """All flagged players: ``userName`` and ``avgTime`` text -> DOUBLE (SRC-5)."""
     df = spark.read.schema(FLAGGED).parquet(path)
     return df.select(F.col("userName"), F.trim(F.col("avgTime")).try_cast("double").alias("avgTime"))
+
+
+def write_event_log(df: DataFrame, path: str, ts_col: str, date_col: str = "event_date",
+                    mode: str = "append", max_records_per_file: int = 5_000_000) -> None:
+    """Store a log partitioned by day, so day-bounded reports prune whole folders.
+
+    No repartition by date: that would send a whole day (terabytes at scale)
+    through one task. Each task writes the days it holds; logs arrive roughly
+    in time order, so a task holds few days and files stay large.
+    """
+    (df.withColumn(date_col, F.to_date(F.col(ts_col)))
+     .write.mode(mode).partitionBy(date_col)
+     .option("maxRecordsPerFile", max_records_per_file)
+     .parquet(path))

@@ -92,3 +92,18 @@ def test_get_time_mills_sql_function(spark):
     sqlfn.register(spark)
     r = spark.sql("SELECT getTimeMills('2018年2月1日,星期一,10:02:01') AS a, getTimeMills('garbage') AS b").first()
     assert r.a == 1517479321000 and r.b is None
+
+
+def test_partitioned_log_prunes_days(spark, scratch):
+    from tessera.sources.logs import write_event_log
+
+    path = scratch("plog")
+    write_event_log(clean.clean_gamelog(spark.createDataFrame(F1, SCHEMA)), path, "event_ts")
+    log = spark.read.parquet(path)
+    df = retention.daily_report(log, G, "2018-02-01")
+    plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    import re
+
+    part = re.search(r"PartitionFilters: \[(.*)\]", plan).group(1)
+    assert re.search(r"event_date#\d+ >= 2018-02-01", part) and re.search(r"event_date#\d+ <= 2018-02-08", part)
+    assert df.first()["nextDayRate"] == "66.67%"

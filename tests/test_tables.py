@@ -49,3 +49,41 @@ def test_sanctions_policy(spark):
                                  "userName STRING, last_seen TIMESTAMP")
     got = {r.userName: r.action for r in tables.sanctions(bl, seen, "2018-02-12").collect()}
     assert got == {"A": "close", "B": "clear", "C": "warn"}
+
+
+def test_daily_report_job_upserts_by_date(spark, scratch):
+    from tessera.plans import inputs, jobs
+
+    path = inputs.gamelog_json_path(spark, "/root/testdata/sf0.001")
+    root = scratch("daily")
+    jobs.run_daily_report(spark, path, "2024-01-10", root, fmt="json")
+    jobs.run_daily_report(spark, path, "2024-01-11", root, fmt="json")
+    jobs.run_daily_report(spark, path, "2024-01-10", root, fmt="json")  # rerun replaces, not duplicates
+    t = jobs.daily_result_table(spark, root).read()
+    assert sorted(r.date for r in t.collect()) == ["2024-01-10", "2024-01-11"]
+
+
+def test_sync_blacklist_counts_once_per_sync(spark, scratch):
+    from tessera.plans.jobs import sync_blacklist
+
+    path = scratch("flagged")
+    spark.createDataFrame([("A", "250.0"), ("D", "400")], "userName STRING, avgTime STRING") \
+        .write.mode("overwrite").parquet(path)
+    bl = VersionedTable(spark, scratch("bl"), "userName STRING, avgTime DOUBLE, cnt INT")
+    for sync in (0, 1, 1):
+        sync_blacklist(spark, path, bl, sync)
+    assert sorted(tuple(r) for r in bl.read().collect()) == [("A", 250.0, 2), ("D", 400.0, 2)]
+
+
+def test_merge_stats_matches_single_pass(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators.bursts import burst_stats, merge_stats
+
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").where("event_type = 'click'")
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    a = ev.where(F.col("ts") < cut).groupBy("user_id").agg(*burst_stats("ts"))
+    b = ev.where(F.col("ts") >= cut).groupBy("user_id").agg(*burst_stats("ts"))
+    whole = ev.groupBy("user_id").agg(*burst_stats("ts"))
+    merged = merge_stats(a, b, ["user_id"]).select(whole.columns)
+    assert merged.exceptAll(whole).count() == 0 and whole.exceptAll(merged).count() == 0
