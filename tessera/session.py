@@ -45,6 +45,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+# Settings for a large cluster (hundreds of TB of logs). Applied by the
+# deployment (spark-submit --conf / spark-defaults), not by library code.
+CLUSTER_CONF = {
+    # start with many shuffle partitions; AQE coalesces them to ~advisory size at run time
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # input splits of 256 MB keep tasks short and memory-safe
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.session.timeZone": "UTC",
+    # sliding-window state of millions of (window, user) keys: RocksDB, not the JVM heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # shared storage for stream checkpoints, derived files and table versions
+    # "spark.checkpoint.dir": "hdfs:///shared/checkpoints",
+}
+
+
 def configure(spark: SparkSession) -> None:
     """Settings every job in this package relies on; safe to call repeatedly."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -6,7 +6,7 @@ from tessera.operators import bursts, clean
 from tessera.plans.streams import burst_stream, dropped_by_watermark
 from tessera.sources.logs import lines_to_fields
 from tessera.streaming.runner import run_available
-from tessera.streaming.sinks import batch_folder_writer, read_all_batches, read_last_batch
+from tessera.streaming.sinks import batch_folder_writer, committed_ids, read_all_batches, read_last_batch
 from tessera.streaming.sources import stream_lines
 
 HEAL = "疗伤药"
@@ -92,3 +92,14 @@ def test_gb2312_log_dir(spark, scratch):
     assert sum(r.time is None for r in rows) == 1
     assert detect(df.select(F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in df.columns])
                             .alias("value"))).count() == 2
+
+
+def test_update_mode_emits_revisions(spark, scratch):
+    out, _ = _run_sequence(spark, scratch, SEQUENCE, "update", None)
+    ids = committed_ids(spark, out, "batch")
+    latest = {}
+    for i in ids:  # later batches revise earlier rows of the same window
+        for r in spark.read.parquet(f"{out}/batch={i}").collect():
+            latest[(r["userName"], str(r["window_start"])[11:19])] = (r["cnt"], r["avgTime"])
+    assert latest[("A", "00:00:05")] == (12, 250.0) and latest[("A", "00:00:10")] == (12, 250.0)
+    assert latest[("D", "00:01:25")] == (5, 400.0)
