@@ -33,14 +33,16 @@ def with_event_time(df: DataFrame, time_col: str = "time", out: str = "event_ts"
     return df.withColumn(out, parse_cn_time(time_col).cast("timestamp_ntz"))
 
 
-def clean_gamelog(df: DataFrame) -> DataFrame:
+def clean_gamelog(df: DataFrame, drop_blank_user: bool = False) -> DataFrame:
     """defaults -> ip filter -> parsed time; rows whose time does not parse are left out.
 
     The left-out rows are what ``gamelog_quarantine`` returns (M8: the reference
-    would throw and stop).
+    would throw and stop). A missing user becomes ``""`` and counts as one user,
+    as in the reference (M5), unless ``drop_blank_user``.
     """
     parsed = with_event_time(ip_filter(gamelog_defaults(df)))
-    return parsed.where(F.col("event_ts").isNotNull())
+    out = parsed.where(F.col("event_ts").isNotNull())
+    return out.where(F.col("userName") != "") if drop_blank_user else out
 
 
 def gamelog_quarantine(df: DataFrame) -> DataFrame:
@@ -65,11 +67,15 @@ def quarantine(parsed: DataFrame) -> DataFrame:
     return parsed.where(~F.col("is_valid"))
 
 
-def item_use_filter(parsed: DataFrame, event: int = ITEM_USE_EVENT, item: str = HEALING_ITEM) -> DataFrame:
-    """Valid lines with the item-use event and the watched item, as ``(userName, event_ts)`` (PRJ-6/7)."""
+def item_use_filter(parsed: DataFrame, event: int = ITEM_USE_EVENT, item: str = HEALING_ITEM,
+                    keep: tuple = ()) -> DataFrame:
+    """Valid lines with the item-use event and the watched item, as ``(userName, event_ts)`` (PRJ-6/7).
+
+    ``keep`` names extra columns to carry along (e.g. ``ingest_ts``).
+    """
     return parsed.where(
         F.col("is_valid") & (F.col("event_code") == event) & (F.col("item") == item)
-    ).select("userName", "event_ts")
+    ).select("userName", "event_ts", *keep)
 
 
 def event_in(df: DataFrame, event_col: str, codes) -> DataFrame:

@@ -54,12 +54,16 @@ def retention_counts(log: DataFrame, roles: Roles, base, days: int = RETENTION_D
     )
 
 
-def retention_rate(counts: DataFrame, days: int = RETENTION_DAYS) -> DataFrame:
-    """Counts -> DOUBLE rates in percent, rounded to 4 places; NULL when nobody is new (FN-7, M10)."""
+def retention_rate(counts: DataFrame, days: int = RETENTION_DAYS, percent: bool = True) -> DataFrame:
+    """Counts -> DOUBLE rates rounded to 4 places; NULL when nobody is new (FN-7, M10).
+
+    ``percent=False`` gives the fraction ``a * 1.0 / b`` of the earlier SQL versions.
+    """
+    scale = 100.0 if percent else 1.0
     return counts.select(
         "newAddUserCnt",
         "activeUserCnt",
-        *[F.round(ratio(f"d{n}_retained", "newAddUserCnt", 100.0), 4).alias(f"d{n}_rate")
+        *[F.round(ratio(f"d{n}_retained", "newAddUserCnt", scale), 4).alias(f"d{n}_rate")
           for n in range(1, days + 1)],
     )
 

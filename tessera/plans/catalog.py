@@ -147,8 +147,8 @@ def q_scan_log_dir(spark, sf):
 
 
 def q_burst_lines(spark, sf):
-    uses = clean.item_use_filter(_parsed_lines(spark, sf))
-    return bursts.detect_bursts(uses, "userName", "event_ts", **BURST)
+    """PIP-2 end to end from the raw tab lines (game-time basis)."""
+    return streams.detect_from_lines(lines_from_events(_ev(spark, sf)).select("value"), **BURST)
 
 
 # --------------------------------------------------------------------------- events keys

@@ -44,6 +44,24 @@ def burst_stream(stream: DataFrame, user_col: str, ts_col: str, window: str, sli
     return out
 
 
+def detect_from_lines(lines: DataFrame, *, window: str, slide: str, min_count: int, max_avg_ms: float,
+                      time_basis: str = "event", watermark: str | None = None,
+                      event: int | None = None, item: str | None = None) -> DataFrame:
+    """PIP-2 from raw tab lines: parse -> item-use filter -> windows -> rule (M14).
+
+    ``time_basis="event"`` windows on the game time in the line (version 2);
+    ``"ingest"`` on the arrival time (version 1's micro-batch basis), which
+    needs an ``ingest_ts`` column (``stream_lines`` provides one).
+    """
+    if time_basis not in ("event", "ingest"):
+        raise ValueError("time_basis must be 'event' or 'ingest'")
+    ts = "event_ts" if time_basis == "event" else "ingest_ts"
+    kw = {k: v for k, v in (("event", event), ("item", item)) if v is not None}
+    keep = ("ingest_ts",) if time_basis == "ingest" else ()
+    uses = item_use_filter(parse_log_line(lines_to_fields(lines)), keep=keep, **kw)
+    return burst_stream(uses, "userName", ts, window, slide, min_count, max_avg_ms, watermark)
+
+
 def _replay_events(spark: SparkSession, source: DataFrame, ts_col: str, build, mode: str,
                    days_per_chunk: int, late: DataFrame | None = None):
     """Write ``source`` in time order as arriving files, run ``build(stream)`` after each chunk."""
@@ -111,9 +129,8 @@ def run_ingest_bursts(spark: SparkSession, lines: DataFrame, *, window: str, sli
     out = scratch_path(spark, "ingest-out")
     ckpt = scratch_path(spark, "ingest-ckpt")
     stream = stream_lines(spark, src, fmt="text", maxFilesPerTrigger=1000)
-    uses = (parse_log_line(lines_to_fields(stream))
-            .where(F.col("is_valid") & (F.col("event_code") == 11)).select("userName", "ingest_ts"))
-    q = detect_bursts(uses, "userName", "ingest_ts", window, slide, min_count, max_avg_ms)
+    q = detect_from_lines(stream, window=window, slide=slide, min_count=min_count, max_avg_ms=max_avg_ms,
+                          time_basis="ingest")
     replay_by_time(spark, lines, "ts", src,
                    lambda: run_available(q, batch_folder_writer(out), ckpt, "complete"),
                    days_per_chunk, fmt="text", columns=["value"])
@@ -148,6 +165,6 @@ def projected(df: DataFrame, user_col: str) -> DataFrame:
 
 
 __all__ = [
-    "burst_stream", "run_bursts", "dropped_by_watermark", "run_ingest_lines", "run_ingest_bursts",
+    "burst_stream", "detect_from_lines", "run_bursts", "dropped_by_watermark", "run_ingest_lines", "run_ingest_bursts",
     "flagged_sink", "projected", "item_use_filter",
 ]

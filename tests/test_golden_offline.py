@@ -107,3 +107,17 @@ def test_partitioned_log_prunes_days(spark, scratch):
     part = re.search(r"PartitionFilters: \[(.*)\]", plan).group(1)
     assert re.search(r"event_date#\d+ >= 2018-02-01", part) and re.search(r"event_date#\d+ <= 2018-02-08", part)
     assert df.first()["nextDayRate"] == "66.67%"
+
+
+def test_drop_blank_user_option(spark):
+    raw = spark.createDataFrame(F1 + [(None, "1", cn(1, "10:00:00"), "1.1.1.1")], SCHEMA)
+    keep = retention.retention_counts(clean.clean_gamelog(raw), G, "2018-02-01").first()
+    drop = retention.retention_counts(clean.clean_gamelog(raw, drop_blank_user=True), G, "2018-02-01").first()
+    assert (keep["newAddUserCnt"], drop["newAddUserCnt"]) == (4, 3)
+
+
+def test_fraction_and_percent_rates(log):
+    counts = retention.retention_counts(log, G, "2018-02-01")
+    pct = retention.retention_rate(counts).first()
+    frac = retention.retention_rate(counts, percent=False).first()
+    assert pct["d1_rate"] == 66.6667 and frac["d1_rate"] == 0.6667 and frac["d3_rate"] == 0.0

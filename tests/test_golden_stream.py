@@ -103,3 +103,19 @@ def test_update_mode_emits_revisions(spark, scratch):
             latest[(r["userName"], str(r["window_start"])[11:19])] = (r["cnt"], r["avgTime"])
     assert latest[("A", "00:00:05")] == (12, 250.0) and latest[("A", "00:00:10")] == (12, 250.0)
     assert latest[("D", "00:01:25")] == (5, 400.0)
+
+
+def test_detect_from_lines_both_time_bases(spark):
+    import pytest
+
+    from tessera.plans.streams import detect_from_lines
+
+    df = spark.createDataFrame([(x,) for x in BURST_A + BURST_D + OTHER + BAD], "value STRING")
+    P = dict(window="10 seconds", slide="5 seconds", min_count=5, max_avg_ms=1000)
+    assert flagged(detect_from_lines(df, **P)) == flagged(detect(df))
+    # arrival-time basis: every line arrives in the same instant -> gap 0, all item uses of a player count
+    ingest = df.withColumn("ingest_ts", F.lit("2018-02-01 00:00:00").cast("timestamp"))
+    got = sorted((r.userName, r.cnt, r.avgTime) for r in detect_from_lines(ingest, time_basis="ingest", **P).collect())
+    assert got == [("A", 6, 0.0), ("A", 6, 0.0), ("D", 5, 0.0), ("D", 5, 0.0)]
+    with pytest.raises(ValueError):
+        detect_from_lines(df, time_basis="wall", **P)
