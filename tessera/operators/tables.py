@@ -18,8 +18,18 @@ from tessera.functions.time import as_date
 
 
 def upsert_daily(existing: DataFrame, new: DataFrame, key: str = "date") -> DataFrame:
-    """Replace the rows of ``existing`` whose key occurs in ``new``; insert the rest (SNK-1)."""
-    return existing.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
+    """Replace the rows of ``existing`` whose key occurs in ``new``; insert the rest (SNK-1).
+
+    One union and one ``groupBy(key)`` keeping the newer row: each input is
+    computed once (an anti-join would evaluate ``new`` twice), and the map
+    side pre-aggregates, so even a table with few distinct keys shuffles one
+    row per key per task.
+    """
+    cols = existing.columns
+    rest = [c for c in cols if c != key]
+    both = existing.select(*cols, F.lit(0).alias("_newer")).unionByName(new.select(*cols, F.lit(1).alias("_newer")))
+    latest = both.groupBy(key).agg(F.max_by(F.struct(*rest), F.col("_newer")).alias("_row"))
+    return latest.select(key, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*cols)
 
 
 def blacklist_merge(existing: DataFrame, batch: DataFrame, user_col: str = "userName",

@@ -337,8 +337,8 @@ def q_blacklist_merge(spark, sf):
 def q_upsert_daily(spark, sf):
     ev = _ev(spark, sf)
     stale = _report_rows(retention.retention_matrix(ev.where(F.col("ts") < F.lit(SPLIT).cast("timestamp_ntz")), R, DAYS))
-    fresh = _report_rows(retention.retention_matrix(ev, R, DAYS)).where(
-        (F.col("date") >= F.lit("2024-01-08")) & (F.col("date") <= F.lit("2024-01-14")))
+    # bounded matrix: the scan reads [start, end + DAYS] only (ts range pushed to parquet)
+    fresh = _report_rows(retention.retention_matrix(ev, R, DAYS, start="2024-01-08", end="2024-01-14"))
     return tables.upsert_daily(stale, fresh)
 
 
