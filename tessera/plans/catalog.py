@@ -29,7 +29,6 @@ from tessera.session import scratch_path
 from tessera.sources.derived import gamelog_from_events, lines_from_events
 from tessera.sources.logs import flagged_snapshot as read_flagged, lines_to_fields
 from tessera.streaming.runner import replay_by_time, run_available
-from tessera.streaming.sinks import VersionedTable
 from tessera.streaming.sources import stream_table
 
 BASE = "2024-01-10"
@@ -289,16 +288,14 @@ def q_stream_ingest(spark, sf):
 
 
 def q_blacklist_stream(spark, sf):
-    """PIP-2 + PIP-3 as one stream: closed flagged windows -> flagged map + blacklist per batch."""
-    flagged = VersionedTable(spark, scratch_path(spark, "flagged"),
-                             "userName STRING, avgTime DOUBLE, window_end TIMESTAMP_NTZ")
-    blacklist = VersionedTable(spark, scratch_path(spark, "blacklist"), "userName STRING, avgTime DOUBLE, cnt INT")
-    sink = streams.flagged_sink(flagged, blacklist, "userName")
+    """PIP-2 + PIP-3 as one stream: closed flagged windows -> delta logs of the flagged map and blacklist."""
+    flagged, blacklist = streams.flagged_tables(spark, scratch_path(spark, "flagged-tables"))
+    sink = streams.flagged_sink(flagged, blacklist, "userName", compact_every=3)
     c = _clicks(spark, sf).withColumn("userName", F.col("user_id").cast("string")).drop("user_id")
     src, ckpt = scratch_path(spark, "bl-src"), scratch_path(spark, "bl-ckpt")
     q = streams.burst_stream(stream_table(spark, src, c.schema), "userName", "ts", watermark="0 seconds", **BURST)
     replay_by_time(spark, c, "ts", src, lambda: run_available(q, sink, ckpt, "append"), 5)
-    return blacklist.read()
+    return blacklist.read(streams.blacklist_table_merge)
 
 
 # --------------------------------------------------------------------------- keyed tables

@@ -22,7 +22,7 @@ from tessera.operators.tables import blacklist_merge, flagged_latest
 from tessera.session import scratch_path
 from tessera.sources.logs import lines_to_fields
 from tessera.streaming.runner import replay_by_time, run_available
-from tessera.streaming.sinks import VersionedTable, batch_folder_writer, read_all_batches, read_last_batch
+from tessera.streaming.sinks import DeltaLogTable, batch_folder_writer, read_all_batches, read_last_batch
 from tessera.streaming.sources import stream_lines, stream_table
 
 
@@ -137,25 +137,47 @@ def run_ingest_bursts(spark: SparkSession, lines: DataFrame, *, window: str, sli
     return read_last_batch(spark, out)
 
 
-def flagged_sink(flagged: VersionedTable, blacklist: VersionedTable, user_col: str = "userName"):
+FLAGGED_MAP = "userName STRING, avgTime DOUBLE, window_end TIMESTAMP_NTZ"
+BLACKLIST_TABLE = "userName STRING, avgTime DOUBLE, cnt INT"
+FLAGGED_DELTA = "userName STRING, avgTime DOUBLE, window_end TIMESTAMP_NTZ"
+
+
+def flagged_map_merge(base: DataFrame, deltas: DataFrame) -> DataFrame:
+    return flagged_latest(deltas, "userName", base)
+
+
+def blacklist_table_merge(base: DataFrame, deltas: DataFrame) -> DataFrame:
+    return blacklist_merge(base, deltas, "userName")
+
+
+def flagged_tables(spark: SparkSession, root: str) -> tuple[DeltaLogTable, DeltaLogTable]:
+    """The flagged-player map and the blacklist, both fed by the same flagged-window deltas."""
+    return (DeltaLogTable(spark, f"{root}/flagged", FLAGGED_MAP, FLAGGED_DELTA),
+            DeltaLogTable(spark, f"{root}/blacklist", BLACKLIST_TABLE, FLAGGED_DELTA))
+
+
+def flagged_sink(flagged: DeltaLogTable, blacklist: DeltaLogTable, user_col: str = "userName",
+                 compact_every: int = 50):
     """``foreachBatch`` body of PIP-2 + PIP-3 (SNK-4, STR-10/11/12).
 
     Each batch of newly closed flagged windows (append mode + watermark, so a
-    window arrives once) updates the flagged map (latest window wins) and the
-    blacklist (one increment per flagged window). Both are written as version
-    ``batch_id`` from the versions *below* it, so a replayed batch rewrites
-    the same result and never counts twice.
+    window arrives once) is appended to both tables' delta logs: the work per
+    trigger is the batch, not the table. Reading the flagged map gives the
+    latest window per player; reading the blacklist gives one increment per
+    flagged window. A replayed ``batch_id`` overwrites its own delta, so it
+    never counts twice. Every ``compact_every`` batches the deltas are folded
+    into a new base.
     """
 
     def apply(df: DataFrame, batch_id: int) -> None:
         if df.isEmpty():
             return
-        df = df.persist()
-        try:
-            flagged.merge(df, batch_id, lambda old, new: flagged_latest(new, user_col, old))
-            blacklist.merge(df, batch_id, lambda old, new: blacklist_merge(old, new, user_col))
-        finally:
-            df.unpersist()
+        rows = df.select(F.col(user_col).cast("string").alias("userName"), "avgTime", "window_end")
+        flagged.append(rows, batch_id)
+        blacklist.append(rows, batch_id)
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            flagged.compact(flagged_map_merge)
+            blacklist.compact(blacklist_table_merge)
 
     return apply
 
@@ -166,5 +188,5 @@ def projected(df: DataFrame, user_col: str) -> DataFrame:
 
 __all__ = [
     "burst_stream", "detect_from_lines", "run_bursts", "dropped_by_watermark", "run_ingest_lines", "run_ingest_bursts",
-    "flagged_sink", "projected", "item_use_filter",
+    "flagged_sink", "flagged_tables", "flagged_map_merge", "blacklist_table_merge", "projected", "item_use_filter",
 ]
