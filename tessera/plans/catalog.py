@@ -24,7 +24,6 @@ from tessera.functions.time import millis
 from tessera.operators import bursts, clean, retention, tables, users
 from tessera.operators.roles import EVENTS_ROLES, GAMELOG_ROLES
 from tessera.plans import inputs, streams
-from tessera.schemas import RATE_COLUMNS
 from tessera.session import scratch_path
 from tessera.sources.derived import gamelog_from_events, lines_from_events
 from tessera.sources.logs import flagged_snapshot as read_flagged, lines_to_fields
@@ -64,13 +63,7 @@ def _named(df: DataFrame) -> DataFrame:
 
 
 def _report_rows(matrix: DataFrame) -> DataFrame:
-    """Retention-matrix rows -> result-table rows (date text, counts, percent texts)."""
-    return matrix.select(
-        F.date_format("date", "yyyy-MM-dd").alias("date"),
-        F.col("newAddUserCnt").cast("long").alias("newAddUserCnt"),
-        F.col("activeUserCnt").cast("long").alias("activeUserCnt"),
-        *[percent_text(f"d{n}_retained", "newAddUserCnt").alias(c) for n, c in enumerate(RATE_COLUMNS, 1)],
-    )
+    return retention.matrix_report_rows(matrix, DAYS)
 
 
 def _retained_long(spark, sf) -> DataFrame:

@@ -25,11 +25,15 @@ def run_daily_report(spark: SparkSession, log_path: str, base, result_root: str,
                      roles: Roles = GAMELOG_ROLES, days: int = RETENTION_DAYS, **options) -> DataFrame:
     """PIP-1: scan the offline log, clean it, compute the report for ``base``, upsert it by date.
 
-    Returns the report row. The only actions are the table write and the read
-    of the new version; the log itself never reaches the driver.
+    ``base`` may be a list of dates: all of them come from one pass over the
+    log (``daily_reports``) instead of one job per date. Returns the report
+    rows. The only action is the table write; the log never reaches the driver.
     """
     log = clean.clean_gamelog(scan_gamelog(spark, log_path, fmt, **options))
-    report = retention.daily_report(log, roles, base, days)
+    if isinstance(base, (list, tuple)):
+        report = retention.daily_reports(log, roles, base, days)
+    else:
+        report = retention.daily_report(log, roles, base, days)
     table = daily_result_table(spark, result_root)
     versions = table.versions()
     nxt = (versions[-1] + 1) if versions else 0

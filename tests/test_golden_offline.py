@@ -121,3 +121,11 @@ def test_fraction_and_percent_rates(log):
     pct = retention.retention_rate(counts).first()
     frac = retention.retention_rate(counts, percent=False).first()
     assert pct["d1_rate"] == 66.6667 and frac["d1_rate"] == 0.6667 and frac["d3_rate"] == 0.0
+
+
+def test_daily_reports_many_dates_one_pass(log, spark):
+    rows = {r.date: r for r in retention.daily_reports(log, G, ["2018-02-01", "2018-02-02", "2018-03-01"]).collect()}
+    one = retention.daily_report(log, G, "2018-02-01").first()
+    assert rows["2018-02-01"].asDict() == one.asDict()
+    assert rows["2018-02-02"]["activeUserCnt"] == 5  # u1, u2, u4, u6 log in and u5 registers on the 2nd
+    assert rows["2018-03-01"]["newAddUserCnt"] == 0 and rows["2018-03-01"]["nextDayRate"] is None
