@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tessera.functions.time import parse_iso_time
-from tessera.schemas import IP_REGEX, LINE_FIELDS
+from tessera.schemas import IP_REGEX
 
 
 def _c(col: Column | str) -> Column:
@@ -33,12 +33,6 @@ def percent_text(num: Column | str, den: Column | str) -> Column:
     return F.concat(pct.cast("decimal(18,2)").cast("string"), F.lit("%"))
 
 
-def split_fields(line: Column | str, sep: str = "\t") -> list[Column]:
-    """The 13 positional fields of a log line, trimmed; NULL past the end (FN-1/2)."""
-    parts = F.split(_c(line), sep)
-    return [F.trim(F.get(parts, i)).alias(name) for i, name in enumerate(LINE_FIELDS)]
-
-
 def typed_line_columns(fields_prefix: str = "") -> list[Column]:
     """Typed columns derived from the string fields: event code, event time, validity, reason."""
     code = F.col(f"{fields_prefix}eventType").try_cast("int")

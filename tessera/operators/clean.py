@@ -73,9 +73,8 @@ def item_use_filter(parsed: DataFrame, event: int = ITEM_USE_EVENT, item: str =
 
     ``keep`` names extra columns to carry along (e.g. ``ingest_ts``).
     """
-    return parsed.where(
-        F.col("is_valid") & (F.col("event_code") == event) & (F.col("item") == item)
-    ).select("userName", "event_ts", *keep)
+    uses = valid_lines(parsed).where((F.col("event_code") == event) & (F.col("item") == item))
+    return uses.select("userName", "event_ts", *keep)
 
 
 def event_in(df: DataFrame, event_col: str, codes) -> DataFrame:

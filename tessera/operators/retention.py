@@ -17,8 +17,6 @@ The reference ran nine queries, or a union of three with a seven-way
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -204,7 +202,3 @@ def daily_reports(log: DataFrame, roles: Roles, dates, days: int = RETENTION_DAY
         F.coalesce("activeUserCnt", F.lit(0)).cast("long").alias("activeUserCnt"),
         *RATE_COLUMNS,
     )
-
-
-def next_day(base, n: int = 1) -> dt.date:
-    return as_date(base) + dt.timedelta(days=n)

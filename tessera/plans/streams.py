@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.bursts import detect_bursts, flagged_players
+from tessera.operators.bursts import detect_bursts
 from tessera.operators.clean import item_use_filter, parse_log_line
 from tessera.operators.tables import blacklist_merge, flagged_latest
 from tessera.session import scratch_path
@@ -182,11 +182,7 @@ def flagged_sink(flagged: DeltaLogTable, blacklist: DeltaLogTable, user_col: str
     return apply
 
 
-def projected(df: DataFrame, user_col: str) -> DataFrame:
-    return flagged_players(df, user_col)
-
-
 __all__ = [
     "burst_stream", "detect_from_lines", "run_bursts", "dropped_by_watermark", "run_ingest_lines", "run_ingest_bursts",
-    "flagged_sink", "flagged_tables", "flagged_map_merge", "blacklist_table_merge", "projected", "item_use_filter",
+    "flagged_sink", "flagged_tables", "flagged_map_merge", "blacklist_table_merge",
 ]

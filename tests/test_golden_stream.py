@@ -119,3 +119,20 @@ def test_detect_from_lines_both_time_bases(spark):
     assert got == [("A", 6, 0.0), ("A", 6, 0.0), ("D", 5, 0.0), ("D", 5, 0.0)]
     with pytest.raises(ValueError):
         detect_from_lines(df, time_basis="wall", **P)
+
+
+def test_console_sinks(spark, scratch, capsys):
+    from tessera.streaming.runner import console_sink, start_console
+
+    src = scratch("c-src")
+    spark.createDataFrame([(x,) for x in BURST_A], "value STRING").coalesce(1).write.mode("append").text(src)
+    stream = stream_lines(spark, src)
+    q = detect(stream)
+    run_available(q, console_sink(), scratch("c-ckpt"), "complete")
+    assert "batch 0" in capsys.readouterr().out
+    live = start_console(q, "complete", "1 second", scratch("c-ckpt2"))
+    try:
+        live.processAllAvailable()
+        assert live.lastProgress is not None and live.lastProgress["numInputRows"] == len(BURST_A)
+    finally:
+        live.stop()
