@@ -99,7 +99,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         from tessera.plans.jobs import sync_blacklist
         from tessera.streaming.sinks import VersionedTable
 
-        bl = VersionedTable(spark, args.table, "userName STRING, avgTime DOUBLE, cnt INT")
+        bl = VersionedTable(spark, args.table, schemas.BLACKLIST_DDL)
         sync_blacklist(spark, args.flagged, bl, args.sync_id)
         return {"cmd": args.cmd, "versions": bl.versions()[-1]}
 

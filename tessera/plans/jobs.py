@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 from tessera.operators import clean, retention, tables
 from tessera.operators.roles import GAMELOG_ROLES, Roles
-from tessera.schemas import DAILY_RESULT, RETENTION_DAYS
+from tessera.schemas import DAILY_RESULT_DDL, RETENTION_DAYS
 from tessera.sources.logs import flagged_snapshot, scan_gamelog
 from tessera.streaming.sinks import VersionedTable
 
 
 def daily_result_table(spark: SparkSession, root: str) -> VersionedTable:
-    return VersionedTable(spark, root, DAILY_RESULT.simpleString().replace("struct<", "").rstrip(">").replace(":", " "))
+    return VersionedTable(spark, root, DAILY_RESULT_DDL)
 
 
 def run_daily_report(spark: SparkSession, log_path: str, base, result_root: str, fmt: str = "parquet",

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from tessera.operators.bursts import detect_bursts
 from tessera.operators.clean import item_use_filter, parse_log_line
 from tessera.operators.tables import blacklist_merge, flagged_latest
+from tessera.schemas import BLACKLIST_DDL
 from tessera.session import scratch_path
 from tessera.sources.logs import lines_to_fields
 from tessera.streaming.runner import replay_by_time, run_available
@@ -138,7 +139,7 @@ def run_ingest_bursts(spark: SparkSession, lines: DataFrame, *, window: str, sli
 
 
 FLAGGED_MAP = "userName STRING, avgTime DOUBLE, window_end TIMESTAMP_NTZ"
-BLACKLIST_TABLE = "userName STRING, avgTime DOUBLE, cnt INT"
+BLACKLIST_TABLE = BLACKLIST_DDL
 FLAGGED_DELTA = "userName STRING, avgTime DOUBLE, window_end TIMESTAMP_NTZ"
 
 

@@ -88,6 +88,9 @@ DAILY_RESULT = T.StructType(
     + [T.StructField(c, T.StringType()) for c in RATE_COLUMNS]
 )
 
+DAILY_RESULT_DDL = ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in DAILY_RESULT.fields)
+BLACKLIST_DDL = "userName STRING, avgTime DOUBLE, cnt INT"
+
 
 def event_type_frame(spark):
     """The 13-row event dictionary as a DataFrame (fixed size: safe to broadcast)."""
