@@ -109,3 +109,36 @@ def test_delta_log_table_replay_and_compaction(spark, scratch):
     assert sorted(tuple(r) for r in bl.read(blacklist_table_merge).collect()) == [("A", 250.0, 3), ("D", 300.0, 2)]
     fm = {r.userName: r.avgTime for r in flagged.read(flagged_map_merge).collect()}
     assert fm == {"A": 250.0, "D": 400.0}
+
+
+def test_stream_sink_failure_and_restart_counts_once(spark, scratch):
+    """A batch that fails after writing is replayed with the same id on restart: no double count."""
+    import pytest
+
+    from tessera.plans.streams import blacklist_table_merge, detect_from_lines, flagged_sink, flagged_tables
+    from tessera.streaming.runner import run_available
+    from tessera.streaming.sources import stream_lines
+    from tests.test_golden_stream import BURST_A, BURST_D, line
+
+    src, ckpt = scratch("ft-src"), scratch("ft-ckpt")
+    spark.createDataFrame([(x,) for x in BURST_A + BURST_D + [line("C", 200)]], "value STRING") \
+        .coalesce(1).write.mode("append").text(src)
+    q = detect_from_lines(stream_lines(spark, src), window="10 seconds", slide="5 seconds", min_count=5,
+                          max_avg_ms=1000, watermark="0 seconds")
+    fm, bl = flagged_tables(spark, scratch("ft-tables"))
+    sink = flagged_sink(fm, bl)
+    failed = []
+
+    def flaky(df, batch_id):
+        sink(df, batch_id)
+        if not df.isEmpty() and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost after the write, before the batch committed")
+
+    from pyspark.errors import StreamingQueryException
+
+    with pytest.raises(StreamingQueryException):
+        run_available(q, flaky, ckpt, "append")
+    run_available(q, flaky, ckpt, "append")  # restart from the checkpoint: the failed batch runs again
+    got = sorted(tuple(r) for r in bl.read(blacklist_table_merge).collect())
+    assert failed and got == [("A", 500.0, 2), ("D", 400.0, 2)]
