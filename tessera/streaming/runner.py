@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.functions.time import ts_literal
 
 
 def start(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append",
@@ -102,17 +101,28 @@ def replay_by_time(spark: SparkSession, source: DataFrame, ts_col: str, folder:
                    columns: list[str] | None = None) -> list[StreamingQuery]:
     """Deliver ``source`` to a stream in event-time order, one chunk per run.
 
-    Chunk ``i`` (rows with ``ts`` in its range, a filter that reaches the scan)
-    is written as new files into ``folder``, then ``run_once`` drains it. This
+    The source is read once and staged next to ``folder``, partitioned by
+    chunk number. Then, chunk by chunk, the staged partition (a pruned read)
+    is written as new files into ``folder`` and ``run_once`` drains it. This
     is how files arrive from upstream; each chunk becomes one or more
-    micro-batches of the same query, resumed from its checkpoint.
+    micro-batches of the same query, resumed from its checkpoint. Two passes
+    over the data in total, not one per chunk.
     """
-    dtype = source.schema[ts_col].dataType
+    chunks = time_chunks(source, ts_col, days_per_chunk)
+    if not chunks:
+        return []
+    epoch = dt.datetime(1970, 1, 1)
+    lo_us = int((chunks[0][0] - epoch).total_seconds()) * 1_000_000
+    span_us = days_per_chunk * 86_400 * 1_000_000
+    ts_us = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    stage = folder.rstrip("/") + "-stage"
+    cols = columns if columns is not None else source.columns
+    (source.select(*cols, F.floor((ts_us - F.lit(lo_us)) / F.lit(span_us)).cast("int").alias("_chunk"))
+     .write.mode("overwrite").partitionBy("_chunk").parquet(stage))
+    staged = spark.read.parquet(stage)
     runs = []
-    for lo, hi in time_chunks(source, ts_col, days_per_chunk):
-        part = source.where((F.col(ts_col) >= ts_literal(lo, dtype)) & (F.col(ts_col) < ts_literal(hi, dtype)))
-        if columns is not None:
-            part = part.select(*columns)
+    for i in range(len(chunks)):
+        part = staged.where(F.col("_chunk") == i).drop("_chunk")
         part.write.mode("append").format(fmt).options(**(write_options or {})).save(folder)
         runs.append(run_once())
     return runs
