@@ -61,6 +61,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--flagged", required=True)
     s.add_argument("--table", required=True)
     s.add_argument("--sync-id", type=int, required=True)
+    s.add_argument("--since", help="count only windows ending after this time (default: every flagged player)")
     return ap
 
 
@@ -100,7 +101,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         from tessera.streaming.sinks import VersionedTable
 
         bl = VersionedTable(spark, args.table, schemas.BLACKLIST_DDL)
-        sync_blacklist(spark, args.flagged, bl, args.sync_id)
+        sync_blacklist(spark, args.flagged, bl, args.sync_id, since=args.since)
         return {"cmd": args.cmd, "versions": bl.versions()[-1]}
 
     raise SystemExit(f"unknown command {args.cmd}")

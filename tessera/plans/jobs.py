@@ -41,12 +41,17 @@ def run_daily_report(spark: SparkSession, log_path: str, base, result_root: str,
     return report
 
 
-def sync_blacklist(spark: SparkSession, flagged_path: str, blacklist: VersionedTable, sync_id: int) -> None:
-    """STR-12 re-aimed: apply the flagged map once to the blacklist as sync ``sync_id``.
-
-    The reference re-applied the whole (never cleared) map every 2 s, so a
-    counter grew per poll (M18). Here each flagged user counts once per sync;
-    calling again with the same ``sync_id`` rewrites the same version.
+def sync_blacklist(spark: SparkSession, flagged_path: str, blacklist: VersionedTable, sync_id: int,
+                   since=None) -> None:
+    """STR-12 re-aimed: apply the flagged map to the blacklist once, as version ``sync_id``.
+
+    ``since=None`` applies every flagged player, +1 each: the reference's
+    timer did this every 2 s with a map it never cleared, so counters grew per
+    poll (M18). With ``since`` (the previous sync's time) only players flagged
+    in a window ending after it count: one increment per new offence. Calling
+    again with the same ``sync_id`` rewrites the same version.
     """
-    snap = flagged_snapshot(spark, flagged_path).withColumn("window_end", F.lit(sync_id))
+    snap = flagged_snapshot(spark, flagged_path, with_window=True)
+    if since is not None:
+        snap = snap.where(F.col("window_end") > F.lit(since).cast("timestamp_ntz"))
     blacklist.merge(snap, sync_id, lambda old, new: tables.blacklist_merge(old, new, "userName"))

@@ -66,10 +66,11 @@ def lines_to_fields(lines: DataFrame, value_col: str = "value") -> DataFrame:
     return g.select(*keep, "line", *[F.trim(F.col(f.name)).alias(f.name) for f in TSV13.fields])
 
 
-def flagged_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """All flagged players: ``userName`` and ``avgTime`` text -> DOUBLE (SRC-5)."""
+def flagged_snapshot(spark: SparkSession, path: str, with_window: bool = False) -> DataFrame:
+    """All flagged players: ``userName`` and ``avgTime`` text -> DOUBLE (SRC-5), optionally ``window_end``."""
     df = spark.read.schema(FLAGGED).parquet(path)
-    return df.select(F.col("userName"), F.trim(F.col("avgTime")).try_cast("double").alias("avgTime"))
+    cols = [F.col("userName"), F.trim(F.col("avgTime")).try_cast("double").alias("avgTime")]
+    return df.select(*cols, *([F.col("window_end")] if with_window else []))
 
 
 def write_event_log(df: DataFrame, path: str, ts_col: str, date_col: str = "event_date",

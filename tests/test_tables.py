@@ -67,12 +67,16 @@ def test_sync_blacklist_counts_once_per_sync(spark, scratch):
     from tessera.plans.jobs import sync_blacklist
 
     path = scratch("flagged")
-    spark.createDataFrame([("A", "250.0"), ("D", "400")], "userName STRING, avgTime STRING") \
+    spark.createDataFrame([("A", "250.0", T0), ("D", "400", T0 + dt.timedelta(hours=1))],
+                          "userName STRING, avgTime STRING, window_end TIMESTAMP_NTZ") \
         .write.mode("overwrite").parquet(path)
     bl = VersionedTable(spark, scratch("bl"), "userName STRING, avgTime DOUBLE, cnt INT")
-    for sync in (0, 1, 1):
+    for sync in (0, 1, 1):  # the reference's counting: every poll adds one per flagged player
         sync_blacklist(spark, path, bl, sync)
     assert sorted(tuple(r) for r in bl.read().collect()) == [("A", 250.0, 2), ("D", 400.0, 2)]
+    # counting new offences only: the next sync after T0 + 30 min sees D's window alone
+    sync_blacklist(spark, path, bl, 2, since=T0 + dt.timedelta(minutes=30))
+    assert sorted(tuple(r) for r in bl.read().collect()) == [("A", 250.0, 2), ("D", 400.0, 3)]
 
 
 def test_merge_stats_matches_single_pass(spark):
