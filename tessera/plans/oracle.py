@@ -1,14 +1,14 @@
 """DuckDB oracle SQL for the registered queries (same column names, same data).
 
-Written in the reference's own SQL style (distinct counts, self-joins,
-``EXISTS``) rather than mirroring the Spark plans, so the two sides check each
-other. The derived formats (game log, tab lines) are re-derived here from
+Written as plain relational SQL (distinct counts, self-joins, ``EXISTS``,
+joins against the login days) rather than mirroring the Spark plans, so the
+two sides check each other. The derived formats (game log, tab lines) are re-derived here from
 ``events`` with DuckDB's own functions.
 """
 
 from __future__ import annotations
 
-from tessera.schemas import CN_WEEKDAYS, EVENT_TYPES, HEALING_ITEM, RATE_COLUMNS
+from tessera.schemas import CN_WEEKDAYS, EVENT_TYPES, HEALING_ITEM, RATE_COLUMNS, SAMPLE_LINE_FIELDS, SAMPLE_OTHER_ITEM
 
 BASE = "2024-01-10"
 SPLIT = "2024-01-15"
@@ -49,18 +49,19 @@ _CN_TS = "CASE WHEN value > 480.0 THEN NULL ELSE date_trunc('second', ts) END"
 
 LINES = f"""
 SELECT event_id, ts,
-  CASE WHEN value < 2.0 THEN concat_ws(chr(9), {{head}}) ELSE concat_ws(chr(9), {{head}}, '装备回收', time) END AS line
+  CASE WHEN value < 2.0 THEN concat_ws(chr(9), {{head}}) ELSE concat_ws(chr(9), {{head}}, '{SAMPLE_LINE_FIELDS[11]}', time) END AS line
 FROM (
   SELECT event_id, ts, value,
     CAST(event_id AS VARCHAR) AS f0,
     CASE WHEN value >= 2.0 AND value < 4.0 THEN 'x' ELSE '' END
       || CASE WHEN event_type = 'click' THEN '11' ELSE '10' END AS code,
     CASE WHEN k % 3 = 0 THEN CAST(user_id AS VARCHAR) || ' ' ELSE CAST(user_id AS VARCHAR) END AS usr,
-    CASE WHEN k < 50 THEN '{HEALING_ITEM}' ELSE '裁决之杖' END AS item,
+    CASE WHEN k < 50 THEN '{HEALING_ITEM}' ELSE '{SAMPLE_OTHER_ITEM}' END AS item,
     CASE WHEN value >= 4.0 AND value < 6.0 THEN '2024-13-45 99:99:99' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS time
   FROM (SELECT *, {_K} AS k FROM events)
 )
-""".replace("{head}", "f0, '0', '0', code, '3', '324', '325', usr, item, '96609', '1'")
+""".replace("{head}", ", ".join(
+    {0: "f0", 3: "code", 7: "usr", 8: "item"}.get(i, f"'{SAMPLE_LINE_FIELDS.get(i)}'") for i in range(11)))
 
 _NAMES = ["f0", "f1", "f2", "eventType", "f4", "f5", "f6", "userName", "item", "f9", "f10", "f11", "time"]
 _FIELDS = ", ".join(f"trim(string_split(line, chr(9))[{i + 1}]) AS {n}" for i, n in enumerate(_NAMES))

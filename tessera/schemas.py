@@ -41,6 +41,10 @@ IP_REGEX = r"\A(\d{1,3}\.){3}\d{1,3}\z"
 CN_WEEKDAYS = ["星期日", "星期一", "星期二", "星期三", "星期四", "星期五", "星期六"]
 # Retention horizon of the daily report.
 RETENTION_DAYS = 7
+# Values of the sample real-time line, used to fill the unread fields of derived lines:
+# idx 1, 2, 4, 5, 6, 9, 10 and 11, and an item other than the watched one.
+SAMPLE_LINE_FIELDS = {1: "0", 2: "0", 4: "3", 5: "324", 6: "325", 9: "96609", 10: "1", 11: "装备回收"}
+SAMPLE_OTHER_ITEM = "裁决之杖"
 # ---------------------------------------------------------------------------
 
 GAMELOG = T.StructType(

@@ -16,10 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.schemas import CN_WEEKDAYS, HEALING_ITEM
+from tessera.schemas import CN_WEEKDAYS, HEALING_ITEM, SAMPLE_LINE_FIELDS, SAMPLE_OTHER_ITEM
 
 EVENT_CODE = {"signup": "1", "view": "2", "error": "3", "purchase": "12", "click": "11"}
-OTHER_ITEM = "裁决之杖"
 
 
 def props_k(events: DataFrame) -> Column:
@@ -74,11 +73,12 @@ def lines_from_events(events: DataFrame) -> DataFrame:
     code = F.when((v >= 2.0) & (v < 4.0), F.concat(F.lit("x"), code)).otherwise(code)
     user = F.col("user_id").cast("string")
     user = F.when(k % 3 == 0, F.concat(user, F.lit(" "))).otherwise(user)
-    item = F.when(k < 50, F.lit(HEALING_ITEM)).otherwise(F.lit(OTHER_ITEM))
+    item = F.when(k < 50, F.lit(HEALING_ITEM)).otherwise(F.lit(SAMPLE_OTHER_ITEM))
     time = F.when((v >= 4.0) & (v < 6.0), F.lit("2024-13-45 99:99:99")).otherwise(
         F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss"))
-    head = [F.col("event_id").cast("string"), F.lit("0"), F.lit("0"), code, F.lit("3"), F.lit("324"),
-            F.lit("325"), user, item, F.lit("96609"), F.lit("1")]
-    full = head + [F.lit("装备回收"), time]
+    fixed = {i: F.lit(v) for i, v in SAMPLE_LINE_FIELDS.items()}
+    by_index = {**fixed, 0: F.col("event_id").cast("string"), 3: code, 7: user, 8: item, 12: time}
+    head = [by_index[i] for i in range(11)]
+    full = [by_index[i] for i in range(13)]
     line = F.when(v < 2.0, F.concat_ws("\t", *head)).otherwise(F.concat_ws("\t", *full))
     return events.select(F.col("event_id"), F.col("ts"), F.to_date("ts").alias("day"), line.alias("value"))
