@@ -152,9 +152,10 @@ def blacklist_table_merge(base: DataFrame, deltas: DataFrame) -> DataFrame:
 
 
 def flagged_tables(spark: SparkSession, root: str) -> tuple[DeltaLogTable, DeltaLogTable]:
-    """The flagged-player map and the blacklist, both fed by the same flagged-window deltas."""
-    return (DeltaLogTable(spark, f"{root}/flagged", FLAGGED_MAP, FLAGGED_DELTA),
-            DeltaLogTable(spark, f"{root}/blacklist", BLACKLIST_TABLE, FLAGGED_DELTA))
+    """The flagged-player map and the blacklist: two views (own bases) of one flagged-window delta log."""
+    deltas = f"{root}/flagged-windows"
+    return (DeltaLogTable(spark, f"{root}/flagged", FLAGGED_MAP, FLAGGED_DELTA, deltas),
+            DeltaLogTable(spark, f"{root}/blacklist", BLACKLIST_TABLE, FLAGGED_DELTA, deltas))
 
 
 def flagged_sink(flagged: DeltaLogTable, blacklist: DeltaLogTable, user_col: str = "userName",
@@ -162,20 +163,23 @@ def flagged_sink(flagged: DeltaLogTable, blacklist: DeltaLogTable, user_col: str
     """``foreachBatch`` body of PIP-2 + PIP-3 (SNK-4, STR-10/11/12).
 
     Each batch of newly closed flagged windows (append mode + watermark, so a
-    window arrives once) is appended to both tables' delta logs: the work per
+    window arrives once) is written once to the shared delta log: the work per
     trigger is the batch, not the table. Reading the flagged map gives the
     latest window per player; reading the blacklist gives one increment per
     flagged window. A replayed ``batch_id`` overwrites its own delta, so it
     never counts twice. Every ``compact_every`` batches the deltas are folded
-    into a new base.
+    into new bases. The batch (a few flagged windows) is persisted so the
+    emptiness check and the write do not run the micro-batch twice.
     """
 
     def apply(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
-        rows = df.select(F.col(user_col).cast("string").alias("userName"), "avgTime", "window_end")
-        flagged.append(rows, batch_id)
-        blacklist.append(rows, batch_id)
+        rows = df.select(F.col(user_col).cast("string").alias("userName"), "avgTime", "window_end").persist()
+        try:
+            if rows.isEmpty():
+                return
+            flagged.append(rows, batch_id)  # the blacklist reads the same delta folder
+        finally:
+            rows.unpersist()
         if compact_every and batch_id % compact_every == compact_every - 1:
             flagged.compact(flagged_map_merge)
             blacklist.compact(blacklist_table_merge)

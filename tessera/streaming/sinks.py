@@ -78,7 +78,7 @@ class DeltaLogTable:
     """A keyed table kept as an append-only log of batch deltas plus compacted bases.
 
     ``append(df, batch_id)`` writes only that batch's rows to
-    ``root/deltas/batch=<id>``: O(batch) per trigger, not O(table); a
+    ``<deltas>/batch=<id>`` (default ``root/deltas``): O(batch) per trigger, not O(table); a
     replayed id overwrites its own folder. ``read(merge_fn)`` is
     ``merge_fn(latest base, deltas after it)``; this requires ``merge_fn`` to
     be associative over deltas, which holds for the blacklist (counts add,
@@ -86,12 +86,15 @@ class DeltaLogTable:
     into a new base ``root/base/v=<last id>``, so reads stay bounded.
     """
 
-    def __init__(self, spark: SparkSession, root: str, table_schema: str, delta_schema: str):
+    def __init__(self, spark: SparkSession, root: str, table_schema: str, delta_schema: str,
+                 deltas: str | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.table_schema, self.delta_schema = table_schema, delta_schema
+        # several tables may be views of one delta log (written once per batch)
+        self.deltas = (deltas or f"{self.root}/deltas").rstrip("/")
 
     def append(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/deltas/batch={batch_id}")
+        df.write.mode("overwrite").parquet(f"{self.deltas}/batch={batch_id}")
 
     def _base(self) -> tuple[int, DataFrame]:
         bases = committed_ids(self.spark, f"{self.root}/base", "v")
@@ -101,15 +104,14 @@ class DeltaLogTable:
 
     def read(self, merge_fn: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
         upto, base = self._base()
-        ids = [i for i in committed_ids(self.spark, f"{self.root}/deltas", "batch") if i > upto]
+        ids = [i for i in committed_ids(self.spark, self.deltas, "batch") if i > upto]
         if not ids:
             return base
-        deltas = self.spark.read.schema(self.delta_schema).parquet(
-            *[f"{self.root}/deltas/batch={i}" for i in ids])
+        deltas = self.spark.read.schema(self.delta_schema).parquet(*[f"{self.deltas}/batch={i}" for i in ids])
         return merge_fn(base, deltas)
 
     def compact(self, merge_fn: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-        ids = committed_ids(self.spark, f"{self.root}/deltas", "batch")
+        ids = committed_ids(self.spark, self.deltas, "batch")
         upto, _ = self._base()
         if ids and ids[-1] > upto:
             self.read(merge_fn).write.mode("overwrite").parquet(f"{self.root}/base/v={ids[-1]}")
