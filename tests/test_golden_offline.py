@@ -129,3 +129,22 @@ def test_daily_reports_many_dates_one_pass(log, spark):
     assert rows["2018-02-01"].asDict() == one.asDict()
     assert rows["2018-02-02"]["activeUserCnt"] == 5  # u1, u2, u4, u6 log in and u5 registers on the 2nd
     assert rows["2018-03-01"]["newAddUserCnt"] == 0 and rows["2018-03-01"]["nextDayRate"] is None
+
+
+def test_scan_gamelog_formats_agree(spark, scratch):
+    from tessera.sources.logs import scan_gamelog
+
+    raw = spark.createDataFrame(F1 + [(None, "2", cn(2, "01:00:00"), None)], SCHEMA)
+    paths = {}
+    for fmt in ("json", "parquet", "csv"):
+        paths[fmt] = scratch(f"glog-{fmt}")
+        w = raw.write.mode("overwrite")
+        (w.option("header", "false") if fmt == "csv" else w).format(fmt).save(paths[fmt])
+    # CSV cannot tell "" from a missing field; after the "" defaults all formats agree
+    rows = {fmt: sorted(map(tuple, clean.gamelog_defaults(scan_gamelog(spark, p, fmt)).collect()))
+            for fmt, p in paths.items()}
+    assert rows["json"] == rows["parquet"] == rows["csv"] and len(rows["json"]) == len(F1) + 1
+    # a parquet log without an ip column: the field comes back NULL, then "" after defaults
+    no_ip = scratch("glog-noip")
+    raw.drop("ip").write.mode("overwrite").parquet(no_ip)
+    assert {r.ip for r in clean.gamelog_defaults(scan_gamelog(spark, no_ip)).collect()} == {""}
