@@ -17,7 +17,7 @@ The reference ran nine queries, or a union of three with a seven-way
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import percent_text, ratio
@@ -125,12 +125,18 @@ def retention_matrix(log: DataFrame, roles: Roles, days: int = RETENTION_DAYS,
     """Every base date at once (EXT-1): one row per cohort day.
 
     1. ``groupBy(user, day)``: a user's activity of one day collapses to two
-       flags (registered, logged in), pre-aggregated map side;
-    2. each login day is re-keyed to the ``days`` cohort days it is a return
-       for (a fixed fan-out of ``days``, applied to the small user-day set),
-       ``groupBy(user, cohort)`` ORs the returns into a bit mask;
-    3. ``groupBy(cohort)`` counts. Cohort days are few, the map-side partial
-       counts make the last exchange tiny.
+       flags (registered, logged in), pre-aggregated map side. Keyed by user
+       *and* day, so a user with a third of all rows is spread over days.
+    2. After step 1 a user has at most one row per calendar day, so a window
+       partitioned by user is never skewed: a ``[+1, +days]`` day range frame
+       collects the login days that follow each day (at most ``days`` values).
+       This shuffles each user-day once, where re-keying every login day to
+       its ``days`` cohorts would shuffle it up to ``days + 1`` times.
+    3. ``groupBy(cohort)`` counts, pre-aggregated map side; the last exchange
+       is tiny.
+
+    ``start``/``end`` bound the scan to ``[start, end + days]`` and the output
+    to cohorts in ``[start, end]``.
     """
     ts, ev = F.col(roles.ts), F.col(roles.event)
     cond = F.col(roles.user).isNotNull() & ev.isin(list(roles.active))
@@ -143,33 +149,23 @@ def retention_matrix(log: DataFrame, roles: Roles, days: int = RETENTION_DAYS,
         .agg(F.bool_or(ev.isin(list(roles.register))).alias("reg"),
              F.bool_or(ev.isin(list(roles.login))).alias("login"))
     )
-    # (user, cohort, reg, active, return-mask): the day itself plus, for login days, the cohorts it returns to
-    fan = F.explode(
-        F.array(
-            F.struct(F.lit(0).alias("n"), F.col("day").alias("cohort"), F.lit(0).alias("bit")),
-            *[F.struct(F.lit(n).alias("n"), F.date_sub(F.col("day"), n).alias("cohort"), F.lit(1 << n).alias("bit"))
-              for n in range(1, days + 1)],
-        )
-    ).alias("e")
-    expanded = user_day.select("u", "reg", "login", fan).where(
-        (F.col("e.n") == 0) | F.col("login")
+    day_no = F.datediff(F.col("day"), F.lit("1970-01-01"))
+    following = Window.partitionBy("u").orderBy(day_no).rangeBetween(1, days)
+    returns = user_day.select(
+        "day", "reg", day_no.alias("day_no"),
+        F.collect_set(F.when(F.col("login"), day_no)).over(following).alias("returns"),
     )
-    per_user_cohort = expanded.groupBy("u", F.col("e.cohort").alias("cohort")).agg(
-        F.bool_or((F.col("e.n") == 0) & F.col("reg")).alias("is_new"),
-        F.bool_or(F.col("e.n") == 0).alias("is_active"),
-        F.bit_or(F.col("e.bit")).alias("mask"),
-    )
-    out = per_user_cohort.groupBy("cohort").agg(
-        F.count_if(F.col("is_new")).alias("newAddUserCnt"),
-        F.count_if(F.col("is_active")).alias("activeUserCnt"),
-        *[F.count_if(F.col("is_new") & (F.col("mask").bitwiseAND(1 << n) != 0)).alias(f"d{n}_retained")
+    out = returns.groupBy(F.col("day").alias("date")).agg(
+        F.count_if(F.col("reg")).alias("newAddUserCnt"),
+        F.count(F.lit(1)).alias("activeUserCnt"),
+        *[F.count_if(F.col("reg") & F.array_contains("returns", F.col("day_no") + n)).alias(f"d{n}_retained")
           for n in range(1, days + 1)],
-    ).where(F.col("activeUserCnt") > 0)
+    )
     if start is not None:
-        out = out.where(F.col("cohort") >= F.lit(as_date(start)))
+        out = out.where(F.col("date") >= F.lit(as_date(start)))
     if end is not None:
-        out = out.where(F.col("cohort") <= F.lit(as_date(end)))
-    return out.withColumnRenamed("cohort", "date")
+        out = out.where(F.col("date") <= F.lit(as_date(end)))
+    return out
 
 
 def matrix_report_rows(matrix: DataFrame, days: int = RETENTION_DAYS) -> DataFrame:
