@@ -262,8 +262,8 @@ def q_late_drop(spark, sf):
     count is in the query progress) and the result equals ``burst_stream_wm``.
     """
     c = _clicks(spark, sf)
-    first = c.agg(F.min("ts")).first()[0]
-    late = c.where(F.to_date("ts") < F.date_add(F.lit(first.date()), 3))
+    first = c.agg(F.min("ts")).first()[0]  # one value
+    late = c.where(F.lit(False)) if first is None else c.where(F.to_date("ts") < F.date_add(F.lit(first.date()), 3))
     out, _ = streams.run_bursts(spark, c, "user_id", "ts", mode="append", watermark="0 seconds", late=late, **BURST)
     return out
 

@@ -77,7 +77,7 @@ def _replay_events(spark: SparkSession, source: DataFrame, ts_col: str, build, m
     if late is not None:
         late.write.mode("append").parquet(src)
         runs.append(run_available(query_df, sink, ckpt, mode))
-    return out, runs
+    return out, runs, query_df.schema
 
 
 def run_bursts(spark: SparkSession, events: DataFrame, user_col: str, ts_col: str, *, window: str,
@@ -93,11 +93,9 @@ def run_bursts(spark: SparkSession, events: DataFrame, user_col: str, ts_col: st
     def build(stream):
         return burst_stream(stream, user_col, ts_col, window, slide, min_count, max_avg_ms, watermark)
 
-    out, runs = _replay_events(spark, events, ts_col, build, mode, days_per_chunk, late)
-    schema = "window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ, cnt BIGINT, avgTime DOUBLE"
+    out, runs, schema = _replay_events(spark, events, ts_col, build, mode, days_per_chunk, late)
     reader = read_last_batch if mode == "complete" else read_all_batches
-    result = reader(spark, out, f"{user_col} BIGINT, {schema}")
-    return result, runs
+    return reader(spark, out, schema), runs
 
 
 def dropped_by_watermark(runs: list) -> int:
@@ -120,7 +118,7 @@ def run_ingest_lines(spark: SparkSession, lines: DataFrame, days_per_chunk: int
     runs = replay_by_time(spark, lines, "ts", src,
                           lambda: run_available(parsed, batch_folder_writer(out), ckpt, "append"),
                           days_per_chunk, fmt="text", columns=["value"])
-    return read_all_batches(spark, out), runs
+    return read_all_batches(spark, out, parsed.schema), runs
 
 
 def run_ingest_bursts(spark: SparkSession, lines: DataFrame, *, window: str, slide: str, min_count: int,
@@ -135,7 +133,7 @@ def run_ingest_bursts(spark: SparkSession, lines: DataFrame, *, window: str, sli
     replay_by_time(spark, lines, "ts", src,
                    lambda: run_available(q, batch_folder_writer(out), ckpt, "complete"),
                    days_per_chunk, fmt="text", columns=["value"])
-    return read_last_batch(spark, out)
+    return read_last_batch(spark, out, q.schema)
 
 
 FLAGGED_MAP = "userName STRING, avgTime DOUBLE, window_end TIMESTAMP_NTZ"

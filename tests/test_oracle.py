@@ -25,3 +25,17 @@ def test_entry_smoke(spark):
 
     rows = e.entry(spark).collect()
     assert len(rows) == 1 and rows[0]["newAddUserCnt"] == 2 and rows[0]["activeUserCnt"] == 7
+
+
+def test_every_key_runs_on_an_empty_table(spark, scratch):
+    import __spark_entry__ as e
+
+    d = scratch("empty-sf")
+    spark.read.parquet(f"{SF01}/events.parquet").where("false").write.mode("overwrite").parquet(f"{d}/events.parquet")
+    failed = {}
+    for key, fn in e.queries().items():
+        try:
+            assert fn(spark, d).count() >= 0
+        except Exception as ex:  # collect all, report together
+            failed[key] = str(ex)[:200]
+    assert not failed, failed
