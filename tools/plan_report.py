@@ -38,6 +38,31 @@ def summarise(plan: str) -> dict:
     }
 
 
+NOTES = """
+## At 100 TB
+
+Rough volumes assume a 100 TB event log, ~1e12 events, 1e9 users, a few years of days. "Hot key" means one user or
+day holding a third of the rows.
+
+- **`retention_report`**: with `write_event_log` partitions, the scan reads 8 days. Without them it reads row groups
+  whose `ts` statistics overlap those days, and only 3 columns. One shuffle carries at most one partial row per
+  (user, map task), i.e. about active users x tasks touching them, not events. A hot user is one partial row per task.
+  The last exchange carries 9 counters per task.
+- **`retention_matrix`**: a full scan of 3 columns. Shuffle 1 carries partial (user, day) rows, keyed by user and day,
+  so a hot user or hot day spreads over all reducers. Shuffle 2 carries the distinct user-days once, keyed by user.
+  Each user has at most one row per calendar day, so the window's largest partition holds a few thousand rows per
+  user. Shuffle 3 carries partial counters per (task, day).
+- **`burst_players` / stream**: each click is copied into `window / slide` windows (2 here) before the partial
+  aggregate. The shuffle carries one row per (window, user, task). The state is 3 longs per open (window, user) and is
+  evicted when the watermark passes. RocksDB keeps it off the heap.
+- **Keyed tables**: a micro-batch writes only its flagged windows. Reads merge a compacted base with the newer deltas
+  through one pre-aggregated `groupBy(user)` (`flagged_latest`) or a full outer join with one row per key per side
+  (`blacklist_merge`). Nothing is ever keyed on a constant.
+- **Parsing**: tab lines are parsed once per line (`from_csv` inside a `Generate`). Game-log time is parsed with
+  built-in expressions. No Python runs per row anywhere.
+"""
+
+
 def main():
     from tessera.plans.catalog import QUERIES
     from tessera.session import local_session
@@ -60,6 +85,7 @@ def main():
         print(f"| `{key}` | {s['scans']} | {s['shuffles']} | {s['single_partition']} | {', '.join(s['joins']) or '-'} "
               f"| {'yes' if s['broadcast'] else '-'} | {'yes' if s['expand'] else '-'} "
               f"| {', '.join(s['python']) or ('CARTESIAN' if s['cartesian'] else 'none')} | {pushed} |")
+    print(NOTES)
     print("\nStream keys (" + ", ".join(f"`{k}`" for k in sorted(STREAM_KEYS)) + ") run the same aggregate as "
           "`burst_players` (partial aggregate -> exchange by (window, user) -> state store); see "
           "`tessera/plans/streams.py`.")
