@@ -14,7 +14,7 @@ EVENTS = st.lists(
     st.tuples(st.integers(0, 4), st.integers(0, 11), st.integers(0, 86399),
               st.sampled_from(["signup", "view", "click", "error"])),
     min_size=0, max_size=60)
-SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+SETTINGS = settings(max_examples=12, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.too_slow])
 
 
 def frame(spark, rows):
