@@ -1,7 +1,9 @@
 """Command-line jobs, for ``spark-submit`` (the session comes from the submit configuration).
 
-    spark-submit --py-files tessera.zip tessera/cli.py daily-report --log hdfs:///logs/game \\
-        --format parquet --date 2018-02-01 --table hdfs:///shared/results/daily
+    spark-submit --py-files tessera.zip tessera/cli.py ingest-gamelog --log hdfs:///logs/game \\
+        --format json --out hdfs:///warehouse/gamelog --quarantine hdfs:///warehouse/gamelog_bad
+    spark-submit --py-files tessera.zip tessera/cli.py daily-report --typed --log hdfs:///warehouse/gamelog \\
+        --date 2018-02-01 --table hdfs:///shared/results/daily
     spark-submit --py-files tessera.zip tessera/cli.py bursts --source hdfs:///landing/lines \\
         --checkpoint hdfs:///shared/ckpt/bursts --tables hdfs:///shared/results/cheats
     spark-submit --py-files tessera.zip tessera/cli.py sync-blacklist --flagged hdfs:///shared/flagged \\
@@ -40,6 +42,14 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--date", required=True, action="append", help="base date; repeat for several (one pass)")
     d.add_argument("--table", required=True, help="result table folder (versioned)")
     d.add_argument("--option", action="append", help="reader option key=value")
+    d.add_argument("--typed", action="store_true", help="--log is a table written by ingest-gamelog")
+
+    g = sub.add_parser("ingest-gamelog", help="parse the raw offline log once into a day-partitioned table")
+    g.add_argument("--log", required=True)
+    g.add_argument("--format", default="parquet")
+    g.add_argument("--out", required=True)
+    g.add_argument("--quarantine", help="folder for rows with a bad ip or time")
+    g.add_argument("--option", action="append", help="reader option key=value")
 
     b = sub.add_parser("bursts", help="item-burst detector on a stream of tab lines")
     b.add_argument("--source", help="folder of text files (or omit with --format kafka)")
@@ -74,10 +84,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         from tessera.plans.jobs import daily_result_table, run_daily_report
 
         base = args.date if len(args.date) > 1 else args.date[0]
-        run_daily_report(spark, args.log, base, args.table, fmt=args.format, **_options(args.option))
+        run_daily_report(spark, args.log, base, args.table, fmt=args.format, typed=args.typed,
+                         **_options(args.option))
         latest = daily_result_table(spark, args.table).versions()[-1]
         return {"cmd": args.cmd, "table_version": latest}
 
+    if args.cmd == "ingest-gamelog":
+        from tessera.plans.jobs import ingest_gamelog
+
+        ingest_gamelog(spark, args.log, args.out, fmt=args.format, quarantine_path=args.quarantine,
+                       **_options(args.option))
+        return {"cmd": args.cmd, "out": args.out}
+
     if args.cmd == "bursts":
         from tessera.plans.streams import detect_from_lines, flagged_sink, flagged_tables
         from tessera.streaming.runner import run_available, start

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tessera.operators import clean, retention, tables
 from tessera.operators.roles import GAMELOG_ROLES, Roles
 from tessera.schemas import DAILY_RESULT_DDL, RETENTION_DAYS
-from tessera.sources.logs import flagged_snapshot, scan_gamelog
+from tessera.sources.logs import flagged_snapshot, scan_gamelog, write_event_log
 from tessera.streaming.sinks import VersionedTable
 
 
@@ -21,15 +21,35 @@ def daily_result_table(spark: SparkSession, root: str) -> VersionedTable:
     return VersionedTable(spark, root, DAILY_RESULT_DDL)
 
 
+def ingest_gamelog(spark: SparkSession, raw_path: str, typed_path: str, fmt: str = "parquet",
+                   quarantine_path: str | None = None, **options) -> None:
+    """Parse the raw offline log once: clean, typed rows to a day-partitioned table; bad rows aside.
+
+    Reports on ``typed_path`` (``run_daily_report(..., typed=True)``) then
+    prune ``event_date`` folders and filter plain columns, instead of
+    re-parsing text on every run.
+    """
+    raw = scan_gamelog(spark, raw_path, fmt, **options)
+    write_event_log(clean.clean_gamelog(raw), typed_path, "event_ts")
+    if quarantine_path:
+        clean.gamelog_quarantine(raw).write.mode("append").parquet(quarantine_path)
+
+
 def run_daily_report(spark: SparkSession, log_path: str, base, result_root: str, fmt: str = "parquet",
-                     roles: Roles = GAMELOG_ROLES, days: int = RETENTION_DAYS, **options) -> DataFrame:
+                     roles: Roles = GAMELOG_ROLES, days: int = RETENTION_DAYS, typed: bool = False,
+                     **options) -> DataFrame:
     """PIP-1: scan the offline log, clean it, compute the report for ``base``, upsert it by date.
 
     ``base`` may be a list of dates: all of them come from one pass over the
-    log (``daily_reports``) instead of one job per date. Returns the report
-    rows. The only action is the table write; the log never reaches the driver.
+    log (``daily_reports``) instead of one job per date. ``typed=True`` reads
+    a table written by ``ingest_gamelog`` (already clean, partitioned by day).
+    Returns the report rows. The only action is the table write; the log never
+    reaches the driver.
     """
-    log = clean.clean_gamelog(scan_gamelog(spark, log_path, fmt, **options))
+    if typed:
+        log = spark.read.parquet(log_path)
+    else:
+        log = clean.clean_gamelog(scan_gamelog(spark, log_path, fmt, **options))
     if isinstance(base, (list, tuple)):
         report = retention.daily_reports(log, roles, base, days)
     else:
