@@ -4,10 +4,10 @@ Plan of ``retention_counts`` (one scan, no join):
 
 1. scan the log bounded to ``[base, base + days + 1)`` and to the register and
    login codes: both predicates reach the parquet scan;
-2. ``groupBy(user)`` with one boolean per question (new, active, came back on
-   day n). Every flag is a ``bool_or``, so the map side pre-aggregates each
-   user to one row per task before the shuffle; a user holding a third of the
-   rows costs one row per task, not a skewed reducer;
+2. ``groupBy(user)`` ORing one bit per question (new, active, came back on
+   day n) into an INT. ``bit_or`` is pre-aggregated map side, so each user is
+   one two-field row per task before the shuffle; a user holding a third of
+   the rows costs one row per task, not a skewed reducer;
 3. one global ``count_if`` per flag: partial counts per task, a single-row
    final exchange.
 
@@ -27,28 +27,40 @@ from tessera.operators.users import active_users, login_offsets, new_users
 from tessera.schemas import RATE_COLUMNS, RETENTION_DAYS
 
 
+NEW_BIT, ACTIVE_BIT = 1, 2  # bit n + 1 (n = 1..days): logged in on day n
+
+
 def user_flags(log: DataFrame, roles: Roles, base, days: int = RETENTION_DAYS) -> DataFrame:
-    """One row per user seen in ``[base, base + days]``: ``is_new``, ``is_active``, ``d1``..``d{days}``."""
+    """One row per user seen in ``[base, base + days]``: ``(user, flags INT)``.
+
+    ``flags`` ORs one bit per question: registered on the base day (bit 0),
+    active on it (bit 1), logged in on day n (bit n + 1). ``bit_or`` is
+    pre-aggregated map side, and the shuffled row is two fields instead of
+    one boolean column per question.
+    """
     ts, ev = F.col(roles.ts), F.col(roles.event)
     bounded = log.where(
         F.col(roles.user).isNotNull() & ev.isin(list(roles.active)) & day_range(log, roles.ts, base, 0, days, roles.date)
     )
     off = day_offset(ts, base)
     is_reg, is_login = ev.isin(list(roles.register)), ev.isin(list(roles.login))
-    flags = [
-        F.bool_or(is_reg & (off == 0)).alias("is_new"),
-        F.bool_or((is_reg | is_login) & (off == 0)).alias("is_active"),
-    ] + [F.bool_or(is_login & (off == n)).alias(f"d{n}") for n in range(1, days + 1)]
-    return bounded.groupBy(roles.user).agg(*flags)
+    bits = F.when(off == 0, F.when(is_reg, F.lit(NEW_BIT | ACTIVE_BIT)).otherwise(F.lit(ACTIVE_BIT)))
+    for n in range(1, days + 1):
+        bits = bits.when(is_login & (off == n), F.lit(1 << (n + 1)))
+    return bounded.groupBy(roles.user).agg(F.bit_or(bits.otherwise(F.lit(0))).alias("flags"))
+
+
+def _has(bit: int):
+    return F.col("flags").bitwiseAND(F.lit(bit)) != 0
 
 
 def retention_counts(log: DataFrame, roles: Roles, base, days: int = RETENTION_DAYS) -> DataFrame:
     """One row: ``newAddUserCnt``, ``activeUserCnt``, ``d1_retained``..``d{days}_retained``."""
     f = user_flags(log, roles, base, days)
     return f.agg(
-        F.count_if(F.col("is_new")).alias("newAddUserCnt"),
-        F.count_if(F.col("is_active")).alias("activeUserCnt"),
-        *[F.count_if(F.col("is_new") & F.col(f"d{n}")).alias(f"d{n}_retained") for n in range(1, days + 1)],
+        F.count_if(_has(NEW_BIT)).alias("newAddUserCnt"),
+        F.count_if(_has(ACTIVE_BIT)).alias("activeUserCnt"),
+        *[F.count_if(_has(NEW_BIT) & _has(1 << (n + 1))).alias(f"d{n}_retained") for n in range(1, days + 1)],
     )
 
 
