@@ -2,9 +2,8 @@
 
 Plain parquet has no MERGE, so every upsert is a pure function
 ``(existing, incoming) -> new version``; ``tessera.streaming.sinks`` writes the
-version. Incoming rows are pre-aggregated per key before they meet the table,
-so the join sees one row per key on each side. The join strategy is left to
-AQE, which broadcasts a side only after measuring it at run time.
+version. Each merge is a union of the table and the incoming rows followed by
+one ``groupBy(key)``: a single shuffle, pre-aggregated map side, no join.
 """
 
 from __future__ import annotations
@@ -40,20 +39,28 @@ def blacklist_merge(existing: DataFrame, batch: DataFrame, user_col: str = "user
     key and otherwise sets ``avgTime`` and adds 1. For ``k`` batch rows of one
     key that is ``cnt + k`` (existing) or ``initial_cnt + k - 1`` (new), with
     the avgTime of the latest row by ``order_col``.
+
+    One union and one ``groupBy(user)``, pre-aggregated map side: a single
+    shuffle and no join. ``max_by`` over ``(is_batch, order)`` lets the latest
+    batch row win and keeps the old value when the batch has none.
     """
-    b = batch.groupBy(F.col(user_col).alias("_u")).agg(
-        F.count(F.lit(1)).alias("_k"),
-        F.max_by(F.col("avgTime"), F.col(order_col)).alias("_avg"),
-    )
-    o = existing.select(F.col(user_col).alias("_u"), F.col("avgTime").alias("_old_avg"), F.col("cnt").alias("_cnt"))
-    j = o.join(b, "_u", "full_outer")
-    cnt = F.when(F.col("_cnt").isNull(), F.lit(initial_cnt) + F.col("_k") - 1).otherwise(
-        F.col("_cnt") + F.coalesce(F.col("_k"), F.lit(0)))
-    return j.select(
-        F.col("_u").alias(user_col),
-        F.coalesce(F.col("_avg"), F.col("_old_avg")).cast("double").alias("avgTime"),
-        cnt.cast("int").alias("cnt"),
+    order_type = batch.schema[order_col].dataType
+    old = existing.select(
+        F.col(user_col).alias("_u"), F.col("avgTime").cast("double").alias("_avg"),
+        F.col("cnt").cast("long").alias("_cnt"), F.lit(0).cast("long").alias("_k"),
+        F.struct(F.lit(0).alias("b"), F.lit(None).cast(order_type).alias("o")).alias("_rank"))
+    new = batch.select(
+        F.col(user_col).alias("_u"), F.col("avgTime").cast("double").alias("_avg"),
+        F.lit(None).cast("long").alias("_cnt"), F.lit(1).cast("long").alias("_k"),
+        F.struct(F.lit(1).alias("b"), F.col(order_col).alias("o")).alias("_rank"))
+    per_user = old.unionByName(new).groupBy("_u").agg(
+        F.sum("_cnt").alias("_cnt"),  # NULL: not in the table yet
+        F.sum("_k").alias("_k"),
+        F.max_by("_avg", "_rank").alias("_avg"),
     )
+    cnt = F.when(F.col("_cnt").isNull(), F.lit(initial_cnt) + F.col("_k") - 1).otherwise(F.col("_cnt") + F.col("_k"))
+    return per_user.select(
+        F.col("_u").alias(user_col), F.col("_avg").alias("avgTime"), cnt.cast("int").alias("cnt"))
 
 
 def flagged_latest(windows: DataFrame, user_col: str = "userName", existing: DataFrame | None = None) -> DataFrame:

@@ -56,8 +56,8 @@ day holding a third of the rows.
   aggregate. The shuffle carries one row per (window, user, task). The state is 3 longs per open (window, user) and is
   evicted when the watermark passes. RocksDB keeps it off the heap.
 - **Keyed tables**: a micro-batch writes only its flagged windows. Reads merge a compacted base with the newer deltas
-  through one pre-aggregated `groupBy(user)` (`flagged_latest`) or a full outer join with one row per key per side
-  (`blacklist_merge`). Nothing is ever keyed on a constant.
+  through a union and one pre-aggregated `groupBy(user)` (`flagged_latest`, `blacklist_merge`, `upsert_daily` by
+  date): a single shuffle and no join. Nothing is ever keyed on a constant.
 - **Parsing**: tab lines are parsed once per line (`from_csv` inside a `Generate`). Game-log time is parsed with
   built-in expressions. No Python runs per row anywhere.
 """
