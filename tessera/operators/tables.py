@@ -86,10 +86,22 @@ def sanctions(blacklist: DataFrame, last_seen: DataFrame, as_of, user_col: str =
     ``last_seen`` is ``(user, last_seen)`` with the end of the user's latest flagged window.
     """
     cutoff = dt.datetime.combine(as_date(as_of) - dt.timedelta(days=clean_days), dt.time())
-    j = blacklist.join(last_seen, user_col, "left")
+    seen_type = last_seen.schema["last_seen"].dataType
+    # blacklist rows and last-seen rows side by side, one keyed aggregate: one shuffle, no join
+    both = blacklist.select(
+        F.col(user_col), F.col("avgTime").cast("double").alias("avgTime"), F.col("cnt").cast("int").alias("cnt"),
+        F.lit(None).cast(seen_type).alias("last_seen"), F.lit(True).alias("_listed"),
+    ).unionByName(last_seen.select(
+        F.col(user_col), F.lit(None).cast("double").alias("avgTime"), F.lit(None).cast("int").alias("cnt"),
+        F.col("last_seen"), F.lit(False).alias("_listed"),
+    ))
+    j = both.groupBy(user_col).agg(
+        F.max("avgTime").alias("avgTime"), F.max("cnt").alias("cnt"), F.max("last_seen").alias("last_seen"),
+        F.bool_or("_listed").alias("_listed"),
+    ).where(F.col("_listed"))
     action = (
         F.when(F.col("cnt") > max_warnings, F.lit("close"))
-        .when(F.col("last_seen") < F.lit(cutoff).cast(last_seen.schema["last_seen"].dataType), F.lit("clear"))
+        .when(F.col("last_seen") < F.lit(cutoff).cast(seen_type), F.lit("clear"))
         .otherwise(F.lit("warn"))
     )
     return j.select(user_col, "avgTime", "cnt", "last_seen", action.alias("action"))
