@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import near_dedup
+from tessera.llm import decontaminate, near_dedup, substring_dedup
 from tessera.llm.stage import table
 
 
@@ -13,8 +13,21 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeat 50 words of a document with a smaller id, and a digest of the rest."""
+    return substring_dedup.digests(substring_dedup.substring_dedup(spark, table(spark, sf_dir, "documents")))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a 10-word window of a benchmark item, and those items."""
+    return decontaminate.digests(decontaminate.contamination(
+        spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE: dict[str, str] = {}

@@ -161,6 +161,13 @@ def runs(hashes: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+def spans(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hash of the words from ``begin`` to before ``end``, for arrays of both."""
+    total = np.zeros(len(hashes) + 1, U64)
+    np.cumsum(hashes * _WORDS.upto(len(hashes)), out=total[1:])
+    return mix((total[end] - total[begin]) * _WORDS_BACK.upto(len(hashes) + 1)[begin])
+
+
 def run_rows(block: Block, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(first words, rows) of the runs of ``k`` words that lie within one row."""
     n = np.maximum(block.counts - k + 1, 0)
