@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, near_dedup, substring_dedup
+from tessera.llm import bpe, decontaminate, near_dedup, substring_dedup, token_files
 from tessera.llm.stage import table
 
 
@@ -13,6 +14,17 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's token ids, read back from Arrow sequence files."""
+    return token_files.round_trip(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the text decoded from them."""
+    encoded = bpe.encode(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), decoded=True)
+    return bpe.digests(encoded)
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that repeat 50 words of a document with a smaller id, and a digest of the rest."""
     return substring_dedup.digests(substring_dedup.substring_dedup(spark, table(spark, sf_dir, "documents")))
@@ -26,6 +38,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_token_files": op2_token_files,
+    "op3_bpe": op3_bpe,
     "op6_substring_dedup": op6_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
