@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, decontaminate, near_dedup, substring_dedup, token_files
+from tessera.llm import bpe, decontaminate, language_id, near_dedup, sharding, substring_dedup, token_files, warc
 from tessera.llm.stage import table
 
 
@@ -25,11 +25,27 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(encoded)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document (PPM code lengths)."""
+    return language_id.identify(spark, table(spark, sf_dir, "documents"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's WARC record, read back from ZIP archives by range."""
+    found = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that repeat 50 words of a document with a smaller id, and a digest of the rest."""
     return substring_dedup.digests(substring_dedup.substring_dedup(spark, table(spark, sf_dir, "documents")))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document (Feistel permutation of row numbers)."""
+    return sharding.shard(spark, table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a 10-word window of a benchmark item, and those items."""
     return decontaminate.digests(decontaminate.contamination(
@@ -40,7 +56,10 @@ QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_token_files": op2_token_files,
     "op3_bpe": op3_bpe,
+    "op4_language_id": op4_language_id,
+    "op5_warc": op5_warc,
     "op6_substring_dedup": op6_substring_dedup,
+    "op8_sharding": op8_sharding,
     "op10_decontaminate": op10_decontaminate,
 }
 
