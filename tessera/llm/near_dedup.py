@@ -8,8 +8,9 @@ only after an exact comparison of the two full shingle sets.
 
 Equal sets are one *class* and are compared once. In each band bucket the class
 that shares most with the others is the hub and is compared first; classes of a
-bucket that are still in different components are then compared pair by pair,
-so no candidate link between different components is left out.
+bucket that are still in different components are then joined by the rarest of
+their shingles (an exact prefix filter on the full sets), so no link between
+different components is left out and no group is compared pair by pair.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import words as W
@@ -118,6 +119,15 @@ def _named(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
         yield batch.filter(pa.array(same, pa.bool_()))
 
 
+def _exploded(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of each class."""
+    for batch in batches:
+        for block in W.blocks(batch.column("text"), W.LOWER_WORDS):
+            sets = list(W.shingle_sets(block, k))
+            nodes = np.repeat(np.asarray(batch.column("node").slice(block.lo, len(sets))), [len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(sets).view(np.int64))], ["node", "shingle"])
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                     percent: int = 75, k: int = SHINGLE_WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
@@ -156,15 +166,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     texts = written(spark, texts.mapInArrow(partial(_named, k=k), "node long, text string").dropDuplicates(["node"]), "texts")
     linked = written(spark, _links(stars, texts, k, percent), "linked")
 
-    # what hubs did not decide: classes of one bucket in different components, each pair once
+    # what hubs did not decide: classes of one bucket in different components
     root = components(spark, linked)
     placed = spread.select("bucket", "node").join(root, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    open_ = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-    placed = written(spark, placed.join(open_, "bucket", "left_semi").join(sketches.select("node", "n_shingles"), "node"), "open")
-    x, y = placed.alias("x"), placed.alias("y")
-    rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
-                  & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles")))
-    rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
+    open_ = written(spark, placed.join(mixed, "bucket", "left_semi").select("node", "root").distinct(), "open")
+    owned = open_.select("node").join(texts, "node").mapInArrow(partial(_exploded, k=k), "node long, shingle long")
+    rest = _crossing(spark, written(spark, owned, "owned"), open_.join(sketches.select("node", "n_shingles"), "node"), percent).join(stars, ["a", "b"], "left_anti")
     rest = written(spark, _candidates(rest, sketches, percent), "rest")
     more = written(spark, _links(rest, texts, k, percent), "linked")
 
@@ -177,6 +185,34 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def _crossing(spark: SparkSession, owned: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` in different components whose sets (``owned``) may be similar enough: a prefix-filtered set join.
+
+    With shingles in order of rarity, sets of n and m shingles that share ``s = percent * (n + m) / (100 + percent)``
+    share one of the first n - s + 1 and m - s + 1. Prefixes are cut for each class of partner sizes (powers of 1.1),
+    and a match must leave room for the rest. A shingle's classes of its most frequent component meet only the others.
+    """
+    several = owned.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    by_node = Window.partitionBy("node")
+    ranked = owned.join(several, "shingle").withColumn("rank", F.row_number().over(by_node.orderBy("df", "shingle"))).withColumn("known", F.count("*").over(by_node))
+    ranked = ranked.select("node", "shingle", "rank", "known").join(nodes, "node").withColumn("pos", F.expr("n_shingles - known + rank"))
+    size_class = "cast(floor(ln({}) / ln(1.1)) as int)"
+    smallest, largest = f"greatest(ceil({percent} * n_shingles / 100D), 1)", f"floor(100D * n_shingles / {percent})"
+    needed = f"ceil({percent} * (n_shingles + greatest(floor(pow(1.1D, c) * 0.999999), {smallest})) / {100 + percent}D - 0.000001)"
+    partners = f"filter(sequence({size_class.format(smallest)}, {size_class.format(largest)}), c -> pos <= n_shingles - {needed} + 1)"
+    posted = ranked.withColumn("own", F.expr(size_class.format("n_shingles"))).withColumn("partner", F.explode(F.expr(partners)))
+    posted = posted.select("shingle", F.least("own", "partner").alias("c1"), F.greatest("own", "partner").alias("c2"), "node", "root", "n_shingles", "pos")
+    posted = written(spark, posted, "posted")
+    key = ["shingle", "c1", "c2"]
+    main = posted.groupBy(*key, "root").agg(F.count("*").alias("n")).groupBy(*key).agg(F.max(F.struct("n", "root")).getField("root").alias("main"), F.count("*").alias("roots"))
+    posted = posted.join(main.where("roots > 1").drop("roots"), key)
+    x, y = posted.where("root <> main").alias("x"), posted.alias("y")
+    both = F.col("x.n_shingles") + F.col("y.n_shingles")
+    room = 1 + F.least(F.col("x.n_shingles") - F.col("x.pos"), F.col("y.n_shingles") - F.col("y.pos"))
+    met = x.join(y, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in key] + [F.col("x.root") != F.col("y.root"), (100 + percent) * room >= percent * both])
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
 def _candidates(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs that their sizes and sketches allow to be similar."""
     left = sketches.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
