@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, decontaminate, language_id, near_dedup, sharding, substring_dedup, token_files, warc
+from tessera.llm import ann, bpe, decontaminate, language_id, near_dedup, sharding, substring_dedup, token_files, warc
 from tessera.llm.stage import table
 
 
@@ -41,6 +41,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(substring_dedup.substring_dedup(spark, table(spark, sf_dir, "documents")))
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found for every hundredth vector (adaptive dimension scan)."""
+    return ann.search(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document (Feistel permutation of row numbers)."""
     return sharding.shard(spark, table(spark, sf_dir, "documents"))
@@ -59,6 +64,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_warc": op5_warc,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_ann": op7_ann,
     "op8_sharding": op8_sharding,
     "op10_decontaminate": op10_decontaminate,
 }
