@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import ann, bpe, decontaminate, language_id, near_dedup, sharding, substring_dedup, token_files, warc
+from tessera.llm import ann, bpe, decontaminate, language_id, near_dedup, sharding, substring_dedup, token_files, toxicity, warc
 from tessera.llm.stage import table
 
 
@@ -51,6 +51,11 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(spark, table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability and verdict of every document for each category of the classifier chain."""
+    return toxicity.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a 10-word window of a benchmark item, and those items."""
     return decontaminate.digests(decontaminate.contamination(
@@ -66,6 +71,7 @@ QUERIES = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_ann": op7_ann,
     "op8_sharding": op8_sharding,
+    "op9_toxicity": op9_toxicity,
     "op10_decontaminate": op10_decontaminate,
 }
 

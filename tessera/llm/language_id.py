@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.llm import rows
 from tessera.llm import words as W
 
 ORDER = 3
@@ -125,8 +126,8 @@ def _scored(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]
                 names.append(model.languages[best[i]] if known else UNKNOWN)
                 scores.append(float(chance[i]) if known else 0.0)
                 rates.append(float(rate[i]) if known else None)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())],
-                                         ["doc_id", "lang_pred", "score", "bits_per_byte"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("k1"), batch.column("k2"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())],
+                                         ["doc_id", *rows.KEY, "lang_pred", "score", "bits_per_byte"])
 
 
 def held_out(id_col: str):
@@ -156,18 +157,19 @@ def train(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
                  np.asarray(counted["n"]).astype(np.float64), order)
 
 
-def identify(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **bounds) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, bits_per_byte) for every row of ``docs``.
+def identify(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *,
+             keyed: bool = False, **bounds) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score, bits_per_byte) for every row of ``docs``; with ``keyed`` also (k1, k2), see ``rows``.
 
     The prediction sees the whole text only. A null text, and one without a letter, is ``und`` with score 0; so is
     every text if there is nothing to learn from. Equal code lengths go to the language that comes first by name.
     Rows stay as they are, repeated or with a null id; other columns play no part.
     """
     model = train(spark, docs, id_col, text_col, lang_col, **bounds)
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    own = rows.keyed(docs, id_col, text_col)
     if model is None:
-        out = own.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("bits_per_byte"))
+        out = own.select("doc_id", *rows.KEY, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("bits_per_byte"))
     else:
         own = own.withColumn("letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-        out = own.mapInArrow(partial(_scored, sent=spark.sparkContext.broadcast(model)), "doc_id long, lang_pred string, score double, bits_per_byte double")
-    return out.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "bits_per_byte")
+        out = own.mapInArrow(partial(_scored, sent=spark.sparkContext.broadcast(model)), "doc_id long, k1 long, k2 long, lang_pred string, score double, bits_per_byte double")
+    return out.select("doc_id", *rows.KEY * keyed, held_out("doc_id").alias("held_out"), "lang_pred", "score", "bits_per_byte")

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.llm import rows as rows_of
 from tessera.llm import words as W
 from tessera.llm.components import components
 from tessera.llm.stage import written
@@ -33,7 +34,7 @@ BANDS, ROWS = 32, 4
 #: Share of equal coordinates below which a candidate pair is not compared: 6.5 standard errors under 0.75.
 LEAST_AGREEMENT = 0.5
 
-_SIGNED = "node long, node2 long, n_shingles long, sketch binary, bands array<long>"
+_SIGNED = "doc_id long, k1 long, k2 long, node long, node2 long, n_shingles long, sketch binary, bands array<long>"
 
 
 def _pi(x: np.ndarray, spare: np.ndarray) -> np.ndarray:
@@ -69,7 +70,7 @@ def _signed(batches: Iterator[pa.RecordBatch], k: int, bands: int, rows: int) ->
     salts = W.mix(np.arange(bands, dtype=np.uint64) + np.uint64(1 << 40))
     for batch in batches:
         at = 0
-        for block in W.blocks(batch.column(1), W.LOWER_WORDS):
+        for block in W.blocks(batch.column("text"), W.LOWER_WORDS):
             ids, sizes, signs, full = [], [], [], []
             for shingles in W.shingle_sets(block, k):
                 sizes.append(len(shingles))
@@ -82,12 +83,12 @@ def _signed(batches: Iterator[pa.RecordBatch], k: int, bands: int, rows: int) ->
             sketch = iter(got.reshape(-1, bands * rows).astype(np.uint8))
             band = iter(keys)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(at, len(sizes)),
+                *(batch.column(c).slice(at, len(sizes)) for c in ("doc_id", "k1", "k2")),
                 pa.array([a for a, _ in ids], pa.int64()), pa.array([b for _, b in ids], pa.int64()),
                 pa.array(sizes, pa.int64()),
                 pa.array([next(sketch).tobytes() if f else None for f in full], pa.binary()),
                 pa.array([next(band) if f else None for f in full], pa.list_(pa.int64())),
-            ], ["doc_id", "node", "node2", "n_shingles", "sketch", "bands"])
+            ], ["doc_id", "k1", "k2", "node", "node2", "n_shingles", "sketch", "bands"])
             at += len(sizes)
 
 
@@ -128,9 +129,9 @@ def _exploded(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(sets).view(np.int64))], ["node", "shingle"])
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
+def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, keyed: bool = False,
                     percent: int = 75, k: int = SHINGLE_WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``; with ``keyed`` also (k1, k2), see ``rows``.
 
     Two documents are linked if ``100 * intersection >= percent * union`` of their
     distinct ``k``-word shingles (words lower-cased for A-Z, cut at blanks; a
@@ -142,8 +143,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     A null doc_id can be linked but names no component unless no other is there:
     then component_id is null and the row is kept. Other columns play no part.
     """
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = written(spark, own.mapInArrow(partial(_signed, k=k, bands=bands, rows=rows), f"doc_id long, {_SIGNED}"), "signed")
+    own = rows_of.keyed(docs, id_col, text_col)
+    signed = written(spark, own.mapInArrow(partial(_signed, k=k, bands=bands, rows=rows), _SIGNED), "signed")
     classes = written(spark, signed.where("node is not null").groupBy("node", "node2", "n_shingles").agg(
         F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "classes")
 
@@ -162,7 +163,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
 
     # the texts of all classes that share a bucket, once
     members = classes.join(spread.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("rep"))
-    texts = own.join(members, F.col("doc_id") == F.col("rep")).select("node", "text")
+    texts = own.select("doc_id", "text").join(members, F.col("doc_id") == F.col("rep")).select("node", "text")
     texts = written(spark, texts.mapInArrow(partial(_named, k=k), "node long, text string").dropDuplicates(["node"]), "texts")
     linked = written(spark, _links(stars, texts, k, percent), "linked")
 
@@ -180,9 +181,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     found = classes.select("node", "node2", "n_shingles", "doc_id").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     found = found.join(least, "root").select("node", "node2", "n_shingles", "component_id")
-    out = signed.select("doc_id", "node", "node2", "n_shingles").join(found, ["node", "node2", "n_shingles"], "left")
+    out = signed.select("doc_id", *rows_of.KEY, "node", "node2", "n_shingles").join(found, ["node", "node2", "n_shingles"], "left")
     out = out.withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("doc_id", *rows_of.KEY * keyed, "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def _crossing(spark: SparkSession, owned: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
