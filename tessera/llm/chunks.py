@@ -60,7 +60,7 @@ def binary_column(data: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> p
 class Remembered:
     """A bounded memory of results by chunk: two generations, the older one goes when the newer is full."""
 
-    def __init__(self, most: int = 150_000):
+    def __init__(self, most: int = 250_000):
         self.most, self.new, self.old = most, {}, {}
 
     def all(self, chunks: list[bytes], make) -> list[bytes]:
