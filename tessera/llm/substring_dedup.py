@@ -105,17 +105,24 @@ def _opened(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Texts without the words that repeated windows cover: (row, n_removed, kept_text)."""
     for batch in batches:
-        removed, texts = [], []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("repeated").to_pylist(), strict=True):
-            words = text.encode().split()
-            edge = np.zeros(len(words) + 1, np.int64)
-            for s in spans:
-                edge[s["pos"]] += 1
-                edge[s["pos"] + s["n"] + window - 1] -= 1
-            covered = np.cumsum(edge)[:-1] > 0
-            removed.append(int(covered.sum()))
-            texts.append(b" ".join(w for w, c in zip(words, covered.tolist(), strict=True) if not c).decode())
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(removed, pa.int64()), pa.array(texts, pa.string())], ["row", "n_removed", "kept_text"])
+        lists = batch.column("repeated")
+        data, offsets = W.utf8(batch.column("text"))
+        for lo, hi in W.ranges(offsets):
+            spans = lists.slice(lo, hi - lo)
+            pos, n = (np.asarray(spans.flatten().field(i)) for i in range(2))
+            ends = np.cumsum(np.asarray(spans.value_lengths()))
+            removed, texts = [], []
+            for i, (begin, end) in enumerate(zip(offsets[lo:hi].tolist(), offsets[lo + 1 : hi + 1].tolist(), strict=True)):
+                words = data[begin:end].tobytes().split()
+                mine = slice(ends[i - 1] if i else 0, ends[i])
+                edge = np.zeros(len(words) + 1, np.int64)
+                np.add.at(edge, pos[mine], 1)
+                np.add.at(edge, pos[mine] + n[mine] + window - 1, -1)
+                covered = np.cumsum(edge)[:-1] > 0
+                removed.append(int(covered.sum()))
+                texts.append(b" ".join(w for w, c in zip(words, covered.tolist(), strict=True) if not c))
+            yield pa.RecordBatch.from_arrays([batch.column("row").slice(lo, hi - lo), pa.array(removed, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())],
+                                             ["row", "n_removed", "kept_text"])
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
