@@ -18,7 +18,8 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 HEADLINE = ["retention_report", "retention_matrix", "burst_players"]
-EXTRA = ["gamelog_report", "burst_lines", "retained_semi", "metrics_union", "blacklist_merge", "parse_log_line"]
+EXTRA = ["gamelog_report", "burst_lines", "retained_semi", "metrics_union", "blacklist_merge", "parse_log_line",
+         "daily_report_saved"]
 
 
 def main() -> None:
@@ -45,6 +46,7 @@ def main() -> None:
 
     # streaming: the burst detector (append + watermark) over all clicks, delivered as 6 arriving chunks
     from tessera.plans import catalog, streams
+    from tessera.streaming.runner import batches_run
 
     clicks = catalog._clicks(spark, sf_dir)
     n_clicks = clicks.count()
@@ -53,7 +55,7 @@ def main() -> None:
                                    **catalog.BURST)
     out.write.format("noop").mode("overwrite").save()
     stream_s = time.time() - t
-    batches = sum(len(q.recentProgress) for q in runs)
+    batches = batches_run(runs[-1])
 
     sf = Path(sf_dir).name.replace("sf", "")
     print(json.dumps({

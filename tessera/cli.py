@@ -6,7 +6,7 @@
         --date 2018-02-01 --table hdfs:///shared/results/daily
     spark-submit --py-files tessera.zip tessera/cli.py bursts --source hdfs:///landing/lines \\
         --checkpoint hdfs:///shared/ckpt/bursts --tables hdfs:///shared/results/cheats
-    spark-submit --py-files tessera.zip tessera/cli.py sync-blacklist --flagged hdfs:///shared/flagged \\
+    spark-submit --py-files tessera.zip tessera/cli.py sync-blacklist --tables hdfs:///shared/results/cheats \\
         --table hdfs:///shared/bl --sync-id 7
 
 Each subcommand is one of the reference's entry points: the offline report
@@ -49,6 +49,7 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("--format", default="parquet")
     g.add_argument("--out", required=True)
     g.add_argument("--quarantine", help="folder for rows with a bad ip or time")
+    g.add_argument("--load-id", help="name of this load; a rerun replaces it (default: a digest of --log)")
     g.add_argument("--option", action="append", help="reader option key=value")
 
     b = sub.add_parser("bursts", help="item-burst detector on a stream of tab lines")
@@ -66,9 +67,11 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--trigger", default="5 seconds")
     b.add_argument("--available-now", action="store_true", help="process what has arrived, then stop")
     b.add_argument("--compact-every", type=int, default=50)
+    b.add_argument("--count-per", choices=["window", "batch"], default="window", help="what adds one to a player's counter")
 
     s = sub.add_parser("sync-blacklist", help="apply the flagged-player map to the blacklist once")
-    s.add_argument("--flagged", required=True)
+    s.add_argument("--flagged", help="folder of a stored flagged map")
+    s.add_argument("--tables", help="the --tables folder of the bursts job: read its flagged map")
     s.add_argument("--table", required=True)
     s.add_argument("--sync-id", type=int, required=True)
     s.add_argument("--since", help="count only windows ending after this time (default: every flagged player)")
@@ -81,24 +84,23 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     configure(spark)
 
     if args.cmd == "daily-report":
-        from tessera.plans.jobs import daily_result_table, run_daily_report
+        from tessera.plans.jobs import run_daily_report
 
         base = args.date if len(args.date) > 1 else args.date[0]
         run_daily_report(spark, args.log, base, args.table, fmt=args.format, typed=args.typed,
                          **_options(args.option))
-        latest = daily_result_table(spark, args.table).versions()[-1]
-        return {"cmd": args.cmd, "table_version": latest}
+        return {"cmd": args.cmd, "dates": args.date}
 
     if args.cmd == "ingest-gamelog":
         from tessera.plans.jobs import ingest_gamelog
 
         ingest_gamelog(spark, args.log, args.out, fmt=args.format, quarantine_path=args.quarantine,
-                       **_options(args.option))
+                       load_id=args.load_id, **_options(args.option))
         return {"cmd": args.cmd, "out": args.out}
 
     if args.cmd == "bursts":
         from tessera.plans.streams import detect_from_lines, flagged_sink, flagged_tables
-        from tessera.streaming.runner import run_available, start
+        from tessera.streaming.runner import batches_run, run_available, start
         from tessera.streaming.sources import stream_lines
 
         lines = stream_lines(spark, args.source, fmt=args.format, **_options(args.option))
@@ -106,10 +108,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                                     max_avg_ms=args.max_avg_ms, time_basis=args.time_basis,
                                     watermark=args.watermark)
         fm, bl = flagged_tables(spark, args.tables)
-        sink = flagged_sink(fm, bl, compact_every=args.compact_every)
+        sink = flagged_sink(fm, bl, compact_every=args.compact_every, count_per=args.count_per)
         if args.available_now:
             q = run_available(flagged, sink, args.checkpoint, "append")
-            return {"cmd": args.cmd, "batches": len(q.recentProgress)}
+            return {"cmd": args.cmd, "batches": batches_run(q)}
         q = start(flagged, sink, args.checkpoint, "append", processing_time=args.trigger)
         q.awaitTermination()
         return {"cmd": args.cmd}
@@ -119,7 +121,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         from tessera.streaming.sinks import VersionedTable
 
         bl = VersionedTable(spark, args.table, schemas.BLACKLIST_DDL)
-        sync_blacklist(spark, args.flagged, bl, args.sync_id, since=args.since)
+        if bool(args.flagged) == bool(args.tables):
+            raise SystemExit("give --flagged or --tables")
+        if args.tables:
+            from tessera.plans.streams import flagged_map_merge, flagged_tables
+
+            flagged = flagged_tables(spark, args.tables)[0].read(flagged_map_merge)
+        sync_blacklist(spark, args.flagged or flagged, bl, args.sync_id, since=args.since)
         return {"cmd": args.cmd, "versions": bl.versions()[-1]}
 
     raise SystemExit(f"unknown command {args.cmd}")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from tessera.functions.time import CN_TIME_HEAD
 from tessera.schemas import CN_TIME_PATTERN
 
 
@@ -16,6 +17,6 @@ def register(spark: SparkSession) -> None:
     """Register ``getTimeMills(t STRING) -> BIGINT`` for this session."""
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION getTimeMills(t STRING) RETURNS BIGINT "
-        "RETURN unix_millis(try_to_timestamp(regexp_replace(t, ',[^,]*,', ' '), "
+        f"RETURN unix_millis(try_to_timestamp(regexp_extract(regexp_replace(t, ',[^,]*,', ' '), r'{CN_TIME_HEAD}', 1), "
         f"'{CN_TIME_PATTERN}'))"
     )

@@ -16,6 +16,10 @@ from tessera.schemas import CN_TIME_PATTERN, ISO_TIME_PATTERN
 
 DateLike = str | dt.date
 
+# the part of a time text that is parsed; anything after the seconds is left
+CN_TIME_HEAD = r"^\s*(\d{4}年\d{1,2}月\d{1,2}日 +\d{1,2}:\d{1,2}:\d{1,2})"
+ISO_TIME_HEAD = r"^\s*(\d{4}-\d{1,2}-\d{1,2} +\d{1,2}:\d{1,2}:\d{1,2})"
+
 
 def as_date(value: DateLike) -> dt.date:
     return value if isinstance(value, dt.date) else dt.date.fromisoformat(value)
@@ -25,15 +29,17 @@ def parse_cn_time(col: Column | str) -> Column:
     """``2018年2月1日,星期一,10:02:01`` -> TIMESTAMP, NULL on garbage.
 
     The weekday between the commas carries no information and pattern letter
-    ``E`` cannot be parsed on Spark 3+, so it is cut out before parsing.
+    ``E`` cannot be parsed on Spark 3+, so it is cut out before parsing. Fields
+    may have one digit and text after the seconds is ignored.
     """
     text = F.regexp_replace(F.col(col) if isinstance(col, str) else col, ",[^,]*,", " ")
-    return F.try_to_timestamp(text, F.lit(CN_TIME_PATTERN))
+    return F.try_to_timestamp(F.regexp_extract(text, CN_TIME_HEAD, 1), F.lit(CN_TIME_PATTERN))
 
 
 def parse_iso_time(col: Column | str) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` -> TIMESTAMP, NULL on garbage."""
-    return F.try_to_timestamp(F.trim(F.col(col) if isinstance(col, str) else col), F.lit(ISO_TIME_PATTERN))
+    """``yyyy-MM-dd HH:mm:ss`` -> TIMESTAMP, NULL on garbage; one-digit fields and trailing text as above."""
+    text = F.regexp_extract(F.col(col) if isinstance(col, str) else col, ISO_TIME_HEAD, 1)
+    return F.try_to_timestamp(text, F.lit(ISO_TIME_PATTERN))
 
 
 def millis(col: Column | str) -> Column:

@@ -54,11 +54,16 @@ def avg_gap(cnt: str = "cnt", max_t: str = "maxTime", min_t: str = "minTime") ->
     return F.try_divide(span, F.col(cnt).cast("decimal(20,0)")).cast("decimal(18,4)").cast("double")
 
 
-def burst_windows(events: DataFrame, user_col: str, ts_col: str,
-                  window: str = BURST_WINDOW, slide: str = BURST_SLIDE) -> DataFrame:
-    """Per (sliding window, user): ``cnt``, ``maxTime``, ``minTime``."""
-    return events.groupBy(F.window(ts_col, window, slide).alias("window"), F.col(user_col)).agg(
-        *burst_stats(ts_col)
+def burst_windows(events: DataFrame, user_col: str, window_col: str, window: str = BURST_WINDOW,
+                  slide: str = BURST_SLIDE, gap_col: str | None = None) -> DataFrame:
+    """Per (sliding window, user): ``cnt``, ``maxTime``, ``minTime``.
+
+    Rows fall into windows by ``window_col``; the times that the gap is
+    measured between come from ``gap_col`` (default: the same column). A stream
+    windowed on arrival measures the gap on the game's own time.
+    """
+    return events.groupBy(F.window(window_col, window, slide).alias("window"), F.col(user_col)).agg(
+        *burst_stats(gap_col or window_col)
     )
 
 
@@ -77,9 +82,9 @@ def apply_rule(windows: DataFrame, user_col: str, min_count: int = BURST_MIN_COU
 
 def detect_bursts(events: DataFrame, user_col: str, ts_col: str, window: str = BURST_WINDOW,
                   slide: str = BURST_SLIDE, min_count: int = BURST_MIN_COUNT,
-                  max_avg_ms: float = BURST_MAX_AVG_MS) -> DataFrame:
+                  max_avg_ms: float = BURST_MAX_AVG_MS, gap_col: str | None = None) -> DataFrame:
     """Flagged (window, user) rows: ``window_start, window_end, user, cnt, avgTime`` (PIP-2)."""
-    return apply_rule(burst_windows(events, user_col, ts_col, window, slide), user_col, min_count, max_avg_ms)
+    return apply_rule(burst_windows(events, user_col, ts_col, window, slide, gap_col), user_col, min_count, max_avg_ms)
 
 
 def flagged_players(bursts: DataFrame, user_col: str) -> DataFrame:

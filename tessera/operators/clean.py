@@ -45,12 +45,16 @@ def clean_gamelog(df: DataFrame, drop_blank_user: bool = False) -> DataFrame:
     return out.where(F.col("userName") != "") if drop_blank_user else out
 
 
+def judged_gamelog(df: DataFrame) -> DataFrame:
+    """All rows with ``event_ts`` and, for those ``clean_gamelog`` drops, the reason."""
+    d = with_event_time(gamelog_defaults(df))
+    reason = F.when(~valid_ip("ip"), F.lit("bad ip")).when(F.col("event_ts").isNull(), F.lit("bad time"))
+    return d.withColumn("reason", reason)
+
+
 def gamelog_quarantine(df: DataFrame) -> DataFrame:
     """Rows ``clean_gamelog`` drops, with the reason (PRJ-5 for the offline log)."""
-    d = gamelog_defaults(df)
-    ts = parse_cn_time("time")
-    reason = F.when(~valid_ip("ip"), F.lit("bad ip")).when(ts.isNull(), F.lit("bad time"))
-    return d.select(*d.columns, reason.alias("reason")).where(F.col("reason").isNotNull())
+    return judged_gamelog(df).where(F.col("reason").isNotNull()).drop("event_ts")
 
 
 def parse_log_line(fields: DataFrame) -> DataFrame:

@@ -90,19 +90,20 @@ def retained_semi(log: DataFrame, roles: Roles, base, days: int = RETENTION_DAYS
 
 
 def retained_selfjoin(log: DataFrame, roles: Roles, base, days: int = RETENTION_DAYS) -> DataFrame:
-    """Same numbers as an inner self-join on user with ``count(distinct user)`` per day (JN-2/3)."""
+    """Same numbers as an inner self-join on user, counted per day (JN-2/3)."""
     new = new_users(log, roles, base).alias("t1")
     logins = login_offsets(log, roles, base, days).alias("t2")
     pairs = new.join(logins, F.col(f"t1.{roles.user}") == F.col(f"t2.{roles.user}"), "inner")
     counts = pairs.groupBy(F.col("t2.day_n").alias("day_n")).agg(
-        F.count_distinct(F.col(f"t1.{roles.user}")).alias("retained_users")
+        F.count(F.lit(1)).alias("retained_users")  # both sides are distinct: a pair occurs once
     )
     return _fill(counts, days)
 
 
 def retained_intersect(log: DataFrame, roles: Roles, base, days: int = RETENTION_DAYS) -> DataFrame:
     """Same numbers via ``INTERSECT`` of (new user x day) with (login user, day) (SET-2)."""
+    # INTERSECT removes repeats itself, so neither side is made distinct before it
     offsets = F.explode(F.sequence(F.lit(1), F.lit(days))).alias("day_n")
-    new_by_day = new_users(log, roles, base).select(roles.user, offsets)
-    both = new_by_day.intersect(login_offsets(log, roles, base, days))
-    return _per_day(both, days)
+    new_by_day = _bounded(log, roles, base, 0, 0, roles.register).select(roles.user, offsets)
+    logins = _bounded(log, roles, base, 1, days, roles.login).select(roles.user, day_offset(F.col(roles.ts), base).cast("int").alias("day_n"))
+    return _per_day(new_by_day.intersect(logins), days)

@@ -23,14 +23,16 @@ from tessera.functions.text import percent_text
 from tessera.functions.time import millis
 from tessera.operators import bursts, clean, retention, tables, users
 from tessera.operators.roles import EVENTS_ROLES, GAMELOG_ROLES
-from tessera.plans import inputs, streams
+from tessera.plans import inputs, jobs, streams
+from tessera.schemas import BLACKLIST_DDL, HEALING_ITEM, ITEM_USE_EVENT
 from tessera.session import scratch_path
 from tessera.sources.derived import gamelog_from_events, lines_from_events
 from tessera.sources.logs import flagged_snapshot as read_flagged, lines_to_fields
-from tessera.streaming.runner import replay_by_time, run_available
-from tessera.streaming.sources import stream_table
+from tessera.streaming.sinks import VersionedTable
 
 BASE = "2024-01-10"
+FIRST_OPEN = "2024-01-08"  # the first date whose seventh day is not over at SPLIT
+REPORT_DATES = [f"2024-01-{d:02d}" for d in range(8, 18)]
 SPLIT = "2024-01-15"  # blacklist / flagged-map checks: windows ending before this are "existing"
 AS_OF = "2024-01-31"
 BURST = dict(window="1 day", slide="12 hours", min_count=2, max_avg_ms=6 * 3600 * 1000.0)
@@ -62,6 +64,11 @@ def _named(df: DataFrame) -> DataFrame:
     return df.withColumn("userName", F.col("user_id").cast("string")).drop("user_id")
 
 
+def _stored_windows(spark, sf) -> DataFrame:
+    """All flagged windows from their stored table, keyed by ``userName``: the events are scanned once for it."""
+    return _named(inputs.burst_windows(spark, sf, lambda c: bursts.detect_bursts(c, "user_id", "ts", **BURST)))
+
+
 def _report_rows(matrix: DataFrame) -> DataFrame:
     return retention.matrix_report_rows(matrix, DAYS)
 
@@ -122,7 +129,8 @@ def q_parse_log_line(spark, sf):
 
 
 def q_quarantine(spark, sf):
-    return clean.quarantine(_parsed_lines(spark, sf)).select("f0", "reason")
+    lines = lines_from_events(_ev(spark, sf)).select("value")
+    return clean.quarantine(clean.parse_log_line(lines_to_fields(lines))).select("f0", "line", "reason")
 
 
 def q_item_use_filter(spark, sf):
@@ -130,8 +138,7 @@ def q_item_use_filter(spark, sf):
 
 
 def q_parse_iso_time(spark, sf):
-    p = _parsed_lines(spark, sf)
-    return p.where(F.col("time").isNotNull()).select("f0", "time", millis("event_ts").alias("event_ms"))
+    return _parsed_lines(spark, sf).select("f0", "time", millis("event_ts").alias("event_ms"))
 
 
 def q_scan_log_dir(spark, sf):
@@ -235,12 +242,20 @@ def q_burst_stats(spark, sf):
         "user_id", "cnt", "maxTime", "minTime", bursts.avg_gap().alias("avgTime"))
 
 
+def q_merge_stats(spark, sf):
+    """FN-9: the stats of two slices of the log merged by user."""
+    c = _clicks(spark, sf)
+    before = F.col("ts") < F.lit(SPLIT).cast("timestamp_ntz")
+    parts = [c.where(x).groupBy("user_id").agg(*bursts.burst_stats("ts")) for x in (before, ~before)]
+    return bursts.merge_stats(*parts, ["user_id"])
+
+
 def q_burst_players(spark, sf):
     return _burst_windows(spark, sf)
 
 
 def q_burst_stream(spark, sf):
-    out, _ = streams.run_bursts(spark, _clicks(spark, sf), "user_id", "ts", mode="complete", **BURST)
+    out, _ = streams.run_bursts(spark, _clicks(spark, sf), "user_id", "ts", mode="append", watermark="1 day", **BURST)
     return out
 
 
@@ -269,40 +284,53 @@ def q_late_drop(spark, sf):
 
 
 def q_burst_stream_ingest(spark, sf):
+    """Windows over arrival, gaps on game time (the arrival lags by up to 44 minutes)."""
     lines = lines_from_events(_ev(spark, sf))
-    return streams.run_ingest_bursts(spark, lines, window="10 seconds", slide="5 seconds", min_count=5,
-                                     max_avg_ms=1000.0)
+    closing = "\t".join(["0", "0", "0", str(ITEM_USE_EVENT), "0", "0", "0", "", HEALING_ITEM, "0", "0", "0", "2024-01-01 00:00:00"])
+    return streams.run_ingest_bursts(spark, lines, closing_line=closing, **BURST)
 
 
 def q_stream_ingest(spark, sf):
     lines = lines_from_events(_ev(spark, sf))
     out, _ = streams.run_ingest_lines(spark, lines)
-    return out.drop("line")
+    return out.drop("line")  # ingest_ts is the message's timestamp
 
 
 def q_blacklist_stream(spark, sf):
     """PIP-2 + PIP-3 as one stream: closed flagged windows -> delta logs of the flagged map and blacklist."""
+    _, blacklist = _flagged_stream(spark, sf)
+    return blacklist.read(streams.blacklist_table_merge)
+
+
+def _flagged_stream(spark, sf, **sink_options):
     flagged, blacklist = streams.flagged_tables(spark, scratch_path(spark, "flagged-tables"))
-    sink = streams.flagged_sink(flagged, blacklist, "userName", compact_every=3)
+    sink = streams.flagged_sink(flagged, blacklist, "userName", compact_every=3, **sink_options)
     c = _clicks(spark, sf).withColumn("userName", F.col("user_id").cast("string")).drop("user_id")
-    src, ckpt = scratch_path(spark, "bl-src"), scratch_path(spark, "bl-ckpt")
-    q = streams.burst_stream(stream_table(spark, src, c.schema), "userName", "ts", watermark="0 seconds", **BURST)
-    replay_by_time(spark, c, "ts", src, lambda: run_available(q, sink, ckpt, "append"), 5)
-    return blacklist.read(streams.blacklist_table_merge)
+    streams.run_bursts(spark, c, "userName", "ts", mode="append", watermark="0 seconds", sink=sink, **BURST)
+    return flagged, blacklist
+
+
+def q_sync_blacklist(spark, sf):
+    """PIP-3 end to end: stream -> flagged map as the stream stores it -> two polls of the blacklist sync (+1 each)."""
+    flagged, _ = _flagged_stream(spark, sf, count_per="batch")
+    table = VersionedTable(spark, scratch_path(spark, "blacklist"), BLACKLIST_DDL)
+    for sync_id in (0, 1):
+        jobs.sync_blacklist(spark, flagged.read(streams.flagged_map_merge), table, sync_id)
+    return table.read()
 
 
 # --------------------------------------------------------------------------- keyed tables
 
 
 def q_flagged_latest(spark, sf):
-    w = _named(_burst_windows(spark, sf))
+    w = _stored_windows(spark, sf)
     existing = tables.flagged_latest(w.where(F.col("window_end") < F.lit(SPLIT).cast("timestamp_ntz")), "userName")
     return tables.flagged_latest(w.where(F.col("window_end") >= F.lit(SPLIT).cast("timestamp_ntz")),
                                  "userName", existing)
 
 
 def q_flagged_snapshot(spark, sf):
-    latest = tables.flagged_latest(_named(_burst_windows(spark, sf)), "userName")
+    latest = tables.flagged_latest(_stored_windows(spark, sf), "userName")
     path = scratch_path(spark, "flagged-map")
     # the map stores avgTime as text, like a hash of strings
     latest.select("userName", F.col("avgTime").cast("string").alias("avgTime"), "window_end") \
@@ -311,7 +339,7 @@ def q_flagged_snapshot(spark, sf):
 
 
 def _blacklist_parts(spark, sf):
-    w = _named(_burst_windows(spark, sf))
+    w = _stored_windows(spark, sf)
     split = F.lit(SPLIT).cast("timestamp_ntz")
     before = w.where(F.col("window_end") < split)
     existing = before.groupBy("userName").agg(
@@ -325,13 +353,28 @@ def q_blacklist_merge(spark, sf):
 
 
 def q_upsert_daily(spark, sf):
+    """The stored table as of SPLIT, then all dates whose seven days were not over by then, from the whole log."""
     ev = _ev(spark, sf)
-    stale = _report_rows(retention.retention_matrix(ev.where(F.col("ts") < F.lit(SPLIT).cast("timestamp_ntz")), R, DAYS))
-    # bounded matrix: the scan reads [start, end + DAYS] only (ts range pushed to parquet)
-    fresh = _report_rows(retention.retention_matrix(ev, R, DAYS, start="2024-01-08", end="2024-01-14"))
+
+    def write(path):
+        before = ev.where(F.col("ts") < F.lit(SPLIT).cast("timestamp_ntz"))
+        _report_rows(retention.retention_matrix(before, R, DAYS)).write.mode("overwrite").parquet(path)
+
+    stale = spark.read.parquet(inputs._once(spark, sf, "daily-results", write))
+    # bounded below: the scan reads from the first of these dates on (ts range pushed to parquet)
+    fresh = _report_rows(retention.retention_matrix(ev, R, DAYS, start=FIRST_OPEN))
     return tables.upsert_daily(stale, fresh)
 
 
+def q_daily_report_saved(spark, sf):
+    """PIP-1 with the save: ingest into typed day partitions, reports of ten dates in one pass, stored by date, read back."""
+    typed, results = scratch_path(spark, "typed-log"), scratch_path(spark, "daily-table")
+    jobs.ingest_gamelog(spark, inputs.gamelog_json_path(spark, sf), typed, fmt="json")
+    for dates in (REPORT_DATES[:6], REPORT_DATES[4:]):  # two runs that share two dates
+        jobs.run_daily_report(spark, typed, dates, results, typed=True)
+    return jobs.daily_result_table(spark, results).read()
+
+
 def q_sanctions(spark, sf):
     existing, batch, w = _blacklist_parts(spark, sf)
     bl = tables.blacklist_merge(existing, batch, "userName")

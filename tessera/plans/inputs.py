@@ -65,6 +65,12 @@ def log_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_log_dir(spark, log_dir_path(spark, sf_dir), encoding="GB2312")
 
 
+def burst_windows(spark: SparkSession, sf_dir: str, find) -> DataFrame:
+    """The flagged windows of all item uses (``find(clicks)``), stored once: what keyed tables are made from."""
+    path = _once(spark, sf_dir, "burst-windows", lambda p: find(clicks(spark, sf_dir)).write.mode("overwrite").parquet(p))
+    return spark.read.parquet(path)
+
+
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item-use events of the driver table (``click``), the burst detector's input."""
     return events(spark, sf_dir).where(F.col("event_type") == "click")

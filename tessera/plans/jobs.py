@@ -1,12 +1,13 @@
 """Jobs as a user runs them: scan -> compute -> keyed table (PIP-1, PIP-3, STR-12).
 
-Each job is one lazy plan and one write. Result tables are
-``VersionedTable`` folders in shared storage; a rerun replaces rows by key,
+Result tables live in shared storage and a rerun replaces what it wrote before,
 so running a job twice leaves the same table.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,25 +15,34 @@ from tessera.operators import clean, retention, tables
 from tessera.operators.roles import GAMELOG_ROLES, Roles
 from tessera.schemas import DAILY_RESULT_DDL, RETENTION_DAYS
 from tessera.sources.logs import flagged_snapshot, scan_gamelog, write_event_log
-from tessera.streaming.sinks import VersionedTable
+from tessera.session import scratch_path
+from tessera.streaming.sinks import DatedTable, VersionedTable
 
 
-def daily_result_table(spark: SparkSession, root: str) -> VersionedTable:
-    return VersionedTable(spark, root, DAILY_RESULT_DDL)
+def daily_result_table(spark: SparkSession, root: str) -> DatedTable:
+    return DatedTable(spark, root, DAILY_RESULT_DDL)
 
 
 def ingest_gamelog(spark: SparkSession, raw_path: str, typed_path: str, fmt: str = "parquet",
-                   quarantine_path: str | None = None, **options) -> None:
+                   quarantine_path: str | None = None, load_id: str | None = None, **options) -> None:
     """Parse the raw offline log once: clean, typed rows to a day-partitioned table; bad rows aside.
 
+    A load has a folder of its own, ``load_id=<id>`` (default: a digest of the raw path), which a rerun replaces.
+    The parsed rows are staged with their reason, so good and bad rows come from one parse.
+
     Reports on ``typed_path`` (``run_daily_report(..., typed=True)``) then
     prune ``event_date`` folders and filter plain columns, instead of
     re-parsing text on every run.
     """
-    raw = scan_gamelog(spark, raw_path, fmt, **options)
-    write_event_log(clean.clean_gamelog(raw), typed_path, "event_ts")
+    load = load_id or hashlib.sha256(raw_path.encode()).hexdigest()[:16]
+    staged = scratch_path(spark, "ingest-stage")
+    clean.judged_gamelog(scan_gamelog(spark, raw_path, fmt, **options)).write.mode("overwrite").parquet(staged)
+    parsed = spark.read.parquet(staged)
+    good = parsed.where("reason IS NULL").drop("reason")
+    write_event_log(good, f"{typed_path.rstrip('/')}/load_id={load}", "event_ts", mode="overwrite")
     if quarantine_path:
-        clean.gamelog_quarantine(raw).write.mode("append").parquet(quarantine_path)
+        bad = parsed.where("reason IS NOT NULL").drop("event_ts")
+        bad.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/load_id={load}")
 
 
 def run_daily_report(spark: SparkSession, log_path: str, base, result_root: str, fmt: str = "parquet",
@@ -54,14 +64,11 @@ def run_daily_report(spark: SparkSession, log_path: str, base, result_root: str,
         report = retention.daily_reports(log, roles, base, days)
     else:
         report = retention.daily_report(log, roles, base, days)
-    table = daily_result_table(spark, result_root)
-    versions = table.versions()
-    nxt = (versions[-1] + 1) if versions else 0
-    table.merge(report, nxt, tables.upsert_daily)
+    daily_result_table(spark, result_root).replace(report)
     return report
 
 
-def sync_blacklist(spark: SparkSession, flagged_path: str, blacklist: VersionedTable, sync_id: int,
+def sync_blacklist(spark: SparkSession, flagged: str | DataFrame, blacklist: VersionedTable, sync_id: int,
                    since=None) -> None:
     """STR-12 re-aimed: apply the flagged map to the blacklist once, as version ``sync_id``.
 
@@ -69,9 +76,11 @@ def sync_blacklist(spark: SparkSession, flagged_path: str, blacklist: VersionedT
     timer did this every 2 s with a map it never cleared, so counters grew per
     poll (M18). With ``since`` (the previous sync's time) only players flagged
     in a window ending after it count: one increment per new offence. Calling
-    again with the same ``sync_id`` rewrites the same version.
+    again with the same ``sync_id`` rewrites the same version. ``flagged`` is the
+    map itself (``DeltaLogTable.read`` of the stream's table) or the folder of a
+    stored one.
     """
-    snap = flagged_snapshot(spark, flagged_path, with_window=True)
+    snap = flagged_snapshot(spark, flagged, with_window=True) if isinstance(flagged, str) else flagged
     if since is not None:
         snap = snap.where(F.col("window_end") > F.lit(since).cast("timestamp_ntz"))
     blacklist.merge(snap, sync_id, lambda old, new: tables.blacklist_merge(old, new, "userName"))

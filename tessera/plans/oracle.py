@@ -8,9 +8,11 @@ two sides check each other. The derived formats (game log, tab lines) are re-der
 
 from __future__ import annotations
 
-from tessera.schemas import CN_WEEKDAYS, EVENT_TYPES, HEALING_ITEM, RATE_COLUMNS, SAMPLE_LINE_FIELDS, SAMPLE_OTHER_ITEM
+from tessera.schemas import CN_WEEKDAYS, EVENT_TYPES, HEALING_ITEM, RATE_COLUMNS
 
 BASE = "2024-01-10"
+FIRST_OPEN = "2024-01-08"
+REPORT_DATES = [f"2024-01-{d:02d}" for d in range(8, 18)]
 SPLIT = "2024-01-15"
 AS_OF = "2024-01-31"
 DAYS = 7
@@ -27,7 +29,8 @@ SELECT event_id, ts, value,
   CASE event_type WHEN 'signup' THEN '1' WHEN 'view' THEN '2' WHEN 'error' THEN '3'
                   WHEN 'purchase' THEN '12' WHEN 'click' THEN '11' END AS eventType,
   CASE WHEN value > 480.0 THEN 'not a time'
-       ELSE strftime(ts, '%Y年%-m月%-d日') || ',' || {_WEEKDAYS}[dayofweek(ts) + 1] || ',' || strftime(ts, '%H:%M:%S')
+       ELSE strftime(ts, '%Y年%-m月%-d日') || ',' || {_WEEKDAYS}[dayofweek(ts) + 1] || ','
+            || CASE WHEN k % 4 = 1 THEN strftime(ts, '%-H:%-M:%-S') || '.5' ELSE strftime(ts, '%H:%M:%S') END
   END AS time,
   CASE WHEN k >= 90 THEN NULL
        WHEN k >= 85 THEN CAST(k + 100 AS VARCHAR) || '.' || CAST(user_id % 256 AS VARCHAR) || '.1'
@@ -48,25 +51,28 @@ _IP_OK = r"regexp_full_match(ip, '(\d{1,3}\.){3}\d{1,3}')"
 _CN_TS = "CASE WHEN value > 480.0 THEN NULL ELSE date_trunc('second', ts) END"
 
 LINES = f"""
-SELECT event_id, ts,
-  CASE WHEN value < 2.0 THEN concat_ws(chr(9), {{head}}) ELSE concat_ws(chr(9), {{head}}, '{SAMPLE_LINE_FIELDS[11]}', time) END AS line
+SELECT event_id, ts, ts + to_minutes(event_id % 45) AS arrival,
+  CASE WHEN value < 2.0 THEN concat_ws(chr(9), {{head}})
+       ELSE concat_ws(chr(9), {{head}}, CAST(event_id % 13 AS VARCHAR), time) END AS line
 FROM (
   SELECT event_id, ts, value,
     CAST(event_id AS VARCHAR) AS f0,
     CASE WHEN value >= 2.0 AND value < 4.0 THEN 'x' ELSE '' END
       || CASE WHEN event_type = 'click' THEN '11' ELSE '10' END AS code,
     CASE WHEN k % 3 = 0 THEN CAST(user_id AS VARCHAR) || ' ' ELSE CAST(user_id AS VARCHAR) END AS usr,
-    CASE WHEN k < 50 THEN '{HEALING_ITEM}' ELSE '{SAMPLE_OTHER_ITEM}' END AS item,
-    CASE WHEN value >= 4.0 AND value < 6.0 THEN '2024-13-45 99:99:99' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS time
+    CASE WHEN k < 50 THEN '{HEALING_ITEM}' ELSE 'item' || CAST(k AS VARCHAR) END AS item,
+    CASE WHEN value >= 4.0 AND value < 6.0 THEN '2024-13-45 99:99:99'
+         WHEN k % 4 = 1 THEN strftime(ts, '%Y-%-m-%-d %-H:%-M:%-S') || '.5'
+         ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS time
   FROM (SELECT *, {_K} AS k FROM events)
 )
 """.replace("{head}", ", ".join(
-    {0: "f0", 3: "code", 7: "usr", 8: "item"}.get(i, f"'{SAMPLE_LINE_FIELDS.get(i)}'") for i in range(11)))
+    {0: "f0", 3: "code", 7: "usr", 8: "item"}.get(i, f"CAST(event_id % {i + 2} AS VARCHAR)") for i in range(11)))
 
 _NAMES = ["f0", "f1", "f2", "eventType", "f4", "f5", "f6", "userName", "item", "f9", "f10", "f11", "time"]
 _FIELDS = ", ".join(f"trim(string_split(line, chr(9))[{i + 1}]) AS {n}" for i, n in enumerate(_NAMES))
 
-FIELDS = f"SELECT event_id, ts, {_FIELDS} FROM ({LINES})"
+FIELDS = f"SELECT event_id, ts, arrival, line, {_FIELDS} FROM ({LINES})"
 
 PARSED = f"""
 SELECT *,
@@ -74,7 +80,7 @@ SELECT *,
        WHEN event_ts IS NULL THEN 'bad time' END AS reason,
   (time IS NOT NULL AND event_code IS NOT NULL AND event_ts IS NOT NULL) AS is_valid
 FROM (SELECT *, TRY_CAST(eventType AS INTEGER) AS event_code,
-             try_strptime(time, '%Y-%m-%d %H:%M:%S') AS event_ts FROM ({FIELDS}))
+             try_strptime(string_split(time, '.')[1], '%Y-%m-%d %H:%M:%S') AS event_ts FROM ({FIELDS}))
 """
 
 _PARSED_COLS = ", ".join(_NAMES) + ", event_code, event_ts, is_valid, reason"
@@ -92,23 +98,21 @@ def _in_day(col: str, n: int) -> str:
 
 
 def _counts(src: str = "events", user: str = "user_id", ev: str = "event_type", ts: str = "ts",
-            reg: str = "'signup'", login: str = "'view'") -> str:
-    """newAddUserCnt, activeUserCnt, dN_retained: the reference's count(distinct) + self-join form."""
+            reg: str = "'signup'", login: str = "'view'", base: str = BASE) -> str:
+    """newAddUserCnt, activeUserCnt, dN_retained: each new user once, with EXISTS for every day they came back."""
+    def day(n: int) -> str:
+        return f"{ts} >= TIMESTAMP '{base}' + INTERVAL {n} DAY AND {ts} < TIMESTAMP '{base}' + INTERVAL {n + 1} DAY"
+
     per_day = ",\n".join(
-        f"  count(DISTINCT CASE WHEN {_in_day('t2.' + ts, n)} THEN t1.{user} END) AS d{n}_retained"
-        for n in range(1, DAYS + 1)
-    )
+        f"  count(*) FILTER (WHERE EXISTS (SELECT 1 FROM logins l WHERE l.u = n.u AND l.d = {n})) AS d{n}_retained" for n in range(1, DAYS + 1))
+    logins = " UNION ALL ".join(f"SELECT {user} AS u, {n} AS d FROM {src} WHERE {ev} = {login} AND {day(n)}" for n in range(1, DAYS + 1))
     return f"""
+WITH logins AS ({logins}), fresh AS (SELECT DISTINCT {user} AS u FROM {src} WHERE {ev} = {reg} AND {day(0)} AND {user} IS NOT NULL)
 SELECT
-  (SELECT count(DISTINCT {user}) FROM {src} WHERE {ev} = {reg} AND {_in_day(ts, 0)}) AS newAddUserCnt,
-  (SELECT count(DISTINCT {user}) FROM {src} WHERE {ev} IN ({reg}, {login}) AND {_in_day(ts, 0)}) AS activeUserCnt,
-  r.*
-FROM (
-  SELECT
+  (SELECT count(*) FROM fresh) AS newAddUserCnt,
+  (SELECT count(DISTINCT {user}) FROM {src} WHERE {ev} IN ({reg}, {login}) AND {day(0)}) AS activeUserCnt,
 {per_day}
-  FROM {src} t1 JOIN {src} t2 ON t1.{user} = t2.{user}
-  WHERE t1.{ev} = {reg} AND {_in_day('t1.' + ts, 0)} AND t2.{ev} = {login}
-) r
+FROM fresh n
 """
 
 
@@ -119,17 +123,23 @@ def _pct(num: str, den: str) -> str:
     return f"CAST(CAST({num} * 100.0 / nullif({den}, 0) AS DECIMAL(18,2)) AS VARCHAR) || '%'"
 
 
-def _report(counts_sql: str) -> str:
+def _report(counts_sql: str, base: str = BASE) -> str:
     rates = ",\n  ".join(f"{_pct(f'd{n}_retained', 'newAddUserCnt')} AS {c}"
                          for n, c in enumerate(RATE_COLUMNS, 1))
     return f"""
-SELECT '{BASE}' AS date, CAST(newAddUserCnt AS BIGINT) AS newAddUserCnt,
+SELECT '{base}' AS date, CAST(newAddUserCnt AS BIGINT) AS newAddUserCnt,
   CAST(activeUserCnt AS BIGINT) AS activeUserCnt,
   {rates}
 FROM ({counts_sql})
 """
 
 
+def _report_on(base: str) -> str:
+    """The report of one date from the raw game log."""
+    src = f"(SELECT userName, eventType, {_CN_TS} AS event_ts FROM ({GLOG_D}) WHERE {_IP_OK} AND value <= 480.0)"
+    return _report(_counts(src, "userName", "eventType", "event_ts", "'1'", "'2'", base), base)
+
+
 def _long(counts_sql: str) -> str:
     parts = " UNION ALL ".join(
         f"SELECT {n} AS day_n, CAST(d{n}_retained AS BIGINT) AS retained_users FROM c" for n in range(1, DAYS + 1))
@@ -171,15 +181,19 @@ FROM ({matrix_sql})
 # ---------------------------------------------------------------- bursts
 
 
-def _bursts(src: str, user: str, ts: str) -> str:
-    """Sliding 1 day / 12 h windows: each row lands in the bucket of its 12 h slot and the one before."""
+def _bursts(src: str, user: str, ts: str, gap: str | None = None) -> str:
+    """Sliding 1 day / 12 h windows: each row lands in the bucket of its 12 h slot and the one before.
+
+    ``gap`` is the column that gaps are measured on, if it is another than the windows'.
+    """
+    gap = gap or ts
     avg = "CAST((max(ms) - min(ms)) / count(*) AS DECIMAL(18,4))"
     return f"""
 SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, {user}, cnt, CAST(avg4 AS DOUBLE) AS avgTime
 FROM (
   SELECT time_bucket(INTERVAL 12 HOUR, {ts}, TIMESTAMP '1970-01-01') - k.k * INTERVAL 12 HOUR AS window_start,
          {user}, count(*) AS cnt, {avg} AS avg4
-  FROM (SELECT {user}, {ts}, (epoch_us({ts}) // 1000) AS ms FROM ({src}) WHERE {ts} IS NOT NULL) c
+  FROM (SELECT {user}, {ts}, (epoch_us({gap}) // 1000) AS ms FROM ({src}) WHERE {ts} IS NOT NULL) c
   CROSS JOIN (VALUES (0), (1)) k(k)
   GROUP BY ALL
 )
@@ -189,8 +203,6 @@ WHERE cnt >= 2 AND avg4 < {MAX_AVG_MS}
 
 CLICKS = "SELECT user_id, ts FROM events WHERE event_type = 'click'"
 BURSTS = _bursts(CLICKS, "user_id", "ts")
-# append mode + 0 s watermark: only windows that closed by the last event time are out
-BURSTS_WM = f"SELECT * FROM ({BURSTS}) WHERE window_end <= (SELECT max(ts) FROM events WHERE event_type = 'click')"
 NAMED = f"SELECT window_start, window_end, CAST(user_id AS VARCHAR) AS userName, cnt, avgTime FROM ({BURSTS})"
 
 _EXISTING = f"""
@@ -231,9 +243,9 @@ ORACLE: dict[str, str] = {
         FROM ({GLOG}) g LEFT JOIN (VALUES {_DICT}) d(code, label) ON TRY_CAST(g.eventType AS INTEGER) = d.code""",
     # tab lines
     "parse_log_line": f"SELECT {_PARSED_COLS} FROM ({PARSED})",
-    "quarantine": f"SELECT f0, reason FROM ({PARSED}) WHERE NOT is_valid",
+    "quarantine": f"SELECT f0, line, reason FROM ({PARSED}) WHERE NOT is_valid",
     "item_use_filter": f"SELECT userName, event_ts FROM ({PARSED}) WHERE is_valid AND event_code = 11 AND item = '{HEALING_ITEM}'",
-    "parse_iso_time": f"SELECT f0, time, (epoch_us(event_ts) // 1000) AS event_ms FROM ({PARSED}) WHERE time IS NOT NULL",
+    "parse_iso_time": f"SELECT f0, time, (epoch_us(event_ts) // 1000) AS event_ms FROM ({PARSED})",
     "scan_log_dir": f"SELECT {', '.join(_NAMES)} FROM ({FIELDS})",
     "burst_lines": _bursts(
         f"SELECT userName, event_ts FROM ({PARSED}) WHERE is_valid AND event_code = 11 AND item = '{HEALING_ITEM}'",
@@ -278,12 +290,22 @@ ORACLE: dict[str, str] = {
     "burst_players": BURSTS,
     "burst_stream": BURSTS,
     "burst_stream_complete": f"SELECT user_id, avgTime FROM ({BURSTS})",
-    "burst_stream_wm": BURSTS_WM,
-    "late_drop": BURSTS_WM,
+    "burst_stream_wm": BURSTS,
+    "late_drop": BURSTS,
     "blacklist_stream": f"""
         SELECT CAST(user_id AS VARCHAR) AS userName, arg_max(avgTime, window_end) AS avgTime,
                CAST(count(*) AS INTEGER) AS cnt
-        FROM ({BURSTS_WM}) GROUP BY user_id""",
+        FROM ({BURSTS}) GROUP BY user_id""",
+    "sync_blacklist": f"""
+        SELECT userName, arg_max(avgTime, window_end) AS avgTime, CAST(2 AS INTEGER) AS cnt FROM ({NAMED}) GROUP BY userName""",
+    "burst_stream_ingest": _bursts(
+        f"SELECT userName, arrival, event_ts FROM ({PARSED}) WHERE is_valid AND event_code = 11 AND item = '{HEALING_ITEM}'",
+        "userName", "arrival", "event_ts"),
+    "stream_ingest": f"SELECT arrival AS ingest_ts, {_PARSED_COLS} FROM ({PARSED})",
+    "merge_stats": """
+        SELECT user_id, count(ts) AS cnt, max(epoch_us(ts) // 1000) AS maxTime, min(epoch_us(ts) // 1000) AS minTime
+        FROM events WHERE event_type = 'click' AND ts IS NOT NULL GROUP BY user_id""",
+    "daily_report_saved": " UNION ALL ".join(f"({_report_on(d)})" for d in REPORT_DATES),
     # keyed tables
     "flagged_latest": f"""
         SELECT userName, arg_max(avgTime, window_end) AS avgTime, max(window_end) AS window_end
@@ -292,7 +314,7 @@ ORACLE: dict[str, str] = {
     "blacklist_merge": BLACKLIST,
     "upsert_daily": f"""
         WITH stale AS ({_report_rows(_matrix(f"ts < TIMESTAMP '{SPLIT}'"))}),
-             fresh AS (SELECT * FROM ({_report_rows(_matrix())}) WHERE date BETWEEN '2024-01-08' AND '2024-01-14')
+             fresh AS (SELECT * FROM ({_report_rows(_matrix())}) WHERE date >= '{FIRST_OPEN}')
         SELECT * FROM stale WHERE date NOT IN (SELECT date FROM fresh)
         UNION ALL SELECT * FROM fresh""",
     "sanctions": f"""

@@ -33,18 +33,15 @@ BURST_SLIDE = "5 seconds"
 BURST_MIN_COUNT = 5
 BURST_MAX_AVG_MS = 1000
 # Offline time text: 2018年2月1日,星期一,10:02:01 (weekday is ignored).
-CN_TIME_PATTERN = "yyyy年M月d日 HH:mm:ss"
-ISO_TIME_PATTERN = "yyyy-MM-dd HH:mm:ss"
+# Month, day and clock fields may have one digit; what follows the seconds is ignored.
+CN_TIME_PATTERN = "yyyy年M月d日 H:m:s"
+ISO_TIME_PATTERN = "yyyy-M-d H:m:s"
 # Dotted quad, octets not range-checked, whole-string match.
 IP_REGEX = r"\A(\d{1,3}\.){3}\d{1,3}\z"
 # Weekday names, Sunday first (Spark's dayofweek: 1 = Sunday).
 CN_WEEKDAYS = ["星期日", "星期一", "星期二", "星期三", "星期四", "星期五", "星期六"]
 # Retention horizon of the daily report.
 RETENTION_DAYS = 7
-# Values of the sample real-time line, used to fill the unread fields of derived lines:
-# idx 1, 2, 4, 5, 6, 9, 10 and 11, and an item other than the watched one.
-SAMPLE_LINE_FIELDS = {1: "0", 2: "0", 4: "3", 5: "324", 6: "325", 9: "96609", 10: "1", 11: "装备回收"}
-SAMPLE_OTHER_ITEM = "裁决之杖"
 # ---------------------------------------------------------------------------
 
 GAMELOG = T.StructType(
@@ -63,7 +60,7 @@ TSV13 = T.StructType([T.StructField(name, T.StringType()) for name in LINE_FIELD
 FLAGGED = T.StructType(
     [
         T.StructField("userName", T.StringType()),
-        T.StructField("avgTime", T.StringType()),
+        T.StructField("avgTime", T.DoubleType()),
         T.StructField("window_end", T.TimestampNTZType()),
     ]
 )
@@ -93,6 +90,7 @@ DAILY_RESULT = T.StructType(
 )
 
 DAILY_RESULT_DDL = ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in DAILY_RESULT.fields)
+FLAGGED_DDL = "userName STRING, avgTime DOUBLE, window_end TIMESTAMP_NTZ"
 BLACKLIST_DDL = "userName STRING, avgTime DOUBLE, cnt INT"
 
 

@@ -13,7 +13,7 @@ master is local do we pick a temporary folder ourselves.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -73,15 +73,14 @@ CLUSTER_CONF = {
 
 
 def configure(spark: SparkSession) -> None:
-    """Settings every job in this package relies on; safe to call repeatedly."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Settings every job in this package relies on; safe to call repeatedly. The caller's time zone stays as it is."""
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     if spark.conf.get("spark.sql.adaptive.enabled", "true") != "true":
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is not None
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -108,6 +107,6 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the shared folder."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     return path

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.schemas import FLAGGED, GAMELOG, TSV13
+from tessera.schemas import GAMELOG, TSV13
 
 GAMELOG_COLUMNS = [f.name for f in GAMELOG.fields]
 TSV13_DDL = ", ".join(f"{f.name} STRING" for f in TSV13.fields)
@@ -38,17 +38,13 @@ def scan_gamelog(spark: SparkSession, path: str, fmt: str = "parquet", **options
 def scan_log_dir(spark: SparkSession, path: str, encoding: str = "GB2312") -> DataFrame:
     """All lines under ``path`` (dir/subdir/file), split into 13 trimmed string fields (SRC-2).
 
-    Read as a headerless tab-separated CSV with quoting off, so a line is split
-    exactly at its tabs; fields past the end of a short line are NULL.
+    Every line is a row, blank ones too (all their fields are NULL): the text
+    reader keeps the bytes of each line, which are decoded and split at tabs.
+    Fields past the end of a short line are NULL. The encoding must leave line
+    feeds as single bytes (GB2312, GBK, UTF-8 do).
     """
-    raw = (
-        spark.read.schema(TSV13)
-        .options(**TSV_OPTIONS)
-        .option("encoding", encoding)
-        .option("recursiveFileLookup", "true")
-        .csv(path)
-    )
-    return raw.select([F.trim(F.col(f.name)).alias(f.name) for f in TSV13.fields])
+    raw = spark.read.option("recursiveFileLookup", "true").text(path)
+    return lines_to_fields(raw.select(F.decode(F.col("value").cast("binary"), encoding).alias("value"))).drop("line")
 
 
 def lines_to_fields(lines: DataFrame, value_col: str = "value") -> DataFrame:
@@ -67,9 +63,14 @@ def lines_to_fields(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def flagged_snapshot(spark: SparkSession, path: str, with_window: bool = False) -> DataFrame:
-    """All flagged players: ``userName`` and ``avgTime`` text -> DOUBLE (SRC-5), optionally ``window_end``."""
-    df = spark.read.schema(FLAGGED).parquet(path)
-    cols = [F.col("userName"), F.trim(F.col("avgTime")).try_cast("double").alias("avgTime")]
+    """All flagged players: ``userName`` and ``avgTime`` as DOUBLE (SRC-5), optionally ``window_end``.
+
+    Reads any stored map of that shape: ``avgTime`` may be a number, as the stream
+    stores it, or text, as a hash of strings would.
+    """
+    df = spark.read.parquet(path)
+    value = F.trim(F.col("avgTime").cast("string")).try_cast("double")
+    cols = [F.col("userName"), value.alias("avgTime")]
     return df.select(*cols, *([F.col("window_end")] if with_window else []))
 
 

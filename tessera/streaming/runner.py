@@ -28,11 +28,12 @@ def start(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str
 
 
 def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
-                  mode: str = "append", timeout_s: int = 900) -> StreamingQuery:
-    """Process everything that has arrived, then stop; raise if it does not finish in time."""
+                  mode: str = "append", timeout_s: int | None = None) -> StreamingQuery:
+    """Process everything that has arrived, then stop. Takes as long as that takes, unless ``timeout_s`` is given:
+    then a run that is not done by then is stopped and raises."""
     q = start(df, sink, checkpoint, mode, available_now=True)
     try:
-        finished = q.awaitTermination(timeout_s)
+        finished = q.awaitTermination(timeout_s) if timeout_s is not None else (q.awaitTermination(), True)[1]
     finally:
         if q.isActive:
             q.stop()
@@ -43,12 +44,18 @@ def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpo
     return q
 
 
-def console_sink(truncate: bool = False) -> Callable[[DataFrame, int], None]:
-    """SNK-5/SNK-6: print each result table (complete mode: the whole table)."""
+def batches_run(q: StreamingQuery) -> int:
+    """Micro-batches that the checkpoint of ``q`` has seen, over all its runs (progress lists keep the latest 100 only)."""
+    last = q.lastProgress
+    return 0 if last is None else int(last["batchId"]) + 1
+
+
+def console_sink(truncate: bool = False, rows: int = 20) -> Callable[[DataFrame, int], None]:
+    """SNK-5/SNK-6: print the first ``rows`` rows of each result table, as a console shows them."""
 
     def show(df: DataFrame, batch_id: int) -> None:
         print(f"-------- batch {batch_id} --------")
-        df.show(20, truncate=truncate)
+        df.show(rows, truncate=truncate)
 
     return show
 
@@ -62,22 +69,6 @@ def start_console(df: DataFrame, mode: str = "complete", processing_time: str =
     return w.trigger(processingTime=processing_time).start()
 
 
-def jdbc_batch_writer(url: str, table: str, properties: dict | None = None,
-                      mode: str = "append") -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body writing each batch to a JDBC table (SNK-1/2 towards a database).
-
-    The driver jar must be on the class path; untested here (no database in
-    this environment). Each task opens its own connection; nothing goes
-    through the driver. Keyed upserts stay set-based: merge in Spark, then
-    write the changed keys.
-    """
-
-    def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode(mode).jdbc(url, table, properties=properties or {})
-
-    return write
-
-
 def time_chunks(df: DataFrame, ts_col: str, days_per_chunk: int) -> list[tuple[dt.datetime, dt.datetime]]:
     """Consecutive ``[start, end)`` ranges of ``days_per_chunk`` days covering ``ts_col``.
 
@@ -106,18 +97,22 @@ def replay_by_time(spark: SparkSession, source: DataFrame, ts_col: str, folder:
     is written as new files into ``folder`` and ``run_once`` drains it. This
     is how files arrive from upstream; each chunk becomes one or more
     micro-batches of the same query, resumed from its checkpoint. Two passes
-    over the data in total, not one per chunk.
+    over the data in total, not one per chunk. Rows without a time come with
+    the first chunk: the query sees them and decides.
     """
     chunks = time_chunks(source, ts_col, days_per_chunk)
     if not chunks:
-        return []
+        if source.isEmpty():
+            return []
+        chunks = [(dt.datetime(1970, 1, 1), dt.datetime(1970, 1, 2))]  # no row has a time
     epoch = dt.datetime(1970, 1, 1)
     lo_us = int((chunks[0][0] - epoch).total_seconds()) * 1_000_000
     span_us = days_per_chunk * 86_400 * 1_000_000
     ts_us = F.unix_micros(F.col(ts_col).cast("timestamp"))
     stage = folder.rstrip("/") + "-stage"
     cols = columns if columns is not None else source.columns
-    (source.select(*cols, F.floor((ts_us - F.lit(lo_us)) / F.lit(span_us)).cast("int").alias("_chunk"))
+    number = F.coalesce(F.floor((ts_us - F.lit(lo_us)) / F.lit(span_us)).cast("int"), F.lit(0))
+    (source.select(*cols, number.alias("_chunk"))
      .write.mode("overwrite").partitionBy("_chunk").parquet(stage))
     staged = spark.read.parquet(stage)
     runs = []

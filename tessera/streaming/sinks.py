@@ -21,15 +21,15 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def committed_ids(spark: SparkSession, root: str, prefix: str) -> list[int]:
-    """Ids ``n`` of sub-folders ``<prefix>=<n>`` of ``root`` that hold ``_SUCCESS``."""
+def committed_ids(spark: SparkSession, root: str, prefix: str, after: int = -1) -> list[int]:
+    """Ids ``n`` over ``after`` of sub-folders ``<prefix>=<n>`` of ``root`` that hold ``_SUCCESS``."""
     fs, hroot = _fs(spark, root)
     if not fs.exists(hroot):
         return []
     out = []
     for st in fs.listStatus(hroot):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(prefix + "="):
+        if st.isDirectory() and name.startswith(prefix + "=") and int(name.split("=", 1)[1]) > after:
             if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
                 out.append(int(name.split("=", 1)[1]))
     return sorted(out)
@@ -77,13 +77,17 @@ class VersionedTable:
 class DeltaLogTable:
     """A keyed table kept as an append-only log of batch deltas plus compacted bases.
 
-    ``append(df, batch_id)`` writes only that batch's rows to
-    ``<deltas>/batch=<id>`` (default ``root/deltas``): O(batch) per trigger, not O(table); a
+    ``append(df, batch_id, run)`` writes only that batch's rows to
+    ``<deltas>/run=<run>/batch=<id>``: O(batch) per trigger, not O(table). ``run``
+    names the stream query (a checkpoint keeps its query id), so a query that
+    starts again from a new checkpoint never meets the batch ids of the old one; a
     replayed id overwrites its own folder. ``read(merge_fn)`` is
-    ``merge_fn(latest base, deltas after it)``; this requires ``merge_fn`` to
-    be associative over deltas, which holds for the blacklist (counts add,
-    the latest window wins) and the flagged map. ``compact`` folds the deltas
-    into a new base ``root/base/v=<last id>``, so reads stay bounded.
+    ``merge_fn(latest base, deltas that it does not hold)``; ``merge_fn`` must be
+    associative over deltas, which holds for the blacklist (counts add, the latest
+    window wins) and the flagged map. ``compact`` folds the deltas into a new base
+    with a manifest: the last batch of each run that the base holds. ``expire``
+    removes deltas that every table of the log has held for one base already, so
+    listings stay as short as the time between compactions.
     """
 
     def __init__(self, spark: SparkSession, root: str, table_schema: str, delta_schema: str,
@@ -93,28 +97,101 @@ class DeltaLogTable:
         # several tables may be views of one delta log (written once per batch)
         self.deltas = (deltas or f"{self.root}/deltas").rstrip("/")
 
-    def append(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.deltas}/batch={batch_id}")
-
-    def _base(self) -> tuple[int, DataFrame]:
-        bases = committed_ids(self.spark, f"{self.root}/base", "v")
-        if not bases:
-            return -1, self.spark.createDataFrame([], self.table_schema)
-        return bases[-1], self.spark.read.parquet(f"{self.root}/base/v={bases[-1]}")
+    def append(self, df: DataFrame, batch_id: int, run: str = "0") -> None:
+        df.write.mode("overwrite").parquet(f"{self.deltas}/run={run}/batch={batch_id}")
+
+    def bases(self) -> list[int]:
+        """Bases with data and manifest; the manifest is written last."""
+        return [v for v in committed_ids(self.spark, f"{self.root}/base", "v")
+                if committed_ids(self.spark, f"{self.root}/base/v={v}", "manifest")]
+
+    def held(self, base: int | None) -> dict[str, int]:
+        """Last batch of each run that a base holds: one row per run."""
+        if base is None:
+            return {}
+        rows = self.spark.read.schema("run STRING, batch BIGINT").parquet(f"{self.root}/base/v={base}/manifest=0").collect()
+        return {r["run"]: r["batch"] for r in rows}
+
+    def _pending(self, held: dict[str, int]) -> dict[str, list[int]]:
+        fs, hroot = _fs(self.spark, self.deltas)
+        if not fs.exists(hroot):
+            return {}
+        names = [st.getPath().getName() for st in fs.listStatus(hroot) if st.isDirectory()]
+        runs = [n.split("=", 1)[1] for n in names if n.startswith("run=")]
+        found = {r: committed_ids(self.spark, f"{self.deltas}/run={r}", "batch", after=held.get(r, -1)) for r in runs}
+        return {r: ids for r, ids in found.items() if ids}
+
+    def _data(self, base: int | None) -> DataFrame:
+        if base is None:
+            return self.spark.createDataFrame([], self.table_schema)
+        return self.spark.read.schema(self.table_schema).parquet(f"{self.root}/base/v={base}/data=0")
+
+    def _merged(self, base: int | None, pending: dict[str, list[int]], merge_fn) -> DataFrame:
+        if not pending:
+            return self._data(base)
+        folders = [f"{self.deltas}/run={r}/batch={i}" for r, ids in sorted(pending.items()) for i in ids]
+        return merge_fn(self._data(base), self.spark.read.schema(self.delta_schema).parquet(*folders))
 
     def read(self, merge_fn: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
-        upto, base = self._base()
-        ids = [i for i in committed_ids(self.spark, self.deltas, "batch") if i > upto]
-        if not ids:
-            return base
-        deltas = self.spark.read.schema(self.delta_schema).parquet(*[f"{self.deltas}/batch={i}" for i in ids])
-        return merge_fn(base, deltas)
+        base = max(self.bases(), default=None)
+        return self._merged(base, self._pending(self.held(base)), merge_fn)
 
     def compact(self, merge_fn: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-        ids = committed_ids(self.spark, self.deltas, "batch")
-        upto, _ = self._base()
-        if ids and ids[-1] > upto:
-            self.read(merge_fn).write.mode("overwrite").parquet(f"{self.root}/base/v={ids[-1]}")
+        base = max(self.bases(), default=None)
+        held = self.held(base)
+        pending = self._pending(held)
+        if not pending:
+            return
+        new = f"{self.root}/base/v={0 if base is None else base + 1}"
+        self._merged(base, pending, merge_fn).write.mode("overwrite").parquet(f"{new}/data=0")
+        held.update({r: ids[-1] for r, ids in pending.items()})
+        rows = self.spark.createDataFrame(sorted(held.items()), "run STRING, batch BIGINT")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{new}/manifest=0")
+        fs, mark = _fs(self.spark, f"{new}/_SUCCESS")
+        fs.create(mark, True).close()
+
+
+def expire(*tables: DeltaLogTable) -> int:
+    """Remove deltas that the base before the latest of every table holds (readers of the latest base miss none), and
+    bases older than that; returns the number of deltas removed."""
+    keep = [sorted(t.bases())[-2:] for t in tables]
+    if any(len(b) < 2 for b in keep):
+        return 0
+    held = [t.held(b[0]) for t, b in zip(tables, keep, strict=True)]
+    removed = 0
+    for run in set.intersection(*(set(h) for h in held)):
+        last = min(h[run] for h in held)
+        for i in committed_ids(tables[0].spark, f"{tables[0].deltas}/run={run}", "batch"):
+            if i <= last:
+                fs, path = _fs(tables[0].spark, f"{tables[0].deltas}/run={run}/batch={i}")
+                removed += bool(fs.delete(path, True))
+    for t, b in zip(tables, keep, strict=True):
+        for v in t.bases():
+            if v < b[0]:
+                fs, path = _fs(t.spark, f"{t.root}/base/v={v}")
+                fs.delete(path, True)
+    return removed
+
+
+class DatedTable:
+    """A keyed table with one folder per date: writing some dates replaces those folders and no others.
+
+    Two reports of different dates can be written at the same time; neither can
+    lose the other's rows, and a rerun replaces its own.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: str, key: str = "date"):
+        self.spark, self.root, self.schema, self.key = spark, root.rstrip("/"), schema, key
+
+    def replace(self, rows: DataFrame) -> None:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.key).parquet(self.root))
+
+    def read(self) -> DataFrame:
+        fs, root = _fs(self.spark, self.root)
+        if not fs.exists(root) or not any(st.getPath().getName().startswith(f"{self.key}=") for st in fs.listStatus(root)):
+            return self.spark.createDataFrame([], self.schema)
+        empty = self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(empty.schema).parquet(self.root).select(empty.columns)
 
 
 def batch_folder_writer(root: str) -> Callable[[DataFrame, int], None]:

@@ -2,8 +2,9 @@
 
 The reference reads a message broker. ``stream_lines`` takes the broker
 connector when it is on the class path (``fmt="kafka"`` plus its options) and
-a folder of text files otherwise; both give ``value STRING`` and
-``ingest_ts TIMESTAMP`` (broker timestamp, or the micro-batch time for files).
+a folder of files otherwise; both give ``value STRING`` and ``ingest_ts``: the
+message's own ``timestamp`` (broker, or files with columns ``value, timestamp``),
+or the micro-batch time for plain text files, which have none.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ def stream_lines(spark: SparkSession, path: str | None = None, fmt: str = "text"
             .load()
         )
         return raw.selectExpr("CAST(value AS STRING) AS value", "CAST(timestamp AS TIMESTAMP) AS ingest_ts")
+    if fmt != "text":  # messages as files: what a broker would have delivered
+        raw = spark.readStream.format(fmt).schema("value STRING, timestamp TIMESTAMP_NTZ").options(**options).load(path)
+        return raw.select("value", F.col("timestamp").alias("ingest_ts"))
     raw = spark.readStream.format(fmt).options(**options).load(path)
     return raw.select(F.col("value"), F.current_timestamp().alias("ingest_ts"))
 

@@ -12,7 +12,7 @@ def test_daily_report_cli(spark, scratch):
     table = scratch("cli-daily")
     out = cli.main(["daily-report", "--log", log, "--format", "json", "--date", "2024-01-10",
                     "--date", "2024-01-11", "--table", table], spark)
-    assert out["table_version"] == 0
+    assert out["dates"] == ["2024-01-10", "2024-01-11"]
     rows = {r.date: r for r in daily_result_table(spark, table).read().collect()}
     assert set(rows) == {"2024-01-10", "2024-01-11"}
 
@@ -30,6 +30,15 @@ def test_bursts_cli_available_now(spark, scratch):
     _, bl = flagged_tables(spark, tables)
     got = sorted(tuple(r) for r in bl.read(blacklist_table_merge).collect())
     assert got == [("A", 500.0, 2), ("D", 400.0, 2)]  # two flagged windows each
+    # the map as the stream stored it feeds the sync: one for each player and poll
+    from tessera.schemas import BLACKLIST_DDL
+    from tessera.streaming.sinks import VersionedTable
+
+    synced = scratch("cli-synced")
+    for sync_id in ("0", "1"):
+        cli.main(["sync-blacklist", "--tables", tables, "--table", synced, "--sync-id", sync_id], spark)
+    rows = VersionedTable(spark, synced, BLACKLIST_DDL).read().collect()
+    assert sorted(tuple(r) for r in rows) == [("A", 500.0, 2), ("D", 400.0, 2)]
 
 
 def test_ingest_then_typed_report_matches_raw(spark, scratch):
@@ -47,3 +56,7 @@ def test_ingest_then_typed_report_matches_raw(spark, scratch):
     assert a == b and a[0]["newAddUserCnt"] > 0
     assert spark.read.parquet(bad).count() > 0  # bad ip / time rows kept aside with a reason
     assert "event_date" in spark.read.parquet(typed).columns
+    before = spark.read.parquet(typed).count(), spark.read.parquet(bad).count()
+    cli.main(["ingest-gamelog", "--log", raw, "--format", "json", "--out", typed, "--quarantine", bad], spark)
+    assert (spark.read.parquet(typed).count(), spark.read.parquet(bad).count()) == before  # a rerun replaces its load
+    assert sum(before) == spark.read.json(raw).count()

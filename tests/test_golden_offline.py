@@ -148,3 +148,29 @@ def test_scan_gamelog_formats_agree(spark, scratch):
     no_ip = scratch("glog-noip")
     raw.drop("ip").write.mode("overwrite").parquet(no_ip)
     assert {r.ip for r in clean.gamelog_defaults(scan_gamelog(spark, no_ip)).collect()} == {""}
+
+
+def test_time_text_forms_and_time_zone(spark):
+    """One-digit fields and text after the seconds are fine; the caller's time zone stays and counts."""
+    from tessera.functions import sqlfn
+    from tessera.functions.time import parse_cn_time, parse_iso_time
+    from tessera.session import configure
+
+    cn_rows = ["2018年2月1日,星期四,09:02:01", "2018年2月1日 9:02:01", "2018年02月01日,x,9:2:1.5", "2018年2月1日", "not a time"]
+    df = spark.createDataFrame([(x,) for x in cn_rows], "t STRING")
+    got = [r[0] for r in df.select(parse_cn_time("t").cast("string")).collect()]
+    assert got == ["2018-02-01 09:02:01"] * 3 + [None] * 2
+    iso = spark.createDataFrame([(x,) for x in ("2018-2-1 9:05:03", "2018-02-01 11:08:07.5", " 2018-02-01 11:08:07 x", "2018-13-01 11:08:07", "")], "t STRING")
+    got = [r[0] for r in iso.select(parse_iso_time("t").cast("string")).collect()]
+    assert got == ["2018-02-01 09:05:03", "2018-02-01 11:08:07", "2018-02-01 11:08:07", None, None]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+        configure(spark)
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Shanghai"
+        sqlfn.register(spark)
+        ms = spark.sql("SELECT getTimeMills('2018年2月1日,星期四,8:00:00')").first()[0]
+        assert ms == 1517443200000  # 2018-02-01 00:00 UTC
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        sqlfn.register(spark)

@@ -4,8 +4,6 @@ import pytest
 
 from tests.conftest import SF01
 
-STREAM_KEYS = {"burst_stream", "burst_stream_complete", "burst_stream_wm", "late_drop", "burst_stream_ingest",
-               "stream_ingest", "blacklist_stream"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
 
@@ -52,3 +50,37 @@ def test_dictionary_broadcast_is_the_fixed_13_rows(spark):
 
     p = plan(QUERIES["event_decode"](spark, SF01))
     assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
+
+
+@pytest.mark.parametrize("key,scans", [("blacklist_merge", 2), ("flagged_latest", 2), ("sanctions", 3), ("upsert_daily", 2), ("retained_selfjoin", 2)])
+def test_keyed_tables_read_their_stored_input(spark, key, scans):
+    """The events are scanned once, for the stored windows or results; the merge reads those."""
+    from tessera.plans.catalog import QUERIES
+
+    p = plan(QUERIES[key](spark, SF01))
+    assert sum(1 for ln in p.splitlines() if ln.startswith("(") and "Scan parquet" in ln) <= scans
+    events = sum("events.parquet" in ln for ln in p.splitlines() if "Location" in ln)
+    assert events <= {"upsert_daily": 1, "retained_selfjoin": 2}.get(key, 0)
+
+
+def test_saved_report_prunes_day_partitions(spark, scratch):
+    from tessera.operators import retention
+    from tessera.operators.roles import GAMELOG_ROLES
+    from tessera.plans import inputs, jobs
+
+    typed = scratch("typed-plan")
+    jobs.ingest_gamelog(spark, inputs.gamelog_json_path(spark, SF01), typed, fmt="json")
+    p = plan(retention.daily_reports(spark.read.parquet(typed), GAMELOG_ROLES, ["2024-01-10", "2024-01-11"]))
+    filters = next(ln for ln in p.splitlines() if "PartitionFilters" in ln)
+    assert "event_date" in filters
+
+
+def test_bounds_on_one_side_reach_the_scan(spark):
+    from tessera.operators import retention
+    from tessera.operators.roles import EVENTS_ROLES
+
+    events = spark.read.parquet(f"{SF01}/events.parquet")
+    p = plan(retention.retention_matrix(events, EVENTS_ROLES, start="2024-01-20"))
+    assert "GreaterThanOrEqual(ts,2024-01-20T00:00)" in p
+    p = plan(retention.retention_matrix(events, EVENTS_ROLES, end="2024-01-05"))
+    assert "LessThan(ts,2024-01-13T00:00)" in p

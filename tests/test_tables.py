@@ -63,6 +63,56 @@ def test_daily_report_job_upserts_by_date(spark, scratch):
     assert sorted(r.date for r in t.collect()) == ["2024-01-10", "2024-01-11"]
 
 
+def test_new_checkpoint_adds_to_the_tables(spark, scratch):
+    """Batch ids start again with a new checkpoint: neither the base nor old deltas may hide or lose what comes."""
+    from tessera.plans.streams import blacklist_table_merge, flagged_map_merge, flagged_tables
+
+    flagged, bl = flagged_tables(spark, scratch("nc"))
+    schema = "userName STRING, avgTime DOUBLE, window_end TIMESTAMP_NTZ"
+    flagged.append(spark.createDataFrame([("A", 500.0, T0)], schema), 0, "first")
+    flagged.append(spark.createDataFrame([("A", 400.0, T0 + dt.timedelta(seconds=5))], schema), 1, "first")
+    for t, merge in ((flagged, flagged_map_merge), (bl, blacklist_table_merge)):
+        t.compact(merge)
+    flagged.append(spark.createDataFrame([("Z", 300.0, T0)], schema), 0, "second")
+    assert sorted(r.userName for r in flagged.read(flagged_map_merge).collect()) == ["A", "Z"]
+    assert sorted(tuple(r) for r in bl.read(blacklist_table_merge).collect()) == [("A", 400.0, 2), ("Z", 300.0, 1)]
+
+
+def test_empty_batches_still_compact_and_expire(spark, scratch):
+    from tessera.plans.streams import blacklist_table_merge, flagged_sink, flagged_tables
+    from tessera.streaming.sinks import committed_ids
+
+    flagged, bl = flagged_tables(spark, scratch("ec"))
+    sink = flagged_sink(flagged, bl, compact_every=2)
+    schema = "userName STRING, avgTime DOUBLE, window_end TIMESTAMP_NTZ"
+    some = [spark.createDataFrame([("A", 500.0, T0 + dt.timedelta(seconds=i))], schema) for i in range(3)]
+    none = spark.createDataFrame([], schema)
+    sink(some[0], 0)
+    sink(none, 1)  # nobody flagged, but its turn to compact
+    assert bl.bases() == [0]
+    sink(some[1], 2)
+    sink(none, 3)
+    sink(some[2], 4)
+    assert bl.bases() == [0, 1] and committed_ids(spark, f"{bl.deltas}/run=0", "batch") == [2, 4]  # 0 is in both bases
+    assert [tuple(r) for r in bl.read(blacklist_table_merge).collect()] == [("A", 500.0, 3)]
+
+
+def test_reports_of_different_dates_do_not_overwrite_each_other(spark, scratch):
+    from tessera.plans.jobs import daily_result_table
+    from tessera.schemas import DAILY_RESULT_DDL
+
+    table = daily_result_table(spark, scratch("dates"))
+    assert table.read().count() == 0
+    rows = {d: spark.createDataFrame([(d, n, n, *["0.00%"] * 7)], DAILY_RESULT_DDL) for d, n in (("2024-01-01", 1), ("2024-01-02", 2))}
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(2) as pool:  # two writers that both started from the empty table
+        list(pool.map(table.replace, rows.values()))
+    assert sorted((r.date, r.newAddUserCnt) for r in table.read().collect()) == [("2024-01-01", 1), ("2024-01-02", 2)]
+    table.replace(spark.createDataFrame([("2024-01-02", 5, 5, *["0.00%"] * 7)], DAILY_RESULT_DDL))
+    assert sorted((r.date, r.newAddUserCnt) for r in table.read().collect()) == [("2024-01-01", 1), ("2024-01-02", 5)]
+
+
 def test_sync_blacklist_counts_once_per_sync(spark, scratch):
     from tessera.plans.jobs import sync_blacklist
 
