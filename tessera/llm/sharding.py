@@ -48,10 +48,10 @@ class FeistelPermutation:
         return out
 
     def forward(self, rows) -> np.ndarray:
-        return self._walked(np.asarray(rows).astype(np.uint64), self.keys).astype(np.int64)
+        return self._walked(np.atleast_1d(rows).astype(np.uint64), self.keys).astype(np.int64)
 
     def backward(self, places) -> np.ndarray:
-        return self._walked(np.asarray(places).astype(np.uint64), self.keys[::-1]).astype(np.int64)
+        return self._walked(np.atleast_1d(places).astype(np.uint64), self.keys[::-1]).astype(np.int64)
 
 
 def locate(rows, n: int, shards: int = SHARDS, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:

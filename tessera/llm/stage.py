@@ -1,18 +1,43 @@
-"""Written intermediate tables: they cut lineage, live in the shared folder and survive lost executors."""
+"""Tables in and between steps, and the code that tasks need."""
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
+import tessera
 from tessera.session import scratch_path
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors once per application, as ``--py-files`` would.
+
+    Nothing to do where the package itself came from an archive (then it was sent already).
+    """
+    context, package = spark.sparkContext, Path(tessera.__file__).resolve().parent
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="tessera-code-"))
+    context.addPyFile(shutil.make_archive(f"{folder}/tessera", "zip", package.parent, package.name))
+    _shipped.add(context.applicationId)
+
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table under the session's shared folder, read back."""
+    """``df`` as a Parquet table under the session's shared folder, read back.
+
+    A written table cuts lineage, lives in the shared folder and survives lost executors.
+    """
     path = scratch_path(spark, f"llm-{name}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

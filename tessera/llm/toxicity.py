@@ -27,8 +27,12 @@ from tessera.llm.stage import written
 #: (category, label column, value that means yes), in chain order.
 CATEGORIES = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
 #: Bounds of the fit: labelled documents (those with the smallest hash of their id) and features a category.
-SAMPLE, FEATURES = 10_000, 600
-GRAM_BYTES, FOLDS, ROUNDS, RIDGE = 5, 5, 400, 1e-4
+SAMPLE, FEATURES = 10_000, 120
+#: A feature occurs in at least this share of the rarer kind's texts, so that a few copies of one text make none.
+SUPPORT = 0.03
+#: The ridge penalty weighs as much as so many texts.
+RIDGE_TEXTS = 0.5
+GRAM_BYTES, FOLDS, ROUNDS = 5, 5, 400
 
 
 def _distinct_grams(block_data: np.ndarray, offsets: np.ndarray, known: tuple | None) -> tuple[np.ndarray, np.ndarray]:
@@ -99,6 +103,7 @@ class Linear:
 def fit(row: np.ndarray, feature: np.ndarray, earlier: np.ndarray, y: np.ndarray, n_features: int) -> Linear:
     """Accelerated gradient descent on the ridge-penalised logistic loss of sparse presence features."""
     n, m = earlier.shape
+    ridge = RIDGE_TEXTS / n
 
     def times(v):
         return np.bincount(row, v[:n_features][feature], n) + earlier @ v[n_features : n_features + m] + v[-1]
@@ -109,10 +114,10 @@ def fit(row: np.ndarray, feature: np.ndarray, earlier: np.ndarray, y: np.ndarray
     v = np.ones(n_features + m + 1)
     for _ in range(15):  # the largest curvature sets the step
         v = transposed(times(v / np.linalg.norm(v)))
-    step = 1 / (0.25 * max(np.linalg.norm(v), 1) / n + RIDGE)
+    step = 1 / (0.25 * max(np.linalg.norm(v), 1) / n + ridge)
     w, ahead = np.zeros(len(v)), np.zeros(len(v))
     for i in range(ROUNDS):
-        slope = transposed(1 / (1 + np.exp(-np.clip(times(ahead), -500, 500))) - y) / n + RIDGE * ahead
+        slope = transposed(1 / (1 + np.exp(-np.clip(times(ahead), -500, 500))) - y) / n + ridge * ahead
         new = ahead - step * slope
         ahead, w = new + i / (i + 3) * (new - w), new
     return Linear(w[:n_features], w[n_features : n_features + m], float(w[-1]))
@@ -164,8 +169,8 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, categories=CA
     yes = [F.max((F.col(column).cast("double") == value).cast("int")).alias(name) for name, column, value in categories]
     named = labels.select(F.col("doc_id").cast("long").alias("doc_id"), *{c[1] for c in categories}).where("doc_id is not null").groupBy("doc_id").agg(*yes)
     chosen = named.where(F.coalesce(*names).isNotNull()).join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.where(F.octet_length("text") > 0).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id")
-    texts = written(spark, texts.select("text", *names), "labelled")
+    texts = docs.where(F.octet_length("text") > 0).join(F.broadcast(chosen), "doc_id").dropDuplicates(["text", *names])
+    texts = written(spark, texts.orderBy(F.xxhash64("text"), *names).select("text", *names), "labelled")
     counts = ", ".join(f"known_{n} long, yes_{n} long" for n in names)
     counted = texts.mapInArrow(partial(_gram_counts, names=names), f"gram long, {counts}").groupBy("gram").agg(*(F.sum(f"{x}_{n}").alias(f"{x}_{n}") for n in names for x in ("known", "yes")))
     counted = written(spark, counted.where(reduce(lambda a, b: a | b, [F.col(f"known_{n}") >= 3 for n in names])), "grams")
@@ -177,8 +182,9 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, categories=CA
             continue
         have, pos = F.col(f"known_{name}"), F.col(f"yes_{name}")
         rate = have / n
+        support = max(5, SUPPORT * min(k, n - k))
         z = F.abs(pos / k - (have - pos) / (n - k)) / F.sqrt(rate * (1 - rate) + 1 / n)
-        keys.update(r[0] for r in counted.orderBy(F.desc(z), "gram").limit(features).select("gram").collect())
+        keys.update(r[0] for r in counted.where(have >= support).orderBy(F.desc(z), "gram").limit(features).select("gram").collect())
     if not keys:
         return None
     known = _lookup(np.sort(np.array(sorted(keys), np.int64).view(np.uint64)))

@@ -1,16 +1,14 @@
-"""Small texts with copies, near copies, nulls, ties and a long text."""
+"""Small texts with copies, near copies, nulls, ties, repeated rows and long texts."""
 
 import random
 
-import pyarrow as pa
-import pyarrow.parquet as pq
-
 
 def words(rng, n, vocabulary=400):
     return [f"w{rng.randrange(vocabulary)}" for _ in range(n)]
 
 
 def documents(seed=3, n=60):
+    """Rows (doc_id, text) with distinct ids."""
     rng = random.Random(seed)
     rows = []
     for i in range(n):
@@ -32,5 +30,24 @@ def documents(seed=3, n=60):
     return rows
 
 
-def write(path, rows, names, types):
-    pq.write_table(pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(names), types, strict=True)], names), path)
+def odd_documents():
+    """``documents`` with repeated rows, a repeated id and null ids."""
+    rows = documents()
+    by_id = dict(rows)
+    long = next(d for d, t in rows if t and t.count(" ") > 100)
+    return [*rows, (long, by_id[long]), (long, by_id[long]), (5, by_id[70]), (5, "another text under the same id"), (None, by_id[61]), (None, "alone"), (None, None)]
+
+
+def frame(spark, rows, schema="doc_id long, text string"):
+    """The rows with extra columns whose names clash with those that operators use inside."""
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(rows, schema).repartition(5)
+    for name in ("k1", "k2", "row", "node", "kept", "component_id", "shard", "n_words", "spans", "list", "score", "letters", "payload", "part"):
+        if name not in df.columns:
+            df = df.withColumn(name, F.lit("clash"))
+    return df
+
+
+def ordered(rows):
+    return sorted((tuple(r) for r in rows), key=lambda r: [(x is not None, x) for x in r])
