@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.stage import written
+from tessera.llm.stage import prepare, written
 
 #: The index is fitted on at most so many vectors (those with the smallest hash of their id).
 SAMPLE = 20_000
@@ -146,6 +146,7 @@ def search(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_id", vect
     or another length than most take no part. Rows that repeat an id are candidates each; of several query rows of
     one id all are searched and the best ``k`` returned. Other columns play no part.
     """
+    prepare(spark)
     own = written(spark, usable(vectors, id_col, vector_col), "vectors")
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     n = own.count()

@@ -23,6 +23,7 @@ from tokenizers import Tokenizer
 from tessera.llm import chunks as C
 from tessera.llm import words as W
 from tessera.llm.rows import KEY, keyed
+from tessera.llm.stage import prepare
 
 
 def byte_symbols() -> list[str]:
@@ -71,7 +72,7 @@ class ForcedBoundaryBPE:
             strings[i] = token.encode() + b" "
         #: Token strings by id, each with the blank that decoding puts between tokens.
         self.strings = pa.array(strings, pa.large_binary())
-        self.known = C.Remembered()
+        self.known = C.Remembered(100_000)
 
     def merged(self, fragment: str, last: bool) -> list[int]:
         """Ids of a fragment by merge ranks: the lowest rank first, the leftmost of equals."""
@@ -185,12 +186,14 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "doc_i
     ``decoded`` adds the text decoded from the ids in the same pass. Null and empty texts have no ids (an empty value)
     and decode to an empty text. Rows stay as they are, repeated or with a null id; other columns play no part.
     """
+    prepare(spark)
     fields = "doc_id long, k1 long, k2 long, ids binary" + ", decoded string" * decoded
     return keyed(docs, id_col, text_col).mapInArrow(partial(_round_trip, sent=_vocabulary(spark, path), decoded=decoded), fields)
 
 
 def decode(spark: SparkSession, encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` with the text that its column ids stands for, in a column decoded."""
+    prepare(spark)
     own = encoded.drop("decoded")
     schema = ", ".join(f"`{n}` {t}" for n, t in own.dtypes) + ", decoded string"
     return own.mapInArrow(partial(_decoded, sent=_vocabulary(spark, path)), schema)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import words as W
 from tessera.llm.rows import KEY, keyed
-from tessera.llm.stage import written
+from tessera.llm.stage import prepare, written
 
 WINDOW_WORDS, SHINGLE_WORDS = 10, 3
 #: Windows sent to tasks at once, at most: about 12 MB.
@@ -182,6 +182,7 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col
     Null and empty texts have no words, and items without words no windows. An item with a null id hits words but is
     not listed; items may repeat. Rows that repeat a doc_id stay separate. Other columns play no part.
     """
+    prepare(spark)
     own = keyed(docs, id_col, text_col)
     named = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     made = written(spark, named.mapInArrow(partial(_item_windows, window=window), _WINDOWS), "item-windows")

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import rows
 from tessera.llm import words as W
+from tessera.llm.stage import prepare
 
 ORDER = 3
 #: Bounds of the labelled sample: documents for each language, and languages (those with most documents).
@@ -165,6 +166,7 @@ def identify(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
     every text if there is nothing to learn from. Equal code lengths go to the language that comes first by name.
     Rows stay as they are, repeated or with a null id; other columns play no part.
     """
+    prepare(spark)
     model = train(spark, docs, id_col, text_col, lang_col, **bounds)
     own = rows.keyed(docs, id_col, text_col)
     if model is None:

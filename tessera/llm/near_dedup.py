@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tessera.llm import rows as rows_of
 from tessera.llm import words as W
 from tessera.llm.components import components
-from tessera.llm.stage import written
+from tessera.llm.stage import prepare, written
 
 SHINGLE_WORDS = 5
 #: 32 bands of 4: a pair of similarity 0.75 shares none with a chance of 0.000006.
@@ -143,6 +143,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     A null doc_id can be linked but names no component unless no other is there:
     then component_id is null and the row is kept. Other columns play no part.
     """
+    prepare(spark)
     own = rows_of.keyed(docs, id_col, text_col)
     signed = written(spark, own.mapInArrow(partial(_signed, k=k, bands=bands, rows=rows), _SIGNED), "signed")
     classes = written(spark, signed.where("node is not null").groupBy("node", "node2", "n_shingles").agg(

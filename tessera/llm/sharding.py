@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import words as W
-from tessera.llm.stage import written
+from tessera.llm.stage import prepare, written
 
 SHARDS, SEED, ROUNDS = 16, 20240229, 6
 
@@ -92,6 +92,7 @@ def shard(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     text has size 1 and the checksum of no bytes, as an empty one. The law is ``rows``; grown_shard is null, since
     another number of shards deals all rows anew. Other columns play no part.
     """
+    prepare(spark)
     raw = F.coalesce(F.col(text_col).cast("string").cast("binary"), F.lit(b""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), F.xxhash64(raw).alias("digest"))
     rows, n = numbered(spark, rows, "doc_id", "digest")

@@ -12,20 +12,27 @@ from pyspark.sql import DataFrame, SparkSession
 import tessera
 from tessera.session import scratch_path
 
-_shipped: set[str] = set()
+_prepared: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package's code to the executors once per application, as ``--py-files`` would.
+#: Bytes of a batch that goes between Spark and Python at most, unless the session has a setting of its own.
+BATCH_BYTES = "8m"
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
-    Nothing to do where the package itself came from an archive (then it was sent already).
+
+def prepare(spark: SparkSession) -> None:
+    """What every operator needs of its session: code on the executors and batches that fit beside other workers.
+
+    The package's code is sent once per application, as ``--py-files`` would; nothing is sent where it came from an
+    archive itself. Batches are bounded in bytes if the session has the default bound: long texts come in small batches.
     """
     context, package = spark.sparkContext, Path(tessera.__file__).resolve().parent
-    if context.applicationId in _shipped or not package.is_dir():
-        return
-    folder = os.path.realpath(tempfile.mkdtemp(prefix="tessera-code-"))
-    context.addPyFile(shutil.make_archive(f"{folder}/tessera", "zip", package.parent, package.name))
-    _shipped.add(context.applicationId)
+    if context.applicationId not in _prepared and package.is_dir():
+        folder = os.path.realpath(tempfile.mkdtemp(prefix="tessera-code-"))
+        context.addPyFile(shutil.make_archive(f"{folder}/tessera", "zip", package.parent, package.name))
+        _prepared.add(context.applicationId)
+    if spark.conf.get(_BATCH_CONF, None) in (None, "64MB", "67108864b", "67108864"):
+        spark.conf.set(_BATCH_CONF, BATCH_BYTES)
 
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -39,5 +46,5 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import words as W
 from tessera.llm.rows import KEY, keyed
-from tessera.llm.stage import written
+from tessera.llm.stage import prepare, written
 
 WINDOW_WORDS = 50
 
@@ -137,6 +137,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     Null and empty texts have no words. Rows that repeat a doc_id are documents of the same id: they don't remove
     words from each other. A row with a null id removes nothing and loses nothing. Other columns play no part.
     """
+    prepare(spark)
     own = keyed(docs, id_col, text_col)
     surveyed = own.mapInArrow(partial(_surveyed, window=window), _SURVEYED).withColumn("row", F.monotonically_increasing_id())
     surveyed = written(spark, surveyed, "surveyed")

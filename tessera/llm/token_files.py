@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 
 from tessera.llm import chunks as C
 from tessera.llm import shared_files as S
-from tessera.llm.stage import written
+from tessera.llm.stage import prepare, written
 from tessera.session import scratch_path
 
 SEQUENCE_TOKENS = 2048
@@ -162,6 +162,7 @@ def save(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "doc_id"
     Documents come in ascending id order (nulls first; rows of one id by their text). Null and empty texts have only
     the end id. A table without rows gives no files. Other columns play no part.
     """
+    prepare(spark)
     folder = scratch_path(spark, "llm-tokens")
     system, place = S.opened(folder)
     system.create_dir(place, recursive=True)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import words as W
 from tessera.llm.language_id import _grams
-from tessera.llm.stage import written
+from tessera.llm.stage import prepare, written
 
 #: (category, label column, value that means yes), in chain order.
 CATEGORIES = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
@@ -208,6 +208,7 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: st
     table play no part.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    prepare(spark)
     names = [c[0] for c in categories]
     model = train(spark, own, labels, categories, **bounds)
     if model is None:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import shared_files as S
-from tessera.llm.stage import written
+from tessera.llm.stage import prepare, written
 from tessera.llm.zip_reader import ZipRanges
 from tessera.session import scratch_path
 
@@ -118,6 +118,7 @@ def save(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col
     with the smallest page id is a response and the others revisit it; rows that share that smallest id are all
     responses, and so are rows of a payload that has no page id at all. Other columns play no part.
     """
+    prepare(spark)
     folder = scratch_path(spark, "llm-warc")
     system, place = S.opened(folder)
     system.create_dir(place, recursive=True)
