@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import ann, bpe, decontaminate, language_id, near_dedup, sharding, substring_dedup, token_files, toxicity, warc
+from tessera.llm.oracle import ORACLE
 from tessera.llm.stage import table
 
 
@@ -75,4 +76,4 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

@@ -79,6 +79,14 @@ def test_registered_queries_match_brute_force(spark):
     assert ordered(QUERIES["op10_decontaminate"](spark, SF001).collect()) == ordered(brute.contamination(docs, items))
 
 
+def test_queries_equal_their_sql(spark):
+    from tessera.llm.catalog import ORACLE
+    from tools.oracle_check import check
+
+    got = check(spark, SF001, sorted(ORACLE))
+    assert {k: v["status"] for k, v in got.items()} == dict.fromkeys(ORACLE, "match"), got
+
+
 def test_empty_tables(spark):
     empty = frame(spark, documents()).where("false")
     items = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
