@@ -21,7 +21,7 @@ import json
 from pyspark.sql import SparkSession
 
 from tessera import schemas
-from tessera.session import configure
+from tessera.session import CLUSTER_CONF, configure
 
 
 def _options(pairs: list[str] | None) -> dict:
@@ -69,6 +69,8 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--compact-every", type=int, default=50)
     b.add_argument("--count-per", choices=["window", "batch"], default="window", help="what adds one to a player's counter")
 
+    sub.add_parser("cluster-conf", help="settings for a large cluster, as a spark-submit properties file")
+
     s = sub.add_parser("sync-blacklist", help="apply the flagged-player map to the blacklist once")
     s.add_argument("--flagged", help="folder of a stored flagged map")
     s.add_argument("--tables", help="the --tables folder of the bursts job: read its flagged map")
@@ -80,6 +82,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     args = parser().parse_args(argv)
+    if args.cmd == "cluster-conf":
+        return {"cmd": args.cmd, "text": "\n".join(f"{k} {v}" for k, v in CLUSTER_CONF.items())}
     spark = spark or SparkSession.builder.appName(f"tessera-{args.cmd}").getOrCreate()
     configure(spark)
 
@@ -134,4 +138,5 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 
 
 if __name__ == "__main__":
-    print(json.dumps(main()))
+    out = main()
+    print(out["text"] if "text" in out else json.dumps(out))

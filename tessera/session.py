@@ -47,8 +47,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-# Settings for a large cluster (hundreds of TB of logs). Applied by the
-# deployment (spark-submit --conf / spark-defaults), not by library code.
+# Settings for a large cluster (hundreds of TB of logs). Applied by the deployment, not by library code:
+# ``cli.py cluster-conf > cluster.conf`` writes them for ``spark-submit --properties-file cluster.conf``.
 CLUSTER_CONF = {
     # start with many shuffle partitions; AQE coalesces them to ~advisory size at run time
     "spark.sql.shuffle.partitions": "8000",

@@ -60,3 +60,16 @@ def test_ingest_then_typed_report_matches_raw(spark, scratch):
     cli.main(["ingest-gamelog", "--log", raw, "--format", "json", "--out", typed, "--quarantine", bad], spark)
     assert (spark.read.parquet(typed).count(), spark.read.parquet(bad).count()) == before  # a rerun replaces its load
     assert sum(before) == spark.read.json(raw).count()
+
+
+def test_cluster_conf_names_settings_that_exist(spark):
+    """Every line is a setting this Spark knows and takes (static ones belong to the submit command)."""
+    from tessera.session import CLUSTER_CONF
+
+    text = cli.main(["cluster-conf"])["text"]
+    pairs = dict(line.split(" ", 1) for line in text.splitlines())
+    assert pairs == CLUSTER_CONF
+    session = spark.newSession()
+    for key, value in pairs.items():
+        session.conf.set(key, value)
+        assert session.conf.get(key) == value
