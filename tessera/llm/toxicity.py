@@ -204,7 +204,7 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: st
     """(doc_id, p_<category>..., <category>...) for every row of ``docs``: probabilities and whether they reach ``threshold``.
 
     Null and empty texts have probability 0. Without labels of both kinds every probability is 0. Labels without a
-    document, or null, are not learned from. Rows stay as they are, repeated or with a null id; other columns of either
+    document, or null, are not learned from; equal texts of equal labels are learned from once. Rows stay as they are, repeated or with a null id; other columns of either
     table play no part.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

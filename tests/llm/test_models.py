@@ -178,7 +178,7 @@ def test_chain_uses_out_of_fold_predictions():
 
 
 def test_toxicity_of_odd_rows(spark):
-    rows = [(i, "you idiot moron" if i % 3 == 0 else "a good day to you") for i in range(90)]
+    rows = [(i, f"you idiot moron {i}" if i % 3 == 0 else f"a good day to you {i}") for i in range(90)]
     rows += [(200, None), (201, ""), (202, "you idiot moron " * 3000), (None, "you idiot moron"), (0, rows[0][1])]
     labels = [(i, 1, int(i % 3 == 0)) for i in range(90)] + [(999, 0, 1), (None, 1, 1), (3, None, None), (200, 1, 0), (1, 1, 0), (1, 1, 0)]
     frames = frame(spark, rows), frame(spark, labels, "doc_id long, quality int, toxic int")
