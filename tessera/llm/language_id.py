@@ -144,10 +144,12 @@ def train(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     """
     usable = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     usable = usable.where(~held_out("doc_id") & F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
-    common = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
-    order_by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = usable.select("lang", "doc_id").join(F.broadcast(common), "lang").withColumn("place", F.row_number().over(order_by))
-    sample = sample.where(F.col("place") <= docs_per_language).select("lang", "doc_id").distinct()
+    common = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    # a share of each language by hash, a little more than is wanted: only those are ranked, whatever a language's size
+    hashes = usable.select("lang", "doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("hash")).join(F.broadcast(common), "lang")
+    some = hashes.where(F.col("hash") < (1 << 40) * (1.5 * docs_per_language + 100) / F.col("count"))
+    ranked = some.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("hash", "doc_id")))
+    sample = ranked.where(F.col("place") <= docs_per_language).select("lang", "doc_id").distinct()
     texts = usable.join(F.broadcast(sample), ["lang", "doc_id"], "left_semi").select("lang", "text")
     counted = texts.mapInArrow(partial(_counted, order=order), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(set(counted["lang"].to_pylist()))
