@@ -145,6 +145,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     # level 1: anchors of half the length that occur in several documents
     stretches = surveyed.where("doc_id is not null").select("row", "doc_id", F.explode("stretches").alias("s")).select("row", "doc_id", "s.*")
     anchors = stretches.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("anchor")
+    anchors = written(spark, anchors, "anchors")  # written, so that a join with a very frequent key can be split
     alive = written(spark, stretches.join(anchors, "anchor"), "alive")
 
     # level 2: equal stretches first, then windows of the smallest document of each of several stretches
@@ -160,6 +161,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     windows = texts.where("stretches is not null").mapInArrow(partial(_opened, window=window), _WINDOWS)
     windows = written(spark, windows, "windows")
     least = windows.groupBy("anchor", "content").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least <> most")
+    least = written(spark, least, "least")
     single = windows.join(least, ["anchor", "content"]).where("doc_id > least").select("row", "pos", F.lit(1).alias("n"))
 
     repeated = whole.unionByName(single).groupBy("row").agg(F.collect_list(F.struct("pos", "n")).alias("repeated"))
