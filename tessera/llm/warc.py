@@ -126,6 +126,7 @@ def save(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col
     own = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), raw.alias("payload"))
     own = own.withColumn("sha1", F.sha1("payload")).withColumn("size", F.octet_length("payload"))
     first = own.where(F.col("size") >= least_bytes).groupBy("sha1", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = written(spark, first, "first-pages")  # written, so that the join can be split at a very frequent payload
     own = own.join(first, ["sha1", "size"], "left").withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")))
     manifest = own.select("page_id", "url", "payload", "sha1", "refers_to").mapInArrow(partial(_saved, folder=folder), "part int, file string, records long")
     return folder, written(spark, manifest, "warc-manifest")
