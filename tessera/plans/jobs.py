@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +46,19 @@ def ingest_gamelog(spark: SparkSession, raw_path: str, typed_path: str, fmt: str
         bad.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/load_id={load}")
 
 
+TYPED_LOG_DDL = "userName STRING, eventType STRING, time STRING, ip STRING, event_ts TIMESTAMP_NTZ, load_id STRING, event_date DATE"
+
+
+def typed_log(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by ``ingest_gamelog``; one that holds no row yet has no file to take a schema from."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.createDataFrame([], TYPED_LOG_DDL)
+
+
 def run_daily_report(spark: SparkSession, log_path: str, base, result_root: str, fmt: str = "parquet",
                      roles: Roles = GAMELOG_ROLES, days: int = RETENTION_DAYS, typed: bool = False,
                      **options) -> DataFrame:
@@ -57,7 +71,7 @@ def run_daily_report(spark: SparkSession, log_path: str, base, result_root: str,
     reaches the driver.
     """
     if typed:
-        log = spark.read.parquet(log_path)
+        log = typed_log(spark, log_path)
     else:
         log = clean.clean_gamelog(scan_gamelog(spark, log_path, fmt, **options))
     if isinstance(base, (list, tuple)):
