@@ -43,7 +43,7 @@ class LibraryEncoder:
     def __init__(self, text: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.library = Tokenizer.from_str(text)
-        self.known = C.Remembered()
+        self.known = C.Remembered(250_000)
 
     def _ids(self, chunks: list[bytes]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
