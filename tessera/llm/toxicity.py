@@ -1,19 +1,22 @@
 """Toxicity by a classifier chain.
 
 Categories are predicted one after the other by linear (logistic) models over
-the distinct byte 5-grams of the whole text; each model also gets the
-probabilities of the categories before it. To train it, those probabilities
-are predicted out of fold, so the later model sees them as they will be for
-new texts. Features are the grams that tell most about each category, chosen
-by counts that Spark takes over the sample; only sparse rows of chosen
-features come to the driver.
+the byte 5-grams of the whole text: whether a gram occurs, and whether it
+occurs at some rate, for a sign may be a gram that any text has now and then.
+Each model also gets the probabilities of the categories before it. To train
+it, those probabilities are predicted out of fold, so the later model sees
+them as they will be for new texts. Features are chosen in steps: each takes
+those that tell most about what the ones before leave unexplained (out of
+fold), so the signs of one language don't keep out those of another. Spark
+writes once which texts of the sample have each feature; only texts' numbers
+under chosen features come to the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -27,64 +30,112 @@ from tessera.llm.stage import prepare, written
 #: (category, label column, value that means yes), in chain order.
 CATEGORIES = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
 #: Bounds of the fit: labelled documents (those with the smallest hash of their id) and features a category.
-SAMPLE, FEATURES = 10_000, 120
-#: A feature occurs in at least this share of the rarer kind's texts, so that a few copies of one text make none.
-SUPPORT = 0.03
+SAMPLE, FEATURES = 10_000, 600
+#: Features are chosen in so many steps; each occurs in so many texts at least.
+STEPS, SUPPORT = 5, 3
+#: A gram that occurs twice or more is a feature also for each of these rates (once in so many bytes) that it reaches.
+RATES = (2048, 1024, 512, 256, 128)
 #: The ridge penalty weighs as much as so many texts.
 RIDGE_TEXTS = 0.5
 GRAM_BYTES, FOLDS, ROUNDS = 5, 5, 400
+#: Rounds of the fits whose residuals choose features.
+DRAFT_ROUNDS = 100
+_GRAM = np.uint64((1 << 8 * GRAM_BYTES) - 1)
 
 
-def _distinct_grams(block_data: np.ndarray, offsets: np.ndarray, known: tuple | None) -> tuple[np.ndarray, np.ndarray]:
-    """(row, gram) of the distinct grams of each row; with ``known`` only those, as their numbers."""
-    grams = _grams(block_data, offsets, GRAM_BYTES - 1)
+def _features(data: np.ndarray, offsets: np.ndarray, known: tuple | None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, feature) of the features of each row; with ``known`` only those, as their numbers.
+
+    A feature is a gram (it occurs) or a gram with the number of a rate above its bytes (it occurs that often).
+    """
+    grams = _grams(data, offsets, GRAM_BYTES - 1)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     if known is not None:
-        keys, coarse = known
-        at = np.flatnonzero(coarse[W.mix(grams) >> np.uint64(44)])
-        place = np.minimum(np.searchsorted(keys, grams[at]), len(keys) - 1)
-        hit = keys[place] == grams[at]
-        both = np.unique(row[at[hit]].astype(np.uint64) * np.uint64(len(keys)) + place[hit].astype(np.uint64))
-        return (both // np.uint64(len(keys))).astype(np.int64), both % np.uint64(len(keys))
+        at = np.flatnonzero(known[1][W.mix(grams) >> np.uint64(44)])
+        row, grams = row[at], grams[at]
     order = np.lexsort((grams, row))
     row, grams = row[order], grams[order]
     new = np.ones(len(row), bool)
     new[1:] = (row[1:] != row[:-1]) | (grams[1:] != grams[:-1])
-    return row[new], grams[new]
+    first = np.flatnonzero(new)
+    times, row, grams = np.diff(np.append(first, len(row))), row[first], grams[first]
+    often = np.flatnonzero(times >= 2)
+    rows, features = [row], [grams]
+    for i, rate in enumerate(RATES, 1):
+        often = often[times[often] * rate >= np.diff(offsets)[row[often]]]
+        rows.append(row[often])
+        features.append(grams[often] | np.uint64(i << 8 * GRAM_BYTES))
+    row, feature = np.concatenate(rows), np.concatenate(features)
+    if known is None:
+        return row, feature
+    place = np.minimum(np.searchsorted(known[0], feature), len(known[0]) - 1)
+    hit = known[0][place] == feature
+    return row[hit], place[hit]
 
 
 def _lookup(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     coarse = np.zeros(1 << 20, bool)
-    coarse[W.mix(keys) >> np.uint64(44)] = True
+    coarse[W.mix(keys & _GRAM) >> np.uint64(44)] = True
     return keys, coarse
 
 
-def _gram_counts(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """For each gram: texts that have it, with each category's label known, and yes."""
+def _numbers(starts: np.ndarray, numbers: np.ndarray) -> pa.Array:
+    """Lists of 32-bit numbers, each from its start on, as bytes."""
+    data = np.ascontiguousarray(numbers, np.int32)
+    ends = np.append(starts, len(data)).astype(np.int64) * 4
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def _listed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, numbers) of lists of 32-bit numbers as bytes."""
+    lists = column.cast(pa.large_binary())
+    _, offsets, data = lists.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[lists.offset : lists.offset + len(lists) + 1]
+    return (offsets - offsets[0]) // 4, np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(np.int32)
+
+
+def _texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each feature the numbers of the texts that have it, block by block."""
     for batch in batches:
         data, offsets = W.utf8(batch.column("text"))
-        labels = np.stack([np.asarray(batch.column(n).cast(pa.float64()).fill_null(np.nan)) for n in names], axis=1)
+        number = np.asarray(batch.column("number"))
         for lo, hi in W.ranges(offsets, 4 * W.BLOCK_BYTES):
             part = offsets[lo : hi + 1]
-            row, grams = _distinct_grams(data[part[0] : part[-1]], part - part[0], None)
-            keys, at = np.unique(grams, return_inverse=True)
-            columns = [pa.array(keys.view(np.int64))]
-            for i in range(len(names)):
-                mine = labels[lo:hi, i][row]
-                columns += [pa.array(np.bincount(at, np.isfinite(mine), len(keys)).astype(np.int64)), pa.array(np.bincount(at, mine == 1, len(keys)).astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["gram", *(f"{x}_{n}" for n in names for x in ("known", "yes"))])
+            row, feature = _features(data[part[0] : part[-1]], part - part[0], None)
+            order = np.argsort(feature, kind="stable")
+            keys, starts = np.unique(feature[order], return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), _numbers(starts, number[lo:hi][row[order]])], ["feature", "texts"])
 
 
-def _features(batches: Iterator[pa.RecordBatch], sent, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Labels and numbers of the chosen features of each text."""
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each feature's lists as one, in order; features of too few texts are left out."""
     for batch in batches:
-        data, offsets = W.utf8(batch.column("text"))
-        for lo, hi in W.ranges(offsets):
-            part = offsets[lo : hi + 1]
-            row, number = _distinct_grams(data[part[0] : part[-1]], part - part[0], sent.value)
-            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=hi - lo))]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(number.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([lists, *(batch.column(n).slice(lo, hi - lo) for n in names)], ["features", *names])
+        if not batch.num_rows:
+            continue
+        parts = batch.column("parts")
+        offsets, numbers = _listed(parts.flatten())
+        of = np.repeat(np.repeat(np.arange(len(parts)), np.asarray(parts.value_lengths())), np.diff(offsets))
+        size = np.bincount(of, minlength=len(parts))
+        keep = size >= SUPPORT
+        of, numbers = of[keep[of]], numbers[keep[of]]
+        starts = np.cumsum(size[keep]) - size[keep]
+        yield pa.RecordBatch.from_arrays([batch.column("feature").filter(pa.array(keep)), _numbers(starts, numbers[np.lexsort((numbers, of))])], ["feature", "texts"])
+
+
+def _telling(batches: Iterator[pa.RecordBatch], sent, most: int) -> Iterator[pa.RecordBatch]:
+    """The features that gain most: what the residuals of their texts sum up to, in standard deviations."""
+    residual, variance, chosen = sent.value
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        offsets, numbers = _listed(batch.column("texts"))
+        feature = np.asarray(batch.column("feature"))
+        gain = np.abs(np.add.reduceat(residual[numbers], offsets[:-1])) / np.sqrt(np.add.reduceat(variance[numbers], offsets[:-1]) + 1)
+        texts = np.add.reduceat((variance > 0)[numbers].astype(np.int64), offsets[:-1])
+        gain[(texts < SUPPORT) | np.isin(feature, chosen)] = 0
+        best = np.lexsort((feature, -gain))[:most]
+        best = best[gain[best] > 0]
+        yield pa.RecordBatch.from_arrays([pa.array(feature[best]), pa.array(gain[best])], ["feature", "gain"])
 
 
 @dataclass
@@ -100,7 +151,7 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit(row: np.ndarray, feature: np.ndarray, earlier: np.ndarray, y: np.ndarray, n_features: int) -> Linear:
+def fit(row: np.ndarray, feature: np.ndarray, earlier: np.ndarray, y: np.ndarray, n_features: int, rounds: int = ROUNDS) -> Linear:
     """Accelerated gradient descent on the ridge-penalised logistic loss of sparse presence features."""
     n, m = earlier.shape
     ridge = RIDGE_TEXTS / n
@@ -116,44 +167,78 @@ def fit(row: np.ndarray, feature: np.ndarray, earlier: np.ndarray, y: np.ndarray
         v = transposed(times(v / np.linalg.norm(v)))
     step = 1 / (0.25 * max(np.linalg.norm(v), 1) / n + ridge)
     w, ahead = np.zeros(len(v)), np.zeros(len(v))
-    for i in range(ROUNDS):
+    for i in range(rounds):
         slope = transposed(1 / (1 + np.exp(-np.clip(times(ahead), -500, 500))) - y) / n + ridge * ahead
         new = ahead - step * slope
         ahead, w = new + i / (i + 3) * (new - w), new
     return Linear(w[:n_features], w[n_features : n_features + m], float(w[-1]))
 
 
-def fit_chain(row: np.ndarray, feature: np.ndarray, labels: np.ndarray, n_features: int) -> list[Linear]:
-    """One model a category; column i of ``labels`` is its 0, 1 or NaN (unknown: not learned from)."""
-    n = len(labels)
-    fold = np.arange(n) % FOLDS  # rows come in hash order
-    earlier, models = np.zeros((n, 0)), []
+def _known(known: np.ndarray, row: np.ndarray, feature: np.ndarray, earlier: np.ndarray, y: np.ndarray) -> tuple:
+    """What ``fit`` gets of the known texts."""
+    place, mine = np.cumsum(known) - 1, known[row]
+    return place[row[mine]], feature[mine], earlier[known], y[known]
 
-    def part(keep, y):
-        place = np.cumsum(keep) - 1
-        mine = keep[row]
-        return place[row[mine]], feature[mine], earlier[keep], y[keep], n_features
 
-    for i in range(labels.shape[1]):
-        y = labels[:, i]
-        known = np.isfinite(y)
-        models.append(fit(*part(known, y)))
-        out = np.zeros(n)
+def out_of_fold(row: np.ndarray, feature: np.ndarray, earlier: np.ndarray, y: np.ndarray, n_features: int, rounds: int = ROUNDS) -> np.ndarray:
+    """The probability of each text by a model that hasn't learned from it; ``y`` has NaN where it is unknown."""
+    fold = np.arange(len(y)) % FOLDS  # rows come in hash order
+    known, out = np.isfinite(y), np.zeros(len(y))
+    for f in range(FOLDS):
+        others = known & (fold != f)
+        model = fit(*_known(others if others.any() else known, row, feature, earlier, y), n_features, rounds)
+        out[fold == f] = model.probability(row, feature, earlier)[fold == f]
+    return out
+
+
+def fit_chain(row: np.ndarray, feature: np.ndarray, labels: np.ndarray, n_features: int, own: np.ndarray | None = None) -> list[Linear]:
+    """One model a category; column i of ``labels`` is its 0, 1 or NaN (unknown: not learned from).
+
+    Row i of ``own`` says which features the model of category i may use (all, if it isn't given).
+    """
+    earlier, models = np.zeros((len(labels), 0)), []
+    for i, y in enumerate(labels.T):
+        mine = slice(None) if own is None else own[i][feature]
+        models.append(fit(*_known(np.isfinite(y), row[mine], feature[mine], earlier, y), n_features))
         if i + 1 < labels.shape[1]:
-            for f in range(FOLDS):
-                model = fit(*part(known & (fold != f), y)) if (known & (fold != f)).any() else models[-1]
-                out[fold == f] = model.probability(row, feature, earlier)[fold == f]
-            earlier = np.column_stack([earlier, out])
+            earlier = np.column_stack([earlier, out_of_fold(row[mine], feature[mine], earlier, y, n_features)])
     return models
 
 
+def choose(spark: SparkSession, index: DataFrame, labels: np.ndarray, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, number of the feature, features in order, whose they are): at most ``features`` a category, step by step."""
+    found, earlier = [], np.zeros((len(labels), 0))
+    for i, y in enumerate(labels.T):
+        chosen, row, feature = np.zeros((3, 0), np.int64)
+        known = np.isfinite(y)
+        for step in range(STEPS if 0 < y[known].sum() < known.sum() else 0):
+            most = features * (step + 1) // STEPS - features * step // STEPS
+            chance = out_of_fold(row, feature, earlier, y, len(chosen), DRAFT_ROUNDS) if step or i else np.full(len(y), y[known].mean())
+            sent = spark.sparkContext.broadcast((np.where(known, y - chance, 0.0), np.where(known, np.maximum(chance * (1 - chance), 1e-9), 0.0), chosen))
+            best = index.mapInArrow(partial(_telling, sent=sent, most=most), "feature long, gain double").orderBy(F.desc("gain"), "feature").limit(most).toArrow()
+            if not best.num_rows:
+                break
+            got = index.where(F.col("feature").isin(best["feature"].to_pylist())).toArrow().sort_by("feature").combine_chunks()
+            offsets, numbers = _listed(got["texts"].combine_chunks())
+            row = np.concatenate([row, numbers.astype(np.int64)])
+            feature = np.concatenate([feature, np.repeat(np.arange(len(chosen), len(chosen) + len(got)), np.diff(offsets))])
+            chosen = np.concatenate([chosen, np.asarray(got["feature"])])
+        if i + 1 < labels.shape[1]:
+            earlier = np.column_stack([earlier, out_of_fold(row, feature, earlier, y, len(chosen), DRAFT_ROUNDS)])
+        found.append((row, feature, chosen.view(np.uint64)))
+    keys = np.unique(np.concatenate([x[2] for x in found]))
+    own = np.array([np.isin(keys, x[2]) for x in found])
+    pairs = np.unique(np.concatenate([x[0] * len(keys) + np.searchsorted(keys, x[2])[x[1]] for x in found]))
+    return pairs // max(len(keys), 1), pairs % max(len(keys), 1), keys, own
+
+
 def _scored(batches: Iterator[pa.RecordBatch], sent, names: list[str], threshold: float) -> Iterator[pa.RecordBatch]:
     known, models = sent.value
     for batch in batches:
         data, offsets = W.utf8(batch.column("text"))
         for lo, hi in W.ranges(offsets):
             part = offsets[lo : hi + 1]
-            row, feature = _distinct_grams(data[part[0] : part[-1]], part - part[0], known)
+            row, feature = _features(data[part[0] : part[-1]], part - part[0], known)
             feature, earlier = feature.astype(np.int64), np.zeros((hi - lo, 0))
             for model in models:
                 earlier = np.column_stack([earlier, model.probability(row, feature, earlier)])
@@ -169,34 +254,23 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, categories=CA
     yes = [F.max((F.col(column).cast("double") == value).cast("int")).alias(name) for name, column, value in categories]
     named = labels.select(F.col("doc_id").cast("long").alias("doc_id"), *{c[1] for c in categories}).where("doc_id is not null").groupBy("doc_id").agg(*yes)
     chosen = named.where(F.coalesce(*names).isNotNull()).join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.where(F.octet_length("text") > 0).join(F.broadcast(chosen), "doc_id").dropDuplicates(["text", *names])
-    texts = written(spark, texts.orderBy(F.xxhash64("text"), *names).select("text", *names), "labelled")
-    counts = ", ".join(f"known_{n} long, yes_{n} long" for n in names)
-    counted = texts.mapInArrow(partial(_gram_counts, names=names), f"gram long, {counts}").groupBy("gram").agg(*(F.sum(f"{x}_{n}").alias(f"{x}_{n}") for n in names for x in ("known", "yes")))
-    counted = written(spark, counted.where(reduce(lambda a, b: a | b, [F.col(f"known_{n}") >= 3 for n in names])), "grams")
-    totals = texts.agg(*(f(n).alias(f"{x}_{n}") for n in names for x, f in (("known", F.count), ("yes", F.sum)))).first()
-    keys = set()
-    for name in names:
-        n, k = totals[f"known_{name}"] or 0, totals[f"yes_{name}"] or 0
-        if not 0 < k < n:
-            continue
-        have, pos = F.col(f"known_{name}"), F.col(f"yes_{name}")
-        rate = have / n
-        support = max(5, SUPPORT * min(k, n - k))
-        z = F.abs(pos / k - (have - pos) / (n - k)) / F.sqrt(rate * (1 - rate) + 1 / n)
-        keys.update(r[0] for r in counted.where(have >= support).orderBy(F.desc(z), "gram").limit(features).select("gram").collect())
-    if not keys:
+    chosen = written(spark, chosen, "labelled-ids")
+    # equal texts of equal labels are one; their order by hash numbers them
+    shown = F.concat_ws("\0", *(F.coalesce(F.col(n).cast("string"), F.lit("-")) for n in names), "text")
+    rows = docs.where(F.octet_length("text") > 0).join(F.broadcast(chosen), "doc_id").withColumn("key", F.md5(shown.cast("binary")))
+    distinct = rows.groupBy("key").agg(F.min("doc_id").alias("doc_id"), *(F.first(n).alias(n) for n in names))
+    got = distinct.orderBy("key").toArrow()
+    if not got.num_rows:
         return None
-    known = _lookup(np.sort(np.array(sorted(keys), np.int64).view(np.uint64)))
-    sent = spark.sparkContext.broadcast(known)
-    fields = "features array<int>, " + ", ".join(f"{n} int" for n in names)
-    got = texts.coalesce(1).mapInArrow(partial(_features, sent=sent, names=names), fields).toArrow().combine_chunks()
-    lists = got["features"]
-    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    feature = np.asarray(lists.flatten()).astype(np.int64)
-    row = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
     y = np.column_stack([np.asarray(got[n].cast(pa.float64()).fill_null(np.nan)) for n in names])
-    return known, fit_chain(row, feature, y, len(known[0]))
+    numbers = spark.createDataFrame(got.select(["key", "doc_id"]).append_column("number", pa.array(np.arange(len(got), dtype=np.int32))))
+    texts = written(spark, rows.join(F.broadcast(numbers), ["key", "doc_id"]).dropDuplicates(["number"]).select("number", "text"), "labelled")
+    index = texts.mapInArrow(_texts_of, "feature long, texts binary").groupBy("feature").agg(F.collect_list("texts").alias("parts"))
+    index = written(spark, index.mapInArrow(_together, "feature long, texts binary"), "grams")
+    row, feature, keys, own = choose(spark, index, y, features)
+    if not len(keys):
+        return None
+    return _lookup(keys), fit_chain(row, feature, y, len(keys), own)
 
 
 def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, categories=CATEGORIES,

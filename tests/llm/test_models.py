@@ -163,6 +163,43 @@ def test_toxicity_on_held_out_labels(spark):
     assert all(0 <= r.p_toxic <= 1 and 0 <= r.p_low_quality <= 1 for r in got)
 
 
+def test_toxicity_features_leave_room_for_every_group(spark):
+    """The signs of a large group would fill any budget; those of two small groups count too, one of them a word that is merely frequent."""
+    rng = np.random.default_rng(8)
+
+    def text(alphabet, n=60):
+        return ["".join(rng.choice(list(alphabet), 5)) for _ in range(n)]
+
+    signs, rows = ["".join(rng.choice(list("abcdef"), 8)) for _ in range(150)], []
+    for i in range(400):
+        toxic = i % 4 == 0
+        rows.append(("large", toxic, " ".join(text("abcdef") + signs * toxic)))
+    for i in range(120):
+        toxic = i % 4 == 0
+        rows.append(("word", toxic, " ".join(text("ghijkl") + ["hgkjilhhgg", "klklggjjih"] * toxic)))
+        rows.append(("rate", toxic, " ".join(rng.permutation(text("mnopqr") + ["onrqmp"] * (8 if toxic else 1)))))
+    docs = frame(spark, [(i, t) for i, (_, _, t) in enumerate(rows)])
+    labels = frame(spark, [(i, 1, int(toxic)) for i, (_, toxic, _) in enumerate(rows) if i % 5], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.toxic for r in toxicity.classify(spark, docs, labels).collect()}
+    for group in ("large", "word", "rate"):
+        new = [(got[i], toxic) for i, (g, toxic, _) in enumerate(rows) if g == group and not i % 5]
+        assert sum(y for _, y in new) >= 3 and sum(a == b for a, b in new) >= 0.95 * len(new), group
+
+
+def test_known_features_are_those_of_the_whole_text():
+    import pyarrow as pa
+
+    from tessera.llm import words as W
+
+    rng = np.random.default_rng(9)
+    data, offsets = W.utf8(pa.array(["".join(rng.choice(list("ab c"), n)) for n in (0, 3, 400, 5000, 1)] + [None, "ab" * 300]))
+    row, feature = toxicity._features(data, offsets, None)
+    some = np.unique(feature)[::3]
+    got = set(zip(*(x.tolist() for x in toxicity._features(data, offsets, toxicity._lookup(some))), strict=True))
+    assert got == {(r, int(np.searchsorted(some, f))) for r, f in zip(row.tolist(), feature, strict=True) if f in some}
+    assert (feature >> np.uint64(40)).max() == len(toxicity.RATES)
+
+
 def test_chain_uses_out_of_fold_predictions():
     """The second category is decided by the first: its model learns that from probabilities that aren't fitted to the row itself."""
     rng = np.random.default_rng(6)
