@@ -113,7 +113,7 @@ def _compared(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterat
 
 
 def _named(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """Texts with the class their words make; rows that only share the class's doc_id go."""
+    """Texts with the class their words make; rows that only share the key of its representative go."""
     for batch in batches:
         ids = [set_id(x) if len(x) else (None, None) for block in W.blocks(batch.column(1), W.LOWER_WORDS) for x in W.shingle_sets(block, k)]
         same = np.array([a == b for (a, _), b in zip(ids, batch.column(0).to_pylist(), strict=True)], bool)
@@ -147,7 +147,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     own = rows_of.keyed(docs, id_col, text_col)
     signed = written(spark, own.mapInArrow(partial(_signed, k=k, bands=bands, rows=rows), _SIGNED), "signed")
     classes = written(spark, signed.where("node is not null").groupBy("node", "node2", "n_shingles").agg(
-        F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "classes")
+        F.min("doc_id").alias("doc_id"), F.min(F.struct(*rows_of.KEY)).alias("rep"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "classes")
 
     # buckets of two classes or more, each with its hub: the class that meets most others in all its buckets
     spread = classes.select("node", F.explode("bands").alias("bucket"))
@@ -162,9 +162,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
                         sketches, percent)
     stars = written(spark, stars, "stars")
 
-    # the texts of all classes that share a bucket, once
-    members = classes.join(spread.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("rep"))
-    texts = own.select("doc_id", "text").join(members, F.col("doc_id") == F.col("rep")).select("node", "text")
+    # the texts of all classes that share a bucket, once: that of the row with the smallest key, for an id can be null
+    members = classes.join(spread.select("node").distinct(), "node", "left_semi").select("node", "rep.*")
+    texts = own.select("text", *rows_of.KEY).join(members, rows_of.KEY).select("node", "text")
     texts = written(spark, texts.mapInArrow(partial(_named, k=k), "node long, text string").dropDuplicates(["node"]), "texts")
     linked = written(spark, _links(stars, texts, k, percent), "linked")
 

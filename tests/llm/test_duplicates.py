@@ -33,6 +33,18 @@ def test_every_link_of_a_spread_group_counts(spark):
     assert ordered((r.doc_id, r.n_shingles, r.component_id) for r in got) == ordered(brute.near_duplicates(rows))
 
 
+def test_a_null_id_links_different_texts(spark):
+    """Rows without an id connect documents that are not similar to each other, and near copies among themselves."""
+    base = [f"b{i}" for i in range(100)]
+    rows = [(1, " ".join([f"x{i}" for i in range(8)] + base[8:])), (2, " ".join(base[:-8] + [f"y{i}" for i in range(8)])), (None, " ".join(base)), (None, " ".join(base))]
+    alone = [f"c{i}" for i in range(100)]
+    rows += [(None, " ".join(alone)), (None, " ".join([*alone[:-3], "z"])), (3, " ".join(["u", "v", *alone[6:]])), (4, "quite another text of a few words")]
+    got = near_dedup.near_duplicates(spark, frame(spark, rows)).collect()
+    assert ordered((r.doc_id, r.n_shingles, r.component_id) for r in got) == ordered(brute.near_duplicates(rows))
+    assert {r.doc_id: r.component_id for r in got if r.doc_id} == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert all(r.component_id in (1, 3) and not r.kept for r in got if r.doc_id is None)
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 3000).astype(np.uint64)
