@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import ann, bpe, decontaminate, language_id, near_dedup, sharding, substring_dedup, token_files, toxicity, warc
+from tessera.llm import ann, bpe, decontaminate, language_id, merkle, near_dedup, sharding, substring_dedup, token_files, toxicity, warc
 from tessera.llm.oracle import ORACLE
 from tessera.llm.stage import table
 
@@ -63,6 +63,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and its verdict of every document (postorder append log)."""
+    return merkle.manifest(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_token_files": op2_token_files,
@@ -74,6 +79,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
     "op10_decontaminate": op10_decontaminate,
+    "op11_merkle": op11_merkle,
 }
 
 __all__ = ["ORACLE", "QUERIES"]

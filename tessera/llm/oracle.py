@@ -61,4 +61,40 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIG
 FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLE = {"op1_near_dedup": NEAR_DEDUP, "op5_warc": WARC, "op6_substring_dedup": SUBSTRING_DEDUP, "op10_decontaminate": DECONTAMINATION}
+#: Unsigned crc32 of the UTF-8 bytes of ``{text}``: a table of 256 values, then a step per byte.
+_CRC_TABLE = """(SELECT list(list_reduce(list_concat([n], generate_series(1, 8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY n)
+  FROM (SELECT unnest(generate_series(0, 255)) AS n))"""
+
+
+def _crc(text: str, table: str) -> str:
+    code = f"strpos('0123456789ABCDEF', substr(hex(encode({text})), {{at}}, 1)) - 1"
+    bytes_ = f"list_transform(generate_series(1, octet_length(encode({text}))), lambda b: 16 * ({code.format(at='2 * b - 1')}) + {code.format(at='2 * b')})"
+    return f"xor(list_reduce(list_concat([4294967295], {bytes_}), lambda c, b: xor(c >> 8, {table}[1 + (xor(c, b) & 255)])), 4294967295)"
+
+
+_FIELDS = " || ".join(f"coalesce(octet_length(encode(CAST({{{n}}} AS VARCHAR))) || ':' || CAST({{{n}}} AS VARCHAR), '-')" for n in ("doc_id", "source", "lang", "n_chars", "text"))
+_NAMES = {n: n for n in ("doc_id", "source", "lang", "n_chars", "text")}
+
+#: Trees level by level; each leaf's siblings by its number at every level.
+MERKLE = f"""
+WITH RECURSIVE crc AS (SELECT {_CRC_TABLE} AS t),
+leaves AS (SELECT doc_id, coalesce('s' || source, '') AS tree, sha256({_FIELDS.format(**_NAMES)}) AS leaf,
+             CASE WHEN {_crc("CAST(doc_id AS VARCHAR)", "crc.t")} % 5 = 0 THEN sha256({_FIELDS.format(**_NAMES | {"text": _LOWER})}) END AS changed,
+             row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY source) AS size FROM documents, crc),
+nodes AS (SELECT tree, 0 AS level, i, leaf AS h, size FROM leaves
+          UNION ALL SELECT tree, level + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (any_value(size) + 15) // 16 FROM nodes WHERE size > 1 GROUP BY tree, level, i // 16),
+subroots AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS size FROM nodes WHERE size = 1),
+top AS (SELECT 0 AS level, i, h, size FROM subroots UNION ALL SELECT level + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (any_value(size) + 15) // 16 FROM top WHERE size > 1 GROUP BY level, i // 16),
+runs AS (SELECT 0 AS part, tree, level, i, h, size FROM nodes UNION ALL SELECT 1, '', level, i, h, size FROM top),
+steps AS (SELECT part, tree, level, i, coalesce(string_agg(h, '') OVER (PARTITION BY part, tree, level, i // 16 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') || '|'
+                 || coalesce(string_agg(h, '') OVER (PARTITION BY part, tree, level, i // 16 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS step FROM runs WHERE size > 1),
+own AS (SELECT l.doc_id, l.tree, l.i, s.part, s.level, s.step FROM leaves l JOIN steps s ON s.part = 0 AND s.tree = l.tree AND s.i = l.i // CAST(pow(16, s.level) AS BIGINT)
+        UNION ALL SELECT l.doc_id, l.tree, l.i, s.part, s.level, s.step FROM leaves l JOIN subroots r USING (tree) JOIN steps s ON s.part = 1 AND s.i = r.i // CAST(pow(16, s.level) AS BIGINT)),
+paths AS (SELECT tree, i, list(step ORDER BY part, level) AS steps FROM own GROUP BY tree, i),
+proved AS (SELECT l.*, r.h AS subroot, (SELECT h FROM top WHERE size = 1) AS root, coalesce(p.steps, []) AS steps,
+             list_reduce(list_concat([coalesce(changed, leaf)], coalesce(p.steps, [])), lambda a, s: sha256(split_part(s, '|', 1) || a || split_part(s, '|', 2))) AS folded_root
+           FROM leaves l JOIN subroots r USING (tree) LEFT JOIN paths p ON p.tree = l.tree AND p.i = l.i)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '|', '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM proved
+"""
+
+ORACLE = {"op11_merkle": MERKLE, "op1_near_dedup": NEAR_DEDUP, "op5_warc": WARC, "op6_substring_dedup": SUBSTRING_DEDUP, "op10_decontaminate": DECONTAMINATION}
