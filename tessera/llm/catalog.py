@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import ann, bpe, decontaminate, language_id, merkle, near_dedup, sharding, substring_dedup, token_files, toxicity, warc
+from tessera.llm import ann, bpe, decontaminate, language_id, merkle, near_dedup, resampling, sharding, substring_dedup, token_counts, token_files, toxicity, warc
 from tessera.llm.oracle import ORACLE
 from tessera.llm.stage import table
 
@@ -68,6 +68,16 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(spark, table(spark, sf_dir, "documents"))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document (whole-token shortcut)."""
+    return token_counts.count_tokens(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document in a draw towards the benchmark's distribution."""
+    return resampling.resample(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_token_files": op2_token_files,
@@ -80,6 +90,8 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_decontaminate": op10_decontaminate,
     "op11_merkle": op11_merkle,
+    "op12_token_counts": op12_token_counts,
+    "op13_resampling": op13_resampling,
 }
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -97,4 +97,22 @@ proved AS (SELECT l.*, r.h AS subroot, (SELECT h FROM top WHERE size = 1) AS roo
 SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '|', '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM proved
 """
 
-ORACLE = {"op11_merkle": MERKLE, "op1_near_dedup": NEAR_DEDUP, "op5_warc": WARC, "op6_substring_dedup": SUBSTRING_DEDUP, "op10_decontaminate": DECONTAMINATION}
+#: Buckets of all words and pairs of neighbours, totals, gains, and the draw.
+RESAMPLING = f"""
+WITH crc AS (SELECT {_CRC_TABLE} AS t),
+d AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents), b AS (SELECT {_PLAIN_WORDS} AS w FROM benchmark),
+df AS (SELECT doc_id, unnest(list_concat(w, list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM d),
+bf AS (SELECT unnest(list_concat(w, list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM b),
+bucket AS (SELECT f, {_crc("f", "crc.t")} % 10000 AS k FROM (SELECT DISTINCT f FROM (SELECT f FROM df UNION ALL SELECT f FROM bf)), crc),
+s AS (SELECT k, count(*) AS n FROM df JOIN bucket USING (f) GROUP BY k), t AS (SELECT k, count(*) AS n FROM bf JOIN bucket USING (f) GROUP BY k),
+gain AS (SELECT k, CAST(floor(1000 * ln((CAST(coalesce(t.n, 0) AS DOUBLE) + 1) * ((SELECT CAST(coalesce(sum(n), 0) AS DOUBLE) FROM s) + 10000)
+           / ((CAST(s.n AS DOUBLE) + 1) * ((SELECT CAST(coalesce(sum(n), 0) AS DOUBLE) FROM t) + 10000)))) AS BIGINT) AS g FROM s LEFT JOIN t USING (k)),
+weights AS (SELECT doc_id, count(*) AS n, CAST(floor(CAST(sum(g) AS DOUBLE) / count(*)) AS BIGINT) AS w FROM df JOIN bucket USING (f) JOIN gain USING (k) GROUP BY doc_id),
+scored AS (SELECT doc_id, len(d.w) AS words, CAST(coalesce(n, 0) AS BIGINT) AS n_features, coalesce(weights.w, 0) AS weight,
+             CAST(coalesce(weights.w, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) + 0.5) / 4294967296))) AS BIGINT) AS score
+           FROM d LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 25 * n // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+ORACLE = {"op13_resampling": RESAMPLING, "op11_merkle": MERKLE, "op1_near_dedup": NEAR_DEDUP, "op5_warc": WARC, "op6_substring_dedup": SUBSTRING_DEDUP, "op10_decontaminate": DECONTAMINATION}
