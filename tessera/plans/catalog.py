@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 from tessera.functions import sqlfn
 from tessera.functions.text import percent_text
 from tessera.functions.time import millis
-from tessera.operators import bursts, clean, retention, tables, users
+from tessera.operators import bursts, clean, lateness, panes, polls, retention, tables, users
+from tessera.operators.retention_delta import RetentionTable
 from tessera.operators.roles import EVENTS_ROLES, GAMELOG_ROLES
+from tessera.operators.sanction_history import sanction_history
+from tessera.operators.user_sets import UserSets
 from tessera.plans import inputs, jobs, streams
 from tessera.schemas import BLACKLIST_DDL, HEALING_ITEM, ITEM_USE_EVENT
 from tessera.session import scratch_path
@@ -35,6 +38,7 @@ FIRST_OPEN = "2024-01-08"  # the first date whose seventh day is not over at SPL
 REPORT_DATES = [f"2024-01-{d:02d}" for d in range(8, 18)]
 SPLIT = "2024-01-15"  # blacklist / flagged-map checks: windows ending before this are "existing"
 AS_OF = "2024-01-31"
+POLL_START, POLL_RUNS = "2024-01-08 00:00:01", ["2024-01-12 03:00:00", "2024-01-12 03:00:01", "2024-01-20 00:00:00"]
 BURST = dict(window="1 day", slide="12 hours", min_count=2, max_avg_ms=6 * 3600 * 1000.0)
 R = EVENTS_ROLES
 DAYS = 7
@@ -227,6 +231,27 @@ def q_retention_matrix(spark, sf):
     return retention.retention_matrix(_ev(spark, sf), R, DAYS)
 
 
+def q_retention_bitmaps(spark, sf):
+    """Every date's report from kept user bitmaps: two loads stored once, no scan of events after that."""
+    ev, before = _ev(spark, sf), F.col("ts") < F.lit(SPLIT).cast("timestamp_ntz")
+
+    def write(path):
+        sets = UserSets(spark, path, R)
+        for load, part in enumerate((before, ~before)):
+            sets.add(ev.where(part), load)
+
+    return UserSets(spark, inputs._once(spark, sf, "user-sets", write), R).matrix(DAYS)
+
+
+def q_retention_by_loads(spark, sf):
+    """The retention table after loads that bring days out of order, the last one late rows of all days."""
+    ev, table = _ev(spark, sf), RetentionTable(spark, scratch_path(spark, "retention"), R, DAYS)
+    late, third = F.col("event_id") % 10 == 0, F.dayofyear("ts") % 3
+    for load, part in enumerate([(third == 2) & ~late, (third == 0) & ~late, (third == 1) & ~late, late]):
+        table.arrive(ev.where(part), load)
+    return table.read()
+
+
 def q_percent_text(spark, sf):
     m = retention.retention_matrix(_ev(spark, sf), R, DAYS)
     stack = ", ".join(f"{n}, d{n}_retained" for n in range(1, DAYS + 1))
@@ -296,6 +321,32 @@ def q_stream_ingest(spark, sf):
     return out.drop("line")  # ingest_ts is the message's timestamp
 
 
+def _arrivals(spark, sf) -> DataFrame:
+    """Events in the order in which their lines arrive: up to 44 minutes after the event."""
+    return lines_from_events(_ev(spark, sf)).select("event_id", F.col("timestamp").alias("arrival"), "ts")
+
+
+def q_late_records(spark, sf):
+    """Each record with the watermark that it met and whether it was late by it."""
+    return lateness.split_late(_arrivals(spark, sf), "ts", "arrival", "event_id")
+
+
+def q_late_records_stream(spark, sf):
+    """The same from a stream: the watermark goes on over micro-batches, however the records are cut into them."""
+    return streams.run_lateness(spark, _arrivals(spark, sf), "ts", "arrival", "event_id")
+
+
+def q_burst_on_time(spark, sf):
+    """The burst rule with a record-wise watermark: a record joins the windows that were open when it arrived."""
+    clicks = _clicks(spark, sf).withColumn("arrival", F.col("ts") + F.make_dt_interval(hours=(F.col("event_id") % 45).cast("int")))
+    return lateness.detect_bursts_on_time(clicks, "user_id", "ts", "arrival", "event_id", **BURST)
+
+
+def q_burst_panes(spark, sf):
+    """Windows of a day every hour, from panes of an hour: no event is copied."""
+    return panes.detect_bursts_by_panes(_clicks(spark, sf), "user_id", "ts", **{**BURST, "slide": "1 hour"})
+
+
 def q_blacklist_stream(spark, sf):
     """PIP-2 + PIP-3 as one stream: closed flagged windows -> delta logs of the flagged map and blacklist."""
     _, blacklist = _flagged_stream(spark, sf)
@@ -382,6 +433,20 @@ def q_sanctions(spark, sf):
     return tables.sanctions(bl, last_seen, AS_OF, "userName")
 
 
+def q_sanction_history(spark, sf):
+    """Every change of a player's state: warned, closed, cleared after a clean week."""
+    return sanction_history(_stored_windows(spark, sf), "userName", "window_end", AS_OF)
+
+
+def q_blacklist_polled(spark, sf):
+    """The blacklist after a poll every two seconds from POLL_START to POLL_END, moved on in three runs."""
+    flagged, table = _stored_windows(spark, sf), VersionedTable(spark, scratch_path(spark, "polled"), jobs.POLLED_DDL)
+    for run, until in enumerate(POLL_RUNS):
+        jobs.poll_blacklist(flagged, table, run, POLL_START, until, POLL_RUNS[run - 1] if run else None)
+    jobs.poll_blacklist(flagged, table, 2, POLL_START, POLL_RUNS[2], POLL_RUNS[1])  # a run that comes again adds nothing
+    return table.read()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

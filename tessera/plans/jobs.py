@@ -6,13 +6,14 @@ so running a job twice leaves the same table.
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import clean, retention, tables
+from tessera.operators import clean, polls, retention, tables
 from tessera.operators.roles import GAMELOG_ROLES, Roles
 from tessera.schemas import DAILY_RESULT_DDL, RETENTION_DAYS
 from tessera.sources.logs import flagged_snapshot, scan_gamelog, write_event_log
@@ -98,3 +99,20 @@ def sync_blacklist(spark: SparkSession, flagged: str | DataFrame, blacklist: Ver
     if since is not None:
         snap = snap.where(F.col("window_end") > F.lit(since).cast("timestamp_ntz"))
     blacklist.merge(snap, sync_id, lambda old, new: tables.blacklist_merge(old, new, "userName"))
+
+
+POLLED_DDL = "userName STRING, avgTime DOUBLE, cnt BIGINT"
+
+
+def _us(text: str) -> int:
+    return (dt.datetime.fromisoformat(text) - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+
+
+def poll_blacklist(flagged: DataFrame, blacklist: VersionedTable, run: int, start: str, until: str, after: str | None = None) -> None:
+    """STR-12, PIP-3 with the reference's period: what a poll every two seconds adds between ``after`` and ``until``.
+
+    The ticks begin at ``start``. Their number is counted, not run through, so a sync once an hour leaves the table that
+    1800 polls would. Version ``run`` is based on the one before: the same run again writes the same table.
+    """
+    ticks = polls.polled(flagged, "userName", _us(start), _us(until), None if after is None else _us(after))
+    blacklist.merge(ticks, run, lambda old, new: polls.advanced(old, new, "userName"))

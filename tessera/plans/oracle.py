@@ -222,6 +222,58 @@ FROM ({_EXISTING}) o FULL OUTER JOIN ({_BATCH}) b ON o.userName = b.userName
 
 _DICT = ", ".join(f"({c}, '{lbl}')" for c, lbl in EVENT_TYPES)
 
+# ---------------------------------------------------------------- records in order of arrival
+
+_ARRIVALS = "SELECT event_id, ts + to_minutes(event_id % 45) AS arrival, ts FROM events"
+LATE = f"""
+SELECT *, coalesce(ts < watermark, FALSE) AS late FROM (
+  SELECT *, max(ts) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS watermark FROM ({_ARRIVALS}))
+"""
+_CLICK_ARRIVALS = """
+SELECT *, max(ts) OVER (ORDER BY ts + to_hours(event_id % 45), event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS watermark
+FROM events WHERE event_type = 'click'"""
+ON_TIME = f"""
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, user_id, cnt, CAST(avg4 AS DOUBLE) AS avgTime FROM (
+  SELECT window_start, user_id, count(*) AS cnt, CAST((max(epoch_us(ts) // 1000) - min(epoch_us(ts) // 1000)) / count(*) AS DECIMAL(18,4)) AS avg4
+  FROM (SELECT user_id, ts, watermark, time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '1970-01-01') - k.k * INTERVAL 12 HOUR AS window_start
+        FROM ({_CLICK_ARRIVALS}) CROSS JOIN (VALUES (0), (1)) k(k) WHERE ts IS NOT NULL)
+  WHERE watermark IS NULL OR window_start + INTERVAL 1 DAY > watermark GROUP BY ALL)
+WHERE cnt >= 2 AND avg4 < {MAX_AVG_MS}
+"""
+#: Every click in each of its 24 windows.
+HOURLY = f"""
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, user_id, cnt, CAST(avg4 AS DOUBLE) AS avgTime FROM (
+  SELECT date_trunc('hour', ts) - to_hours(k.k) AS window_start, user_id, count(*) AS cnt,
+         CAST((max(epoch_us(ts) // 1000) - min(epoch_us(ts) // 1000)) / count(*) AS DECIMAL(18,4)) AS avg4
+  FROM ({CLICKS}) CROSS JOIN (SELECT CAST(unnest(generate_series(0, 23)) AS INTEGER) AS k) k WHERE ts IS NOT NULL GROUP BY ALL)
+WHERE cnt >= 2 AND avg4 < {MAX_AVG_MS}
+"""
+
+# ---------------------------------------------------------------- players over time
+
+#: One offence after the other: the count so far, until the account is closed.
+HISTORY = f"""
+WITH RECURSIVE o AS (SELECT userName, window_end AS "at", row_number() OVER (PARTITION BY userName ORDER BY window_end) AS n,
+                       lead(window_end) OVER (PARTITION BY userName ORDER BY window_end) AS later
+                     FROM ({NAMED}) WHERE window_end <= TIMESTAMP '{AS_OF}'),
+r AS (SELECT userName, "at", n, later, CAST(1 AS BIGINT) AS cnt FROM o WHERE n = 1
+      UNION ALL
+      SELECT o.userName, o."at", o.n, o.later, CASE WHEN r."at" + INTERVAL 7 DAY < o."at" THEN 1 ELSE r.cnt + 1 END
+      FROM r JOIN o ON o.userName = r.userName AND o.n = r.n + 1 WHERE r.cnt <= 3)
+SELECT userName, "at", 'warn' AS action, cnt FROM r WHERE cnt = 1
+UNION ALL SELECT userName, "at", 'close', cnt FROM r WHERE cnt > 3
+UNION ALL SELECT userName, "at" + INTERVAL 7 DAY, 'clear', CAST(0 AS BIGINT) FROM r
+  WHERE cnt <= 3 AND "at" + INTERVAL 7 DAY < TIMESTAMP '{AS_OF}' AND (later IS NULL OR later > "at" + INTERVAL 7 DAY)
+"""
+POLL_START, POLL_END = "2024-01-08 00:00:01", "2024-01-20 00:00:00"
+#: Ticks at odd seconds: from the first at or after a player's first window to the last before the end.
+POLLED = f"""
+WITH w AS (SELECT userName, avgTime, window_end, epoch_us(window_end) - epoch_us(TIMESTAMP '{POLL_START}') AS us FROM ({NAMED})),
+last AS (SELECT (epoch_us(TIMESTAMP '{POLL_END}') - epoch_us(TIMESTAMP '{POLL_START}')) // 2000000 AS tick)
+SELECT userName, arg_max(avgTime, window_end) AS avgTime, CAST(max(tick) - greatest(ceil(min(us) / 2000000.0), 0) + 1 AS BIGINT) AS cnt
+FROM w, last WHERE us <= tick * 2000000 GROUP BY userName
+"""
+
 # ---------------------------------------------------------------- the table
 
 ORACLE: dict[str, str] = {
@@ -277,6 +329,14 @@ ORACLE: dict[str, str] = {
         + f" FROM ({COUNTS})",
     "retention_report": _report(COUNTS),
     "retention_matrix": _matrix(),
+    "retention_bitmaps": _matrix(),
+    "retention_by_loads": _matrix(),
+    "late_records": LATE,
+    "late_records_stream": LATE,
+    "burst_on_time": ON_TIME,
+    "burst_panes": HOURLY,
+    "sanction_history": HISTORY,
+    "blacklist_polled": POLLED,
     "percent_text": f"""
         WITH m AS ({_matrix()})
         SELECT date, day_n, {_pct('retained', 'newAddUserCnt')} AS rate FROM (

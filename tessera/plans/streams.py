@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tessera.operators.bursts import detect_bursts
 from tessera.operators.clean import item_use_filter, parse_log_line
+from tessera.operators.lateness import LatenessSink
 from tessera.operators.tables import blacklist_merge, flagged_latest
 from tessera.schemas import BLACKLIST_DDL, FLAGGED_DDL
 from tessera.session import scratch_path
@@ -142,6 +143,15 @@ def run_ingest_lines(spark: SparkSession, lines: DataFrame) -> tuple[DataFrame,
     return read_all_batches(spark, out, parsed.schema), runs
 
 
+def run_lateness(spark: SparkSession, events: DataFrame, ts_col: str, arrival_col: str, tie_col: str, days_per_chunk: int = 5) -> DataFrame:
+    """STR-7: a stream of ``events`` in order of arrival, each record with the watermark it met and whether it was late."""
+    src, out, ckpt = (scratch_path(spark, f"late-{x}") for x in ("src", "out", "ckpt"))
+    sink, stream = LatenessSink(spark, out, ts_col, arrival_col, tie_col), stream_table(spark, src, events.schema)
+    replay_by_time(spark, events, arrival_col, src, lambda: run_available(stream, sink, ckpt), days_per_chunk)
+    empty = events.where("false").withColumn("watermark", F.col(ts_col)).withColumn("late", F.lit(False))
+    return sink.read(empty.schema)
+
+
 def run_ingest_bursts(spark: SparkSession, lines: DataFrame, *, window: str, slide: str, min_count: int,
                       max_avg_ms: float, days_per_chunk: int = 10, closing_line: str | None = None) -> DataFrame:
     """STR-2, M14 ``ingest``: windows over arrival time, the gap on game time; messages come in order of arrival.

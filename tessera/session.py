@@ -13,9 +13,12 @@ master is local do we pick a temporary folder ourselves.
 
 from __future__ import annotations
 
+import os
 import re
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -110,3 +113,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     return path
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, as ``--py-files`` would, for operators whose tasks run
+    Python; nothing is sent where the code came from an archive itself."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parent
+    if context.applicationId not in _shipped and package.is_dir():
+        folder = os.path.realpath(tempfile.mkdtemp(prefix="tessera-code-"))
+        context.addPyFile(shutil.make_archive(f"{folder}/{package.name}-code", "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
