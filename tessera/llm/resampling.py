@@ -31,7 +31,8 @@ from tessera.llm.sharding import numbered
 from tessera.llm.stage import prepare, written
 
 BUCKETS, PERCENT, LEAST_WORDS, SEED = 10_000, 25, 20, 7
-#: Bounds of what is broadcast: words and pairs of the head, and their bytes. What is left out takes the direct way.
+#: Bounds of what is broadcast: words and pairs of the head (all that come often enough for so many), and their bytes.
+#: What is left out takes the direct way.
 HEAD_WORDS, HEAD_PAIRS, HEAD_BYTES = 8192, 32_768, 48
 #: Words and pairs that a block of texts names for the head.
 NAMED_WORDS, NAMED_PAIRS = 2048, 4096
@@ -149,8 +150,18 @@ def head(spark: SparkSession, texts: DataFrame, buckets: int = BUCKETS) -> Head:
     counts = texts.mapInArrow(_named, "pair boolean, feature binary, n long").groupBy("pair", "feature").agg(F.sum("n").alias("n"))
     counts = written(spark, counts, "resampling-named")
 
+    # how many features have a count of about 2**(step / 8): some hundreds of rows say from which count on they fit
+    step = F.floor(F.log2("n") * 8).cast("int")
+    steps = sorted(((r.pair, r.step, r.features) for r in counts.groupBy("pair", step.alias("step")).agg(F.count("*").alias("features")).collect()), reverse=True)
+
     def most(pair: bool, k: int) -> list[bytes]:
-        return [bytes(r.feature) for r in counts.where(F.col("pair") == pair).orderBy(F.desc("n"), "feature").limit(k).select("feature").collect()]
+        least, room = 1 << 20, k
+        for _, s, features in (x for x in steps if x[0] == pair):
+            room -= features
+            if room < 0:
+                break
+            least = s
+        return sorted(bytes(r.feature) for r in counts.where((F.col("pair") == pair) & (step >= least)).select("feature").collect())
 
     return Head(most(False, HEAD_WORDS), most(True, HEAD_PAIRS), buckets)
 
