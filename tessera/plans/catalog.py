@@ -321,6 +321,19 @@ def q_stream_ingest(spark, sf):
     return out.drop("line")  # ingest_ts is the message's timestamp
 
 
+def q_stream_latest(spark, sf):
+    """Lines from a topic's latest position on: none that were there before, each later one once over restarts."""
+    lines = lines_from_events(_ev(spark, sf)).select("event_id", "value", "timestamp")
+    later = F.col("timestamp") >= F.lit(SPLIT).cast("timestamp_ntz")
+    even = F.col("event_id") % 2 == 0
+    return streams.run_from_latest(spark, lines.where(~later), [lines.where(later & even), lines.where(later & ~even)], scratch_path(spark, "topic"))
+
+
+def q_burst_messages(spark, sf):
+    """Flagged windows written to a topic by the stream's tasks, and read back."""
+    return streams.run_bursts_to_topic(spark, _clicks(spark, sf), "user_id", "ts", scratch_path(spark, "topic"), watermark="0 seconds", **BURST)
+
+
 def _arrivals(spark, sf) -> DataFrame:
     """Events in the order in which their lines arrive: up to 44 minutes after the event."""
     return lines_from_events(_ev(spark, sf)).select("event_id", F.col("timestamp").alias("arrival"), "ts")

@@ -331,6 +331,8 @@ ORACLE: dict[str, str] = {
     "retention_matrix": _matrix(),
     "retention_bitmaps": _matrix(),
     "retention_by_loads": _matrix(),
+    "stream_latest": f"SELECT line AS value, arrival AS ingest_ts FROM ({LINES}) WHERE arrival >= TIMESTAMP '{SPLIT}'",
+    "burst_messages": BURSTS,
     "late_records": LATE,
     "late_records_stream": LATE,
     "burst_on_time": ON_TIME,

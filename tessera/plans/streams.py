@@ -23,6 +23,7 @@ from tessera.operators.tables import blacklist_merge, flagged_latest
 from tessera.schemas import BLACKLIST_DDL, FLAGGED_DDL
 from tessera.session import scratch_path
 from tessera.sources.logs import lines_to_fields
+from tessera.streaming.messages import append, register
 from tessera.streaming.runner import replay_by_time, run_available
 from tessera.streaming.sinks import DeltaLogTable, batch_folder_writer, expire, read_all_batches, read_last_batch
 from tessera.streaming.sources import stream_lines, stream_table
@@ -143,6 +144,46 @@ def run_ingest_lines(spark: SparkSession, lines: DataFrame) -> tuple[DataFrame,
     return read_all_batches(spark, out, parsed.schema), runs
 
 
+def flagged_messages(bursts: DataFrame) -> DataFrame:
+    """Flagged windows as messages: all columns as JSON, the window's end as timestamp."""
+    end = F.col("window_end").cast(T.TimestampNTZType())
+    return bursts.select(F.to_json(F.struct(*bursts.columns), {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}).alias("value"), end.alias("timestamp"))
+
+
+def run_bursts_to_topic(spark: SparkSession, events: DataFrame, user_col: str, ts_col: str, root: str, *, window: str, slide: str,
+                        min_count: int, max_avg_ms: float, watermark: str, days_per_chunk: int = 5) -> DataFrame:
+    """STR-11, SNK-4: each closed flagged window becomes a message in the topic ``root``, written by the tasks of each
+    micro-batch and put in place by one commit; returns what the topic then holds, as the windows."""
+    register(spark)
+    src, ckpt = (scratch_path(spark, f"topic-{x}") for x in ("src", "ckpt"))
+    bursts = burst_stream(stream_table(spark, src, events.schema), user_col, ts_col, window, slide, min_count, max_avg_ms, watermark)
+
+    def run_once():
+        query = flagged_messages(bursts).writeStream.format("messages").option("writer", "bursts").option("checkpointLocation", ckpt).trigger(availableNow=True).start(root)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+        return query
+
+    replay_by_time(spark, events, ts_col, src, run_once, days_per_chunk)
+    closing_row(events, ts_col).select(events.columns).write.mode("append").parquet(src)
+    run_once()
+    held = spark.read.format("messages").load(root)
+    return held.select(F.from_json("value", bursts.schema, {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}).alias("w")).select("w.*")
+
+
+def run_from_latest(spark: SparkSession, before: DataFrame, after: list[DataFrame], root: str) -> DataFrame:
+    """SRC-4: a stream of lines that starts at the latest position of a topic that holds ``before``, and stops and starts
+    again between the appends of ``after``; returns what it has seen, (value, ingest_ts)."""
+    out, ckpt = (scratch_path(spark, f"latest-{x}") for x in ("out", "ckpt"))
+    stream = None
+    for part in (before, *after):
+        append(part, root)
+        stream = stream_lines(spark, root, fmt="messages", starting_offsets="latest")
+        run_available(stream, batch_folder_writer(out), ckpt)
+    return read_all_batches(spark, out, stream.schema)
+
+
 def run_lateness(spark: SparkSession, events: DataFrame, ts_col: str, arrival_col: str, tie_col: str, days_per_chunk: int = 5) -> DataFrame:
     """STR-7: a stream of ``events`` in order of arrival, each record with the watermark it met and whether it was late."""
     src, out, ckpt = (scratch_path(spark, f"late-{x}") for x in ("src", "out", "ckpt"))
