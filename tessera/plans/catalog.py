@@ -14,6 +14,7 @@ Spark derives from them) in full. Parameters on the driver's ``events`` table
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,8 @@ from tessera.plans import inputs, jobs, streams
 from tessera.schemas import BLACKLIST_DDL, HEALING_ITEM, ITEM_USE_EVENT
 from tessera.session import scratch_path
 from tessera.sources.derived import gamelog_from_events, lines_from_events
-from tessera.sources.logs import flagged_snapshot as read_flagged, lines_to_fields
+from tessera.sources.logs import flagged_snapshot as read_flagged, lines_to_fields, user_history as read_user_history, write_user_runs
+from tessera.streaming.keyed import BucketedTable, blacklist_join
 from tessera.streaming.sinks import VersionedTable
 
 BASE = "2024-01-10"
@@ -38,6 +40,7 @@ FIRST_OPEN = "2024-01-08"  # the first date whose seventh day is not over at SPL
 REPORT_DATES = [f"2024-01-{d:02d}" for d in range(8, 18)]
 SPLIT = "2024-01-15"  # blacklist / flagged-map checks: windows ending before this are "existing"
 AS_OF = "2024-01-31"
+HISTORY_USERS = [7, 77, 777]
 POLL_START, POLL_RUNS = "2024-01-08 00:00:01", ["2024-01-12 03:00:00", "2024-01-12 03:00:01", "2024-01-20 00:00:00"]
 BURST = dict(window="1 day", slide="12 hours", min_count=2, max_avg_ms=6 * 3600 * 1000.0)
 R = EVENTS_ROLES
@@ -451,6 +454,24 @@ def q_sanction_history(spark, sf):
     return sanction_history(_stored_windows(spark, sf), "userName", "window_end", AS_OF)
 
 
+def q_blacklist_bucketed(spark, sf):
+    """The blacklist in hash buckets: what was flagged before SPLIT, then a batch of the later windows; each sync twice."""
+    w = _stored_windows(spark, sf)
+    split = F.lit(SPLIT).cast("timestamp_ntz")
+    table = BucketedTable(spark, scratch_path(spark, "blacklist-buckets"), BLACKLIST_DDL, "userName", buckets=8)
+    merge = partial(blacklist_join, buckets=8)
+    for sync_id, part in ((0, w.where(F.col("window_end") < split)), (1, w.where(F.col("window_end") >= split))):
+        for _ in range(2):
+            table.merge(part, sync_id, merge)
+    return table.read()
+
+
+def q_user_history(spark, sf):
+    """All events of some users, from a log in sorted runs with Bloom filters."""
+    path = inputs._once(spark, sf, "user-runs", lambda p: write_user_runs(_ev(spark, sf), p, "user_id", "ts"))
+    return read_user_history(spark, path, HISTORY_USERS, "user_id").select("event_id", "user_id", "event_type", "ts", "value")
+
+
 def q_blacklist_polled(spark, sf):
     """The blacklist after a poll every two seconds from POLL_START to POLL_END, moved on in three runs."""
     flagged, table = _stored_windows(spark, sf), VersionedTable(spark, scratch_path(spark, "polled"), jobs.POLLED_DDL)

@@ -339,6 +339,8 @@ ORACLE: dict[str, str] = {
     "burst_panes": HOURLY,
     "sanction_history": HISTORY,
     "blacklist_polled": POLLED,
+    "blacklist_bucketed": BLACKLIST,
+    "user_history": "SELECT event_id, user_id, event_type, ts, value FROM events WHERE user_id IN (7, 77, 777)",
     "percent_text": f"""
         WITH m AS ({_matrix()})
         SELECT date, day_n, {_pct('retained', 'newAddUserCnt')} AS rate FROM (

@@ -86,3 +86,29 @@ def write_event_log(df: DataFrame, path: str, ts_col: str, date_col: str = "even
      .write.mode(mode).partitionBy(date_col)
      .option("maxRecordsPerFile", max_records_per_file)
      .parquet(path))
+
+
+def write_user_runs(df: DataFrame, path: str, user_col: str, ts_col: str, date_col: str = "event_date", mode: str = "overwrite",
+                    max_records_per_file: int = 5_000_000, users_per_file: int = 1_000_000, **options) -> None:
+    """Store a log partitioned by day, each day in runs sorted by (user, time), with Bloom filters of users (SRC-1).
+
+    Rows are dealt by ranges of (day, user, time), so a file holds a range of users and a user with many rows spreads over
+    files. A scan for some users then skips files and row groups by their smallest and largest user, and by the Bloom
+    filter where a user lies within a range but isn't there. ``options`` go to the writer (``parquet.block.size``).
+    """
+    order = [date_col, user_col, ts_col]
+    bloom = {f"parquet.bloom.filter.enabled#{user_col}": "true", f"parquet.bloom.filter.expected.ndv#{user_col}": str(users_per_file)}
+    dated = df.withColumn(date_col, F.to_date(F.col(ts_col)))
+    (dated.repartitionByRange(*order).sortWithinPartitions(*order)
+     .write.mode(mode).partitionBy(date_col).options(**{**bloom, **options}).option("maxRecordsPerFile", max_records_per_file).parquet(path))
+
+
+def user_history(spark: SparkSession, path: str, users: list, user_col: str = "userName") -> DataFrame:
+    """All rows of some users from a log of ``write_user_runs``; row groups without them are skipped.
+
+    One equality per user, since Bloom filters are asked for equalities (a long ``IN`` list becomes a range).
+    """
+    cond = F.lit(False)
+    for u in users:
+        cond = cond | (F.col(user_col) == F.lit(u))
+    return spark.read.parquet(path).where(cond)
