@@ -55,6 +55,7 @@ def parser() -> argparse.ArgumentParser:
     b = sub.add_parser("bursts", help="item-burst detector on a stream of tab lines")
     b.add_argument("--source", help="folder of text files (or omit with --format kafka)")
     b.add_argument("--format", default="text")
+    b.add_argument("--starting-offsets", help="where a first run begins, for --format kafka or messages: latest, earliest or offsets as JSON")
     b.add_argument("--option", action="append", help="source option key=value (kafka.bootstrap.servers=...)")
     b.add_argument("--checkpoint", required=True)
     b.add_argument("--tables", required=True, help="folder of the flagged-map and blacklist delta logs")
@@ -77,6 +78,13 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--table", required=True)
     s.add_argument("--sync-id", type=int, required=True)
     s.add_argument("--since", help="count only windows ending after this time (default: every flagged player)")
+
+    w = sub.add_parser("poll-blacklist", help="the two-second poll of the flagged-player map, counted at each run")
+    w.add_argument("--tables", required=True, help="the --tables folder of the bursts job")
+    w.add_argument("--table", required=True, help="the polled blacklist")
+    w.add_argument("--start", required=True, help="time of the first tick, yyyy-mm-dd hh:mm:ss")
+    w.add_argument("--every", type=float, default=60.0, help="seconds between runs")
+    w.add_argument("--runs", type=int, help="stop after so many runs (default: go on)")
     return ap
 
 
@@ -107,7 +115,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         from tessera.streaming.runner import batches_run, run_available, start
         from tessera.streaming.sources import stream_lines
 
-        lines = stream_lines(spark, args.source, fmt=args.format, **_options(args.option))
+        lines = stream_lines(spark, args.source, fmt=args.format, starting_offsets=args.starting_offsets, **_options(args.option))
         flagged = detect_from_lines(lines, window=args.window, slide=args.slide, min_count=args.min_count,
                                     max_avg_ms=args.max_avg_ms, time_basis=args.time_basis,
                                     watermark=args.watermark)
@@ -134,6 +142,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         sync_blacklist(spark, args.flagged or flagged, bl, args.sync_id, since=args.since)
         return {"cmd": args.cmd, "versions": bl.versions()[-1]}
 
+    if args.cmd == "poll-blacklist":
+        from tessera.plans.jobs import POLLED_DDL, poll_periodically
+        from tessera.plans.streams import flagged_map_merge, flagged_tables
+        from tessera.streaming.sinks import VersionedTable
+
+        flagged = flagged_tables(spark, args.tables)[0]
+        tick = poll_periodically(lambda: flagged.read(flagged_map_merge), VersionedTable(spark, args.table, POLLED_DDL), args.start, args.every, args.runs)
+        return {"cmd": args.cmd, "tick": tick}
+
     raise SystemExit(f"unknown command {args.cmd}")
 
 

@@ -116,12 +116,16 @@ def retention_counts_distinct(log: DataFrame, roles: Roles, base, days: int = RE
 def metrics_union(log: DataFrame, roles: Roles, base, days: int = RETENTION_DAYS) -> DataFrame:
     """The merged-SQL shape: padded metric rows, UNION ALL, max per column (SET-1, AG-6, FN-10).
 
-    Kept as an equivalence check of ``retention_counts``; it scans the log
-    three times where ``retention_counts`` scans it once.
+    Two set counts and a join of new users with their login days, all of them over ``user_flags``: the questions are
+    asked of the flags, after the shuffle by user, so the branches share one scan and one exchange of it (Spark reuses
+    the exchange), and both sides of the join are dealt by user already.
     """
-    new_cnt = new_users(log, roles, base).agg(F.count(F.lit(1)).alias("newAddUserCnt"))
-    act_cnt = active_users(log, roles, base).agg(F.count(F.lit(1)).alias("activeUserCnt"))
-    wide = retention_counts_distinct(log, roles, base, days)
+    flags = user_flags(log, roles, base, days)
+    new_cnt = flags.where(_has(NEW_BIT)).agg(F.count(F.lit(1)).alias("newAddUserCnt"))
+    act_cnt = flags.where(_has(ACTIVE_BIT)).agg(F.count(F.lit(1)).alias("activeUserCnt"))
+    came_back = F.filter(F.array(*[F.when(_has(1 << (n + 1)), F.lit(n)) for n in range(1, days + 1)]), lambda x: x.isNotNull())
+    pairs = flags.where(_has(NEW_BIT)).select(roles.user).join(flags.select(roles.user, F.explode(came_back).alias("day_n")), roles.user)
+    wide = pairs.agg(*[F.count_if(F.col("day_n") == n).alias(f"d{n}_retained") for n in range(1, days + 1)])
     cols = ["newAddUserCnt", "activeUserCnt"] + [f"d{n}_retained" for n in range(1, days + 1)]
     padded = [
         df.select(*[F.col(c) if c in df.columns else F.lit(0).cast("long").alias(c) for c in cols])

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import time
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -116,3 +117,30 @@ def poll_blacklist(flagged: DataFrame, blacklist: VersionedTable, run: int, star
     """
     ticks = polls.polled(flagged, "userName", _us(start), _us(until), None if after is None else _us(after))
     blacklist.merge(ticks, run, lambda old, new: polls.advanced(old, new, "userName"))
+
+
+def poll_once(flagged: DataFrame, blacklist: VersionedTable, start: str, until: str) -> int:
+    """Move ``blacklist`` on to the last tick at or before ``until``; its versions are named by ticks, so a call that comes
+    again, or too early for another tick, leaves the table as it is. Returns the tick."""
+    tick = (_us(until) - _us(start)) // polls.PERIOD_US
+    done = max(blacklist.versions(), default=None)
+    if tick >= 0 and (done is None or tick > done):
+        at = dt.datetime.fromisoformat(start)
+        poll_blacklist(flagged, blacklist, tick, start, until, None if done is None else str(at + dt.timedelta(microseconds=done * polls.PERIOD_US)))
+    return tick
+
+
+def poll_periodically(read_flagged, blacklist: VersionedTable, start: str, every: float, runs: int | None = None,
+                      now=dt.datetime.now, wait=time.sleep) -> int:
+    """The reference's timer (STR-12): poll now and every ``every`` seconds, ``runs`` times or for good.
+
+    ``read_flagged()`` gives the map as it then is. A run stands for all two-second ticks since the one before, so the
+    counters don't depend on ``every`` but for the moment at which a flag becomes known. Returns the last tick.
+    """
+    tick, done = -1, 0
+    while runs is None or done < runs:
+        if done:
+            wait(every)
+        tick = poll_once(read_flagged(), blacklist, start, str(now()))
+        done += 1
+    return tick

@@ -60,12 +60,9 @@ def console_sink(truncate: bool = False, rows: int = 20) -> Callable[[DataFrame,
     return show
 
 
-def start_console(df: DataFrame, mode: str = "complete", processing_time: str = "5 seconds",
-                  checkpoint: str | None = None) -> StreamingQuery:
+def start_console(df: DataFrame, checkpoint: str, mode: str = "complete", processing_time: str = "5 seconds") -> StreamingQuery:
     """SNK-5 as the reference wrote it: console sink, untruncated, on a processing-time trigger."""
-    w = df.writeStream.outputMode(mode).format("console").option("truncate", "false")
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
+    w = df.writeStream.outputMode(mode).format("console").option("truncate", "false").option("checkpointLocation", checkpoint)
     return w.trigger(processingTime=processing_time).start()
 
 
@@ -95,8 +92,13 @@ def replay_by_time(spark: SparkSession, source: DataFrame, ts_col: str, folder:
     The source is read once and staged next to ``folder``, partitioned by
     chunk number. Then, chunk by chunk, the staged partition (a pruned read)
     is written as new files into ``folder`` and ``run_once`` drains it. This
-    is how files arrive from upstream; each chunk becomes one or more
-    micro-batches of the same query, resumed from its checkpoint. Two passes
+    is how files arrive from upstream; each chunk becomes one micro-batch of
+    the same query, resumed from its checkpoint: a file source without
+    ``maxFilesPerTrigger`` takes all that is there. With that option a chunk
+    becomes several, and rows of its later files meet the watermark that the
+    earlier ones have moved. A backlog under ``available_now`` is one batch
+    likewise; where it is too large for that, give the option and a watermark
+    delay of at least the time that one chunk spans. Two passes
     over the data in total, not one per chunk. Rows without a time come with
     the first chunk: the query sees them and decides.
     """

@@ -167,3 +167,17 @@ def test_polls_equal_ticks_run_through(spark, scratch):
         assert rows_of(got.read()) == sorted((u, a, n) for u, (a, n) in table.items())
     whole = polls.polled(flagged, "userName", jobs._us(str(start)), jobs._us(str(ends[-1])))
     assert rows_of(whole) == rows_of(got.read())
+
+
+def test_periodic_poll_does_not_depend_on_its_period(spark, scratch):
+    rows = [("a", 1.0, T0 + dt.timedelta(seconds=3)), ("b", 2.0, T0 + dt.timedelta(seconds=9))]
+    flagged = spark.createDataFrame(rows, "userName string, avgTime double, window_end timestamp_ntz")
+    got = []
+    for steps in ([1, 5, 20], [20], [7, 7, 7, 20]):
+        times, waits = iter(T0 + dt.timedelta(seconds=s) for s in steps), []
+        table = VersionedTable(spark, scratch("poll"), jobs.POLLED_DDL)
+        assert jobs.poll_periodically(lambda: flagged, table, str(T0), 4.0, len(steps), lambda: next(times), waits.append) == 10
+        assert waits == [4.0] * (len(steps) - 1)
+        got.append(rows_of(table.read()))
+    assert got[0] == got[1] == got[2] == [("a", 1.0, 9), ("b", 2.0, 6)]
+    assert jobs.poll_once(flagged, table, str(T0), str(T0 - dt.timedelta(seconds=9))) < 0 and rows_of(table.read()) == got[0]

@@ -133,7 +133,7 @@ def test_console_sinks(spark, scratch, capsys):
     q = detect(stream)
     run_available(q, console_sink(), scratch("c-ckpt"), "complete")
     assert "batch 0" in capsys.readouterr().out
-    live = start_console(q, "complete", "1 second", scratch("c-ckpt2"))
+    live = start_console(q, scratch("c-ckpt2"), "complete", "1 second")
     try:
         live.processAllAvailable()
         assert live.lastProgress is not None and live.lastProgress["numInputRows"] == len(BURST_A)

@@ -84,3 +84,13 @@ def test_bounds_on_one_side_reach_the_scan(spark):
     assert "GreaterThanOrEqual(ts,2024-01-20T00:00)" in p
     p = plan(retention.retention_matrix(events, EVENTS_ROLES, end="2024-01-05"))
     assert "LessThan(ts,2024-01-13T00:00)" in p
+
+
+def test_metrics_union_scans_once(spark):
+    from tessera.plans.catalog import QUERIES
+
+    df = QUERIES["metrics_union"](spark, SF01)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    reads = [x for x in final.split("\n") if "FileScan" in x or "Scan parquet" in x]
+    assert final.count("ReusedExchange") >= 2 and len(reads) - final.count("ReusedExchange") <= 1 or len(reads) == 1, final
