@@ -13,6 +13,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,34 @@ _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
+#: Fragments up to so many symbols are scanned for the lowest rank; longer ones keep their pairs in a heap.
+_SHORT = 48
+
+
+def _merged_in_heap(parts: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
+    """The merged symbols of a long fragment in O(n log n): neighbours as a linked list, pairs in a heap by (rank, place)."""
+    n = len(parts)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(rank, i) for i in range(n - 1) if (rank := ranks.get((parts[i], parts[i + 1]))) is not None]
+    heapify(heap)
+    while heap:
+        rank, i = heappop(heap)
+        j = after[i]
+        # an entry is out of date if its left symbol is gone or the pair there is another by now
+        if not parts[i] or j >= n or ranks.get((parts[i], parts[j])) != rank:
+            continue
+        parts[i] += parts[j]
+        parts[j] = ""
+        k = after[i] = after[j]
+        if k < n:
+            before[k] = i
+            if (found := ranks.get((parts[i], parts[k]))) is not None:
+                heappush(heap, (found, i))
+        if (h := before[i]) >= 0 and (found := ranks.get((parts[h], parts[i]))) is not None:
+            heappush(heap, (found, h))
+    return [p for p in parts if p]
+
+
 class ForcedBoundaryBPE:
     """A byte-level BPE vocabulary file (word ends marked by a suffix) as an encoder and decoder."""
 
@@ -80,6 +109,8 @@ class ForcedBoundaryBPE:
         if last:
             parts[-1] += self.suffix
         ranks = self.ranks
+        if len(parts) > _SHORT:
+            return [self.ids[p] for p in _merged_in_heap(parts, ranks)]
         while len(parts) > 1:
             best, at = None, 0
             for i in range(len(parts) - 1):

@@ -2,6 +2,7 @@
 
 import io
 import random
+import time
 import zipfile
 
 import numpy as np
@@ -50,6 +51,32 @@ def test_forced_boundaries():
     assert not any(a + b in t for t in inner)
 
 
+def long_words():
+    """Runs of letters without a blank: one letter, a few, all kinds, up to a million."""
+    rng = random.Random(7)
+    return ["a" * 1_000_000, "".join(rng.choice("ab") for _ in range(200_000)), "".join(rng.choice("etaoinshrdlu") for _ in range(200_000)), "ha" * 50_000,
+            "x".join("é日本" for _ in range(20_000)), "".join(rng.choice("abcdefgh") for _ in range(49)), "abc" * 17]
+
+
+def test_long_words_take_seconds():
+    """A word of a million letters is merged as the library merges it, in time that doesn't grow with its square."""
+    with open(WORD, encoding="utf-8") as file:
+        codec = bpe.ForcedBoundaryBPE(file.read())
+    library, began = Tokenizer.from_file(WORD), time.time()
+    for text in long_words():
+        data, offsets, _ = C.text_ranges(pa.array([text]))
+        assert codec.encode(data, offsets)[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert time.time() - began < 90
+
+
+def test_long_words_in_documents(spark):
+    rows = list(enumerate(long_words()[:3]))
+    library = Tokenizer.from_file(WORD)
+    assert ordered(bpe.digests(bpe.encode(spark, frame(spark, rows), WORD, decoded=True)).collect()) == ordered(brute.round_trip(rows, library))
+    library = Tokenizer.from_file(BYTE)
+    assert ordered(tuple(r)[:4] for r in token_files.round_trip(spark, frame(spark, rows), BYTE).collect()) == ordered(brute.token_files(rows, library))
+
+
 def test_bpe_round_trip(spark):
     rows = odd_documents() + [(900 + i, t) for i, t in enumerate(fuzz(150))]
     encoded = bpe.encode(spark, frame(spark, rows), WORD, decoded=True)
