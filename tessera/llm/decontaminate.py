@@ -171,6 +171,61 @@ def _blocks(windows: DataFrame, most: int) -> tuple[DataFrame, int]:
     return windows.withColumn("block", F.lit(0).cast("long")), blocks
 
 
+def _windows(spark: SparkSession, items: DataFrame, item_col: str, item_text_col: str, window: int, most: int) -> tuple[DataFrame, DataFrame, int]:
+    """(items of each window; the distinct windows, with a block number each; the number of blocks)."""
+    named = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
+    made = written(spark, named.mapInArrow(partial(_item_windows, window=window), _WINDOWS), "item-windows")
+    owners = made.where("item_id is not null").select("item_id", "wid").distinct()
+    windows, blocks = _blocks(written(spark, made.select("wid", "words").dropDuplicates(["wid"]), "windows"), most)
+    return owners, windows, blocks
+
+
+def _block(spark: SparkSession, texts: DataFrame, windows: DataFrame, number: int, shingle: int):
+    """A block of windows by their rarest shingle in ``texts``, sent to tasks."""
+    block = windows.where(F.col("block") == number).select("wid", "words").toArrow().combine_chunks()
+    wids, lengths = (np.asarray(x) for x in (block["wid"], pc.list_value_length(block["words"])))
+    arrays = {}
+    for n in np.unique(lengths).tolist():
+        mine = pa.array(np.flatnonzero(lengths == n))
+        flat = np.asarray(block["words"].take(mine).combine_chunks().flatten())
+        arrays[n] = (flat.view(np.uint64).reshape(-1, n), wids[lengths == n])
+    sizes: dict[int, list] = {}
+    for n, (words, _) in arrays.items():
+        k = min(shingle, n)
+        sizes.setdefault(k, []).extend(W.runs(words[:, i : i + k].reshape(-1), k)[::k] for i in range(n - k + 1))
+    wanted = {k: np.unique(np.concatenate(v)) for k, v in sizes.items()}
+    asked = spark.sparkContext.broadcast({k: (v, _coarse(v)) for k, v in wanted.items()})
+    counted = texts.mapInArrow(partial(_occurrences, sent=asked), "shingle long, documents long") if wanted else None
+    documents = {r[0] & (1 << 64) - 1: r[1] for r in counted.groupBy("shingle").agg(F.sum("documents")).collect()} if wanted else {}
+    return spark.sparkContext.broadcast([_Prefixes(words, wids, min(shingle, n), documents) for n, (words, wids) in sorted(arrays.items())])
+
+
+def _passed(batches: Iterator[pa.RecordBatch], sent, column: str) -> Iterator[pa.RecordBatch]:
+    """The rows without any window, all columns as they are."""
+    for batch in batches:
+        clean = np.ones(batch.num_rows, bool)
+        for block in W.blocks(batch.column(column), W.PLAIN_WORDS):
+            for prefixes in sent.value:
+                clean[block.lo + prefixes.hits(block)[1]] = False
+        yield batch.filter(pa.array(clean))
+
+
+def clean(spark: SparkSession, docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", *,
+          window: int = WINDOW_WORDS, shingle: int = SHINGLE_WORDS, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """The rows of ``docs`` that ``contamination`` gives no hit, with their columns, from the scan itself: nothing is joined.
+
+    Null and empty texts stay. A benchmark of several blocks takes a scan for each, every one over what the last left.
+    """
+    prepare(spark)
+    _, windows, blocks = _windows(spark, items, item_col, item_text_col, window, block_windows)
+    for b in range(blocks):
+        if b:
+            docs = written(spark, docs, "clean")
+        sent = _block(spark, docs.select(F.col(text_col).cast("string").alias("text")), windows, b, shingle)
+        docs = docs.mapInArrow(partial(_passed, sent=sent, column=text_col), docs.schema)
+    return docs
+
+
 def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", *, window: int = WINDOW_WORDS,
                   shingle: int = SHINGLE_WORDS, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
@@ -184,29 +239,10 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col
     """
     prepare(spark)
     own = keyed(docs, id_col, text_col)
-    named = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
-    made = written(spark, named.mapInArrow(partial(_item_windows, window=window), _WINDOWS), "item-windows")
-    owners = made.where("item_id is not null").select("item_id", "wid").distinct()
-    windows, blocks = _blocks(written(spark, made.select("wid", "words").dropDuplicates(["wid"]), "windows"), block_windows)
-
+    owners, windows, blocks = _windows(spark, items, item_col, item_text_col, window, block_windows)
     scans = []
     for b in range(max(blocks, 1)):
-        block = windows.where(F.col("block") == b).select("wid", "words").toArrow().combine_chunks()
-        wids, lengths = (np.asarray(x) for x in (block["wid"], pc.list_value_length(block["words"])))
-        arrays = {}
-        for n in np.unique(lengths).tolist():
-            mine = pa.array(np.flatnonzero(lengths == n))
-            flat = np.asarray(block["words"].take(mine).combine_chunks().flatten())
-            arrays[n] = (flat.view(np.uint64).reshape(-1, n), wids[lengths == n])
-        sizes: dict[int, list] = {}
-        for n, (words, _) in arrays.items():
-            k = min(shingle, n)
-            sizes.setdefault(k, []).extend(W.runs(words[:, i : i + k].reshape(-1), k)[::k] for i in range(n - k + 1))
-        wanted = {k: np.unique(np.concatenate(v)) for k, v in sizes.items()}
-        asked = spark.sparkContext.broadcast({k: (v, _coarse(v)) for k, v in wanted.items()})
-        counted = own.select("text").mapInArrow(partial(_occurrences, sent=asked), "shingle long, documents long") if wanted else None
-        documents = {r[0] & (1 << 64) - 1: r[1] for r in counted.groupBy("shingle").agg(F.sum("documents")).collect()} if wanted else {}
-        sent = spark.sparkContext.broadcast([_Prefixes(words, wids, min(shingle, n), documents) for n, (words, wids) in sorted(arrays.items())])
+        sent = _block(spark, own.select("text"), windows, b, shingle)
         scans.append(written(spark, own.mapInArrow(partial(_scanned, sent=sent, everything=b == 0), _HITS), "hits"))
 
     base = scans[0].select("doc_id", *KEY, "n_words")

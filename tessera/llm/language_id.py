@@ -12,7 +12,7 @@ probability of that language given the code lengths.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 from tessera.llm import rows
 from tessera.llm import words as W
-from tessera.llm.stage import prepare
+from tessera.llm.stage import prepare, written
 
 ORDER = 3
-#: Bounds of the labelled sample: documents for each language, and languages (those with most documents).
+#: Bound of the labelled sample: documents for each language. Languages are learned and scored so many at a time.
 DOCS_PER_LANGUAGE, LANGUAGES = 1000, 200
 UNKNOWN = "und"
 
@@ -111,24 +111,24 @@ def _counted(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.Recor
 
 
 def _scored(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
+    """For each row the best of the model's languages, its code length, and the sum of all languages' probabilities against it."""
     model: Model = sent.value
     for batch in batches:
         data, offsets = W.utf8(batch.column("text"))
-        names, scores, rates = [], [], []
-        letters = batch.column("letters").to_pylist()
+        without = ~np.asarray(batch.column("letters"))
         for lo, hi in W.ranges(offsets):
             part = offsets[lo : hi + 1]
             bits = model.bits(data[part[0] : part[-1]], part - part[0])
-            best = bits.argmin(axis=1)
-            least = bits.min(axis=1)
-            chance = 1 / np.exp2(least[:, None] - bits).sum(axis=1)
-            rate = least / np.maximum(np.diff(part), 1)
-            for i, known in enumerate(letters[lo:hi]):
-                names.append(model.languages[best[i]] if known else UNKNOWN)
-                scores.append(float(chance[i]) if known else 0.0)
-                rates.append(float(rate[i]) if known else None)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("k1"), batch.column("k2"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())],
-                                         ["doc_id", *rows.KEY, "lang_pred", "score", "bits_per_byte"])
+            best, least = bits.argmin(axis=1), bits.min(axis=1)
+            none = without[lo:hi]
+            out = batch.slice(lo, hi - lo)
+            yield pa.RecordBatch.from_arrays([
+                out.column("doc_id"), out.column("k1"), out.column("k2"), pa.array(np.array(model.languages, object)[best], pa.string(), mask=none),
+                pa.array(least, mask=none), pa.array(np.exp2(least[:, None] - bits).sum(axis=1), mask=none), pa.array(np.diff(part)),
+            ], ["doc_id", *rows.KEY, "lang_pred", "least", "total", "n_bytes"])
+
+
+_SCORES = "doc_id long, k1 long, k2 long, lang_pred string, least double, total double, n_bytes long"
 
 
 def held_out(id_col: str):
@@ -136,44 +136,128 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
-def train(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *,
-          order: int = ORDER, docs_per_language: int = DOCS_PER_LANGUAGE, languages: int = LANGUAGES) -> Model | None:
-    """The statistics of a bounded sample: for each language the documents with the smallest hash of their id.
+class _Sample:
+    """The labelled sample: for each language the documents with the smallest hash of id and text.
 
-    Held-out documents, null texts and null languages are never learned from. None if nothing is left.
+    Held-out documents, null texts and null languages are never learned from.
     """
-    usable = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    usable = usable.where(~held_out("doc_id") & F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
-    common = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
-    # a share of each language by hash, a little more than is wanted: only those are ranked, whatever a language's size
-    hashes = usable.select("lang", "doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("hash")).join(F.broadcast(common), "lang")
-    some = hashes.where(F.col("hash") < (1 << 40) * (1.5 * docs_per_language + 100) / F.col("count"))
-    ranked = some.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("hash", "doc_id")))
-    sample = ranked.where(F.col("place") <= docs_per_language).select("lang", "doc_id").distinct()
-    texts = usable.join(F.broadcast(sample), ["lang", "doc_id"], "left_semi").select("lang", "text")
-    counted = texts.mapInArrow(partial(_counted, order=order), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
-    names = sorted(set(counted["lang"].to_pylist()))
-    if not names:
-        return None
-    number = {x: i for i, x in enumerate(names)}
-    return Model(names, np.array([number[x] for x in counted["lang"].to_pylist()]), np.asarray(counted["gram"]).astype(np.int64).view(np.uint64),
-                 np.asarray(counted["n"]).astype(np.float64), order)
+
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int):
+        usable = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+        self.usable = usable.where(~held_out("doc_id") & F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
+        self.most = most
+        self.languages = [tuple(r) for r in self.usable.groupBy("lang").count().orderBy("lang").collect()]  # a row per language
+
+    def texts(self, languages: list[tuple[str, int]]) -> DataFrame:
+        """(lang, text) of the sample of some languages."""
+        spark = self.usable.sparkSession
+        common = spark.createDataFrame(languages, "lang string, count long")
+        # a share of each language by hash, a little more than is wanted: only those are ranked, whatever a language's size;
+        # rows are hashed by id and text, so that an id that repeats over many texts is many documents
+        hashed = self.usable.withColumn("hash", F.xxhash64("doc_id", "text"))
+        hashes = hashed.select("lang", "hash").join(F.broadcast(common), "lang").withColumn("share", F.pmod("hash", F.lit(1 << 40)))
+        some = hashes.where(F.col("share") < (1 << 40) * (1.5 * self.most + 100) / F.col("count")).select("lang", "hash", "share").distinct()
+        ranked = some.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("share", "hash")))
+        sample = ranked.where(F.col("place") <= self.most).select("lang", "hash")
+        return hashed.join(F.broadcast(sample), ["lang", "hash"], "left_semi").dropDuplicates(["lang", "hash"]).select("lang", "text")
+
+    def model(self, languages: list[tuple[str, int]], order: int) -> Model:
+        counted = self.texts(languages).mapInArrow(partial(_counted, order=order), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+        number = {x: i for i, (x, _) in enumerate(languages)}
+        return Model(list(number), np.array([number[x] for x in counted["lang"].to_pylist()]), np.asarray(counted["gram"]).astype(np.int64).view(np.uint64),
+                     np.asarray(counted["n"]).astype(np.float64), order)
+
+
+def _scores(spark: SparkSession, own: DataFrame, sample: _Sample, order: int, languages: int) -> DataFrame:
+    """``_SCORES`` for every row of ``own``, from all languages, so many at a time; the language is null without a letter."""
+    own = own.withColumn("letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    if not sample.languages:
+        none = F.lit(None).cast("double")
+        return own.select("doc_id", *rows.KEY, F.lit(None).cast("string").alias("lang_pred"), none.alias("least"), none.alias("total"), F.lit(0).cast("long").alias("n_bytes"))
+    scans = []
+    for at in range(0, len(sample.languages), languages):
+        sent = spark.sparkContext.broadcast(sample.model(sample.languages[at : at + languages], order))
+        scans.append(own.mapInArrow(partial(_scored, sent=sent), _SCORES))
+    if len(scans) == 1:
+        return scans[0]
+    # the best of every part by key (rows of a key are alike), then one probability from all parts
+    each = written(spark, reduce(DataFrame.unionByName, scans), "language-scores")
+    best = each.groupBy(*rows.KEY).agg(F.min(F.struct("least", "lang_pred")).alias("best"), F.collect_set(F.struct("lang_pred", "least", "total")).alias("parts"))
+    total = F.aggregate("parts", F.lit(0.0), lambda t, p: t + p["total"] * F.pow(F.lit(2.0), F.col("best.least") - p["least"]))
+    best = best.select(*rows.KEY, F.col("best.lang_pred").alias("lang_pred"), F.col("best.least").alias("least"), total.alias("total"))
+    return own.select("doc_id", *rows.KEY, F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")).join(best, rows.KEY).select("doc_id", *rows.KEY, "lang_pred", "least", "total", "n_bytes")
 
 
 def identify(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *,
-             keyed: bool = False, **bounds) -> DataFrame:
+             keyed: bool = False, order: int = ORDER, docs_per_language: int = DOCS_PER_LANGUAGE, languages: int = LANGUAGES) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, bits_per_byte) for every row of ``docs``; with ``keyed`` also (k1, k2), see ``rows``.
 
     The prediction sees the whole text only. A null text, and one without a letter, is ``und`` with score 0; so is
     every text if there is nothing to learn from. Equal code lengths go to the language that comes first by name.
+    Every labelled language is learned, ``languages`` at a time: more of them take a scan for each such part.
     Rows stay as they are, repeated or with a null id; other columns play no part.
     """
     prepare(spark)
-    model = train(spark, docs, id_col, text_col, lang_col, **bounds)
-    own = rows.keyed(docs, id_col, text_col)
-    if model is None:
-        out = own.select("doc_id", *rows.KEY, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("bits_per_byte"))
-    else:
-        own = own.withColumn("letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-        out = own.mapInArrow(partial(_scored, sent=spark.sparkContext.broadcast(model)), "doc_id long, k1 long, k2 long, lang_pred string, score double, bits_per_byte double")
-    return out.select("doc_id", *rows.KEY * keyed, held_out("doc_id").alias("held_out"), "lang_pred", "score", "bits_per_byte")
+    sample = _Sample(docs, id_col, text_col, lang_col, docs_per_language)
+    out = _scores(spark, rows.keyed(docs, id_col, text_col), sample, order, languages)
+    known = F.col("lang_pred").isNotNull()
+    return out.select("doc_id", *rows.KEY * keyed, held_out("doc_id").alias("held_out"), F.coalesce("lang_pred", F.lit(UNKNOWN)).alias("lang_pred"),
+                      F.when(known, 1 / F.col("total")).otherwise(F.lit(0.0)).alias("score"), F.when(known, F.col("least") / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"))
+
+
+#: What a text may cost a byte beyond the sample's texts of its language: a share of their bound, and bits that
+#: a short text may cost more, falling with the root of its length.
+SLACK, SHORT_BITS = 1.2, 24.0
+
+
+def _learned_bounds(scores: DataFrame) -> list:
+    """(language, the cost a byte under which 99.9 % of its texts of 200 bytes or more lie), a row per language."""
+    rate = F.col("least") / F.col("n_bytes")
+    return scores.where("n_bytes >= 200 AND lang_pred IS NOT NULL").groupBy("lang_pred").agg(F.percentile_approx(rate, 0.999, 10_000).alias("bound")).collect()
+
+
+def _judged(batches: Iterator[pa.RecordBatch], sent, column: str, name: str, drop: bool) -> Iterator[pa.RecordBatch]:
+    """Rows whose text some language of the model codes within its bound: the others go, or are told apart by ``name``."""
+    model, bounds = sent.value
+    most = np.array([bounds.get(x, 8.0) for x in model.languages])
+    for batch in batches:
+        data, offsets = W.utf8(batch.column(column))
+        within = np.zeros(batch.num_rows, bool)
+        for lo, hi in W.ranges(offsets):
+            part = offsets[lo : hi + 1]
+            n = np.maximum(np.diff(part), 1)[:, None]
+            bits = model.bits(data[part[0] : part[-1]], part - part[0])
+            within[lo:hi] = (bits / n <= SLACK * most + SHORT_BITS / np.sqrt(n)).any(axis=1)
+        within &= np.asarray(batch.column(name))
+        at = batch.schema.get_field_index(name)
+        yield batch.drop_columns([name]).filter(pa.array(within)) if drop else batch.set_column(at, name, pa.array(within))
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *,
+                   order: int = ORDER, docs_per_language: int = DOCS_PER_LANGUAGE, languages: int = LANGUAGES) -> DataFrame:
+    """The rows of ``docs``, with their columns, that are in one of the learned languages; judged and kept in one scan.
+
+    A text must have a letter, and some language must code it in no more bits a byte than its own texts of the sample
+    take (their 99.9 % bound, by ``SLACK`` and, for short texts, ``SHORT_BITS`` / root of the length more): random strings, code
+    and languages that weren't learned cost more. Null texts go; without any labelled text nothing can be judged, and all
+    texts with a letter stay.
+    """
+    prepare(spark)
+    sample = _Sample(docs, id_col, text_col, lang_col, docs_per_language)
+    name = "__letters"
+    marked = docs.withColumn(name, F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False)))
+    if not sample.languages:
+        return marked.where(name).drop(name)
+    out, parts = [], [sample.languages[at : at + languages] for at in range(0, len(sample.languages), languages)]
+    for part in parts:
+        model, nothing = sample.model(part, order), F.lit(0).cast("long")
+        texts = sample.texts(part).select(nothing.alias("doc_id"), nothing.alias("k1"), nothing.alias("k2"), "text", F.lit(True).alias("letters"))
+        bounds = _learned_bounds(texts.mapInArrow(partial(_scored, sent=spark.sparkContext.broadcast(model)), _SCORES))
+        sent = spark.sparkContext.broadcast((model, {r.lang_pred: r.bound for r in bounds}))
+        if part is parts[-1]:
+            out.append(marked.mapInArrow(partial(_judged, sent=sent, column=text_col, name=name, drop=True), docs.schema))
+        else:  # what these languages don't let through is put to the next ones
+            told = written(spark, marked.where(name).mapInArrow(partial(_judged, sent=sent, column=text_col, name=name, drop=False), marked.schema), "judged")
+            out.append(told.where(name).drop(name))
+            marked = told.where(~F.col(name)).withColumn(name, F.lit(True))
+    return reduce(DataFrame.unionByName, out)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tessera.llm import rows as rows_of
 from tessera.llm import words as W
 from tessera.llm.components import components
-from tessera.llm.stage import prepare, written
+from tessera.llm.stage import matched, prepare, written
 
 SHINGLE_WORDS = 5
 #: 32 bands of 4: a pair of similarity 0.75 shares none with a chance of 0.000006.
@@ -131,7 +131,7 @@ def _exploded(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, keyed: bool = False,
                     percent: int = 75, k: int = SHINGLE_WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``; with ``keyed`` also (k1, k2), see ``rows``.
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``; with ``keyed`` also (k1, k2), see ``rows``, and ``survives``.
 
     Two documents are linked if ``100 * intersection >= percent * union`` of their
     distinct ``k``-word shingles (words lower-cased for A-Z, cut at blanks; a
@@ -142,12 +142,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     Rows of equal texts are linked; rows that repeat a doc_id stay separate rows.
     A null doc_id can be linked but names no component unless no other is there:
     then component_id is null and the row is kept. Other columns play no part.
+
+    ``survives`` marks one key (k1, k2) of each component, by doc_id (null ids last) and key, and all rows without
+    shingles: unlike ``kept`` it tells rows apart that repeat an id, or have none.
     """
     prepare(spark)
     own = rows_of.keyed(docs, id_col, text_col)
     signed = written(spark, own.mapInArrow(partial(_signed, k=k, bands=bands, rows=rows), _SIGNED), "signed")
     classes = written(spark, signed.where("node is not null").groupBy("node", "node2", "n_shingles").agg(
-        F.min("doc_id").alias("doc_id"), F.min(F.struct(*rows_of.KEY)).alias("rep"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "classes")
+        F.min("doc_id").alias("doc_id"), F.min(F.struct(*rows_of.KEY)).alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *rows_of.KEY)).alias("survivor"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "classes")
 
     # buckets of two classes or more, each with its hub: the class that meets most others in all its buckets
     spread = classes.select("node", F.explode("bands").alias("bucket"))
@@ -163,8 +166,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     stars = written(spark, stars, "stars")
 
     # the texts of all classes that share a bucket, once: that of the row with the smallest key, for an id can be null
-    members = classes.join(spread.select("node").distinct(), "node", "left_semi").select("node", "rep.*")
-    texts = own.select("text", *rows_of.KEY).join(members, rows_of.KEY).select("node", "text")
+    members = written(spark, classes.join(spread.select("node").distinct(), "node", "left_semi").select("node", "rep.*"), "members")
+    texts = matched(own.select("text", *rows_of.KEY), members, rows_of.KEY).select("node", "text")
     texts = written(spark, texts.mapInArrow(partial(_named, k=k), "node long, text string").dropDuplicates(["node"]), "texts")
     linked = written(spark, _links(stars, texts, k, percent), "linked")
 
@@ -179,12 +182,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     more = written(spark, _links(rest, texts, k, percent), "linked")
 
     root = components(spark, linked.unionByName(more))
-    found = classes.select("node", "node2", "n_shingles", "doc_id").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = found.join(least, "root").select("node", "node2", "n_shingles", "component_id")
+    found = classes.select("node", "node2", "n_shingles", "doc_id", "survivor").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = found.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.min("survivor").alias("survivor"))
+    found = found.drop("survivor").join(least, "root").select("node", "node2", "n_shingles", "component_id", "survivor")
     out = signed.select("doc_id", *rows_of.KEY, "node", "node2", "n_shingles").join(found, ["node", "node2", "n_shingles"], "left")
     out = out.withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", *rows_of.KEY * keyed, "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    survives = F.col("node").isNull() | ((F.col("k1") == F.col("survivor.k1")) & (F.col("k2") == F.col("survivor.k2")))
+    return out.select("doc_id", *rows_of.KEY * keyed, "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), *[survives.alias("survives")] * keyed)
 
 
 def _crossing(spark: SparkSession, owned: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:

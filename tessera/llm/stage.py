@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
-from pathlib import Path
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-import tessera
-from tessera.session import scratch_path
-
-_prepared: set[str] = set()
-
+from tessera.session import scratch_path, ship_code
 
+#: Keys that are broadcast at most (some 50 MB where they are held); more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 #: Bytes of a batch that goes between Spark and Python at most, unless the session has a setting of its own.
 BATCH_BYTES = "8m"
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -26,21 +23,46 @@ def prepare(spark: SparkSession) -> None:
     The package's code is sent once per application, as ``--py-files`` would; nothing is sent where it came from an
     archive itself. Batches are bounded in bytes if the session has the default bound: long texts come in small batches.
     """
-    context, package = spark.sparkContext, Path(tessera.__file__).resolve().parent
-    if context.applicationId not in _prepared and package.is_dir():
-        folder = os.path.realpath(tempfile.mkdtemp(prefix="tessera-code-"))
-        context.addPyFile(shutil.make_archive(f"{folder}/tessera", "zip", package.parent, package.name))
-        _prepared.add(context.applicationId)
+    ship_code(spark)
     if spark.conf.get(_BATCH_CONF, None) in (None, "64MB", "67108864b", "67108864"):
         spark.conf.set(_BATCH_CONF, BATCH_BYTES)
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """Collects the paths of the tables that are written inside."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        _scopes.remove(paths)
+
+
+def dropped(spark: SparkSession, paths: list[str]) -> None:
+    """Remove written tables that nothing reads any more."""
+    while paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def matched(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``keys``, a written table that is counted first: up to ``BROADCAST_ROWS`` keys go to the rows,
+    so that these stay where they are; more meet them by a shuffle of both."""
+    return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, on, how)
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table under the session's shared folder, read back.
 
     A written table cuts lineage, lives in the shared folder and survives lost executors.
     """
     path = scratch_path(spark, f"llm-{name}")
+    for paths in _scopes:
+        paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

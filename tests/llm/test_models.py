@@ -76,6 +76,64 @@ def test_language_id_of_odd_rows(spark):
     assert language_id.identify(spark, frame(spark, rows, "doc_id long, text string, lang string").where("false")).count() == 0
 
 
+def ppm(texts, order=language_id.ORDER):
+    """Bits of a text under contexts counted byte by byte from ``texts`` (plain ASCII)."""
+    seen = {}
+    for t in texts:
+        t = b"\0" * order + t.lower().encode()
+        for i in range(order, len(t)):
+            for o in range(order + 1):
+                after = seen.setdefault(t[i - o : i], {})
+                after[t[i]] = after.get(t[i], 0) + 1
+
+    def bits(text):
+        out, t = 0.0, b"\0" * order + text.lower().encode()
+        for i in range(order, len(t)):
+            for o in range(order, -2, -1):
+                after = seen.get(t[i - o : i]) if o >= 0 else None
+                if o < 0:
+                    out += 8
+                elif after:
+                    whole = sum(after.values()) + len(after)
+                    out -= np.log2(after.get(t[i], len(after)) / whole)
+                    if t[i] in after:
+                        break
+        return out
+
+    return bits
+
+
+@pytest.mark.parametrize("languages", [2, 200])
+def test_prediction_and_score_byte_by_byte(spark, languages):
+    """Every language is learned, however many at a time; predictions and scores equal those from plain contexts."""
+    rng = np.random.default_rng(3)
+    names = [f"l{k}" for k in range(7)]
+    sounds = {x: ["".join(rng.choice(list("abcdefghijklmnop"), 3)) for _ in range(12)] for x in names}
+    rows = [(i, " ".join(rng.choice(sounds[names[i % 7]], rng.integers(1, 12))), names[i % 7] if i % 3 else None) for i in range(150)]
+    got = language_id.identify(spark, frame(spark, rows, "doc_id long, text string, lang string"), languages=languages).collect()
+    models = {x: ppm([t for d, t, lang in rows if lang == x and crc(d) != 2]) for x in names}
+    for r in got:
+        bits = {x: models[x](dict((d, t) for d, t, _ in rows)[r.doc_id]) for x in names}
+        best = min(sorted(bits), key=bits.get)
+        assert r.lang_pred == best and abs(r.score - 1 / sum(2.0 ** (bits[best] - b) for b in bits.values())) < 1e-9
+        assert abs(r.bits_per_byte - bits[best] / len(rows[r.doc_id][1])) < 1e-9
+
+
+def test_a_repeated_labelled_id_stays_within_the_sample(spark):
+    rows = [(3, f"the cat {i} sat on mat {i * 7}", "en") for i in range(400)] + [(i, f"die katze {i} sitzt", "de") for i in range(100, 140)]
+    sample = language_id._Sample(frame(spark, rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang", 20)
+    assert {r["lang"]: r["count"] for r in sample.texts(sample.languages).groupBy("lang").count().collect()} == {"en": 20, "de": 20}
+
+
+def test_languages_kept_in_parts(spark):
+    """The same texts stay when languages are judged one at a time."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").limit(300).unionByName(spark.createDataFrame([(10**6, "qzxv" * 100, None, None, 400)], "doc_id long, text string, lang string, source string, n_chars long"))
+    docs = docs.cache()
+    one, all_ = ({r.doc_id for r in language_id.keep_languages(spark, docs, languages=n).collect()} for n in (1, 200))
+    docs.unpersist()
+    assert one == all_ and 10**6 not in one and len(one) > 250
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 16, 17, 1000, 4097])
 def test_feistel_is_a_permutation(n):
     p = sharding.FeistelPermutation(n)
