@@ -4,11 +4,11 @@ Categories are predicted one after the other by linear (logistic) models over
 the byte 5-grams of the whole text: whether a gram occurs, and whether it
 occurs at some rate, for a sign may be a gram that any text has now and then.
 Each model also gets the probabilities of the categories before it. To train
-it, those probabilities are predicted out of fold, so the later model sees
-them as they will be for new texts. Features are chosen in steps: each takes
-those that tell most about what the ones before leave unexplained (out of
-fold), so the signs of one language don't keep out those of another. Spark
-writes once which texts of the sample have each feature; only texts' numbers
+it, those probabilities are predicted out of fold, by features that were
+chosen without the fold's labels, so the later model sees them as they will be
+for new texts. Features are chosen in steps: each takes those that tell most
+about what the ones before leave unexplained (out of fold), so the signs of one
+language don't keep out those of another. Spark writes once which texts of the sample have each feature; only texts' numbers
 under chosen features come to the driver.
 """
 
@@ -20,7 +20,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import words as W
@@ -29,7 +29,7 @@ from tessera.llm.stage import prepare, written
 
 #: (category, label column, value that means yes), in chain order.
 CATEGORIES = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
-#: Bounds of the fit: labelled documents (those with the smallest hash of their id) and features a category.
+#: Bounds of the fit: labelled documents (those with the smallest hash of their id), texts of them, and features a category.
 SAMPLE, FEATURES = 10_000, 600
 #: Features are chosen in so many steps; each occurs in so many texts at least.
 STEPS, SUPPORT = 5, 3
@@ -123,19 +123,20 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _telling(batches: Iterator[pa.RecordBatch], sent, most: int) -> Iterator[pa.RecordBatch]:
-    """The features that gain most: what the residuals of their texts sum up to, in standard deviations."""
-    residual, variance, chosen = sent.value
+    """For each view the features that gain most: what the residuals of their texts sum up to, in standard deviations."""
+    views = sent.value
     for batch in batches:
         if not batch.num_rows:
             continue
         offsets, numbers = _listed(batch.column("texts"))
         feature = np.asarray(batch.column("feature"))
-        gain = np.abs(np.add.reduceat(residual[numbers], offsets[:-1])) / np.sqrt(np.add.reduceat(variance[numbers], offsets[:-1]) + 1)
-        texts = np.add.reduceat((variance > 0)[numbers].astype(np.int64), offsets[:-1])
-        gain[(texts < SUPPORT) | np.isin(feature, chosen)] = 0
-        best = np.lexsort((feature, -gain))[:most]
-        best = best[gain[best] > 0]
-        yield pa.RecordBatch.from_arrays([pa.array(feature[best]), pa.array(gain[best])], ["feature", "gain"])
+        for v, (residual, variance, chosen) in enumerate(views):
+            gain = np.abs(np.add.reduceat(residual[numbers], offsets[:-1])) / np.sqrt(np.add.reduceat(variance[numbers], offsets[:-1]) + 1)
+            texts = np.add.reduceat((variance > 0)[numbers].astype(np.int64), offsets[:-1])
+            gain[(texts < SUPPORT) | np.isin(feature, chosen)] = 0
+            best = np.lexsort((feature, -gain))[:most]
+            best = best[gain[best] > 0]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(best), v, np.int32)), pa.array(feature[best]), pa.array(gain[best])], ["view", "feature", "gain"])
 
 
 @dataclass
@@ -180,56 +181,103 @@ def _known(known: np.ndarray, row: np.ndarray, feature: np.ndarray, earlier: np.
     return place[row[mine]], feature[mine], earlier[known], y[known]
 
 
-def out_of_fold(row: np.ndarray, feature: np.ndarray, earlier: np.ndarray, y: np.ndarray, n_features: int, rounds: int = ROUNDS) -> np.ndarray:
-    """The probability of each text by a model that hasn't learned from it; ``y`` has NaN where it is unknown."""
-    fold = np.arange(len(y)) % FOLDS  # rows come in hash order
+def out_of_fold(row: np.ndarray, feature: np.ndarray, earlier: np.ndarray, y: np.ndarray, n_features: int, rounds: int = ROUNDS, folds: int = FOLDS) -> np.ndarray:
+    """The probability of each text by a model that hasn't learned from it; ``y`` has NaN where it is unknown.
+
+    The features are given: they must have been chosen without ``y``, or the result serves to choose more of them only.
+    """
+    fold = np.arange(len(y)) % folds  # rows come in hash order
     known, out = np.isfinite(y), np.zeros(len(y))
-    for f in range(FOLDS):
+    for f in range(folds):
         others = known & (fold != f)
         model = fit(*_known(others if others.any() else known, row, feature, earlier, y), n_features, rounds)
         out[fold == f] = model.probability(row, feature, earlier)[fold == f]
     return out
 
 
-def fit_chain(row: np.ndarray, feature: np.ndarray, labels: np.ndarray, n_features: int, own: np.ndarray | None = None) -> list[Linear]:
+def fit_chain(row: np.ndarray, feature: np.ndarray, labels: np.ndarray, n_features: int, own: np.ndarray, held_out: np.ndarray) -> list[Linear]:
     """One model a category; column i of ``labels`` is its 0, 1 or NaN (unknown: not learned from).
 
-    Row i of ``own`` says which features the model of category i may use (all, if it isn't given).
+    Row i of ``own`` says which features the model of category i may use; column i of ``held_out`` has the
+    probabilities of category i that later models learn from, each by a model and features that don't know the text.
     """
-    earlier, models = np.zeros((len(labels), 0)), []
+    models = []
     for i, y in enumerate(labels.T):
-        mine = slice(None) if own is None else own[i][feature]
-        models.append(fit(*_known(np.isfinite(y), row[mine], feature[mine], earlier, y), n_features))
-        if i + 1 < labels.shape[1]:
-            earlier = np.column_stack([earlier, out_of_fold(row[mine], feature[mine], earlier, y, n_features)])
+        mine = own[i][feature]
+        models.append(fit(*_known(np.isfinite(y), row[mine], feature[mine], held_out[:, :i], y), n_features))
     return models
 
 
-def choose(spark: SparkSession, index: DataFrame, labels: np.ndarray, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, number of the feature, features in order, whose they are): at most ``features`` a category, step by step."""
-    found, earlier = [], np.zeros((len(labels), 0))
-    for i, y in enumerate(labels.T):
-        chosen, row, feature = np.zeros((3, 0), np.int64)
+class _Pick:
+    """The features chosen from one view of the labels, and the texts that have them."""
+
+    def __init__(self):
+        self.row, self.feature, self.chosen = np.zeros((3, 0), np.int64)
+
+    def add(self, features: list[int], texts: dict[int, np.ndarray]) -> None:
+        at = len(self.chosen)
+        self.row = np.concatenate([self.row, *(texts[f] for f in features)])
+        self.feature = np.concatenate([self.feature, *(np.full(len(texts[f]), at + i) for i, f in enumerate(features))])
+        self.chosen = np.concatenate([self.chosen, np.array(features, np.int64)])
+
+    def learned(self, earlier: np.ndarray, y: np.ndarray, rounds: int) -> np.ndarray:
+        """The probability of every text by a model of the known ones."""
+        known = np.isfinite(y)
+        if not known.any():
+            return np.zeros(len(y))
+        return fit(*_known(known, self.row, self.feature, earlier, y), len(self.chosen), rounds).probability(self.row, self.feature, earlier)
+
+
+def _honest(picks: list[_Pick], views: list[np.ndarray], earlier: np.ndarray, rounds: int) -> np.ndarray:
+    """The probability of each text by features and a model from the labels of the other folds."""
+    fold, out = np.arange(len(earlier)) % FOLDS, np.zeros(len(earlier))
+    for f in range(FOLDS):
+        out[fold == f] = picks[f].learned(earlier, views[f], rounds)[fold == f]
+    return out
+
+
+def choose(spark: SparkSession, index: DataFrame, labels: np.ndarray, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, number of the feature, features in order, whose they are, held-out probabilities): at most ``features`` a category.
+
+    Features are chosen step by step from six views of a category's labels at once, each a pass over ``index``: without
+    one of the folds, and with all. A text's held-out probability comes from the view that lacks its fold, features and
+    model alike; the view of all labels leaves the features, and its residuals are against those probabilities.
+    """
+    n, found, held_out = len(labels), [], np.zeros((len(labels), 0))
+    fold = np.arange(n) % FOLDS
+    for y in labels.T:
+        views = [np.where(fold == f, np.nan, y) for f in range(FOLDS)] + [y]
+        picks = [_Pick() for _ in views]
         known = np.isfinite(y)
         for step in range(STEPS if 0 < y[known].sum() < known.sum() else 0):
             most = features * (step + 1) // STEPS - features * step // STEPS
-            chance = out_of_fold(row, feature, earlier, y, len(chosen), DRAFT_ROUNDS) if step or i else np.full(len(y), y[known].mean())
-            sent = spark.sparkContext.broadcast((np.where(known, y - chance, 0.0), np.where(known, np.maximum(chance * (1 - chance), 1e-9), 0.0), chosen))
-            best = index.mapInArrow(partial(_telling, sent=sent, most=most), "feature long, gain double").orderBy(F.desc("gain"), "feature").limit(most).toArrow()
+            asked = []
+            for f, (pick, view) in enumerate(zip(picks, views, strict=True)):
+                told = np.isfinite(view)
+                if not step and not held_out.shape[1]:
+                    chance = np.full(n, view[told].mean() if told.any() else 0.0)
+                elif f < FOLDS:
+                    chance = out_of_fold(pick.row, pick.feature, held_out, view, len(pick.chosen), DRAFT_ROUNDS, 2) if told.any() else np.zeros(n)
+                else:
+                    chance = _honest(picks, views, held_out, DRAFT_ROUNDS)
+                asked.append((np.where(told, view - chance, 0.0), np.where(told, np.maximum(chance * (1 - chance), 1e-9), 0.0), pick.chosen))
+            sent = spark.sparkContext.broadcast(asked)
+            best = index.mapInArrow(partial(_telling, sent=sent, most=most), "view int, feature long, gain double")
+            best = best.withColumn("place", F.row_number().over(Window.partitionBy("view").orderBy(F.desc("gain"), "feature"))).where(F.col("place") <= most).toArrow()
             if not best.num_rows:
                 break
-            got = index.where(F.col("feature").isin(best["feature"].to_pylist())).toArrow().sort_by("feature").combine_chunks()
+            got = index.where(F.col("feature").isin(sorted(set(best["feature"].to_pylist())))).toArrow().combine_chunks()
             offsets, numbers = _listed(got["texts"].combine_chunks())
-            row = np.concatenate([row, numbers.astype(np.int64)])
-            feature = np.concatenate([feature, np.repeat(np.arange(len(chosen), len(chosen) + len(got)), np.diff(offsets))])
-            chosen = np.concatenate([chosen, np.asarray(got["feature"])])
-        if i + 1 < labels.shape[1]:
-            earlier = np.column_stack([earlier, out_of_fold(row, feature, earlier, y, len(chosen), DRAFT_ROUNDS)])
-        found.append((row, feature, chosen.view(np.uint64)))
-    keys = np.unique(np.concatenate([x[2] for x in found]))
-    own = np.array([np.isin(keys, x[2]) for x in found])
-    pairs = np.unique(np.concatenate([x[0] * len(keys) + np.searchsorted(keys, x[2])[x[1]] for x in found]))
-    return pairs // max(len(keys), 1), pairs % max(len(keys), 1), keys, own
+            texts = {f: numbers[a:b].astype(np.int64) for f, a, b in zip(got["feature"].to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)}
+            view, feature = (np.asarray(best[c]) for c in ("view", "feature"))
+            for v, pick in enumerate(picks):
+                pick.add(sorted(feature[view == v].tolist()), texts)
+        held_out = np.column_stack([held_out, _honest(picks, views, held_out, ROUNDS)])
+        found.append(picks[-1])
+    keys = np.unique(np.concatenate([x.chosen.view(np.uint64) for x in found]))
+    own = np.array([np.isin(keys, x.chosen.view(np.uint64)) for x in found])
+    pairs = np.unique(np.concatenate([x.row * len(keys) + np.searchsorted(keys, x.chosen.view(np.uint64))[x.feature] for x in found]))
+    return pairs // max(len(keys), 1), pairs % max(len(keys), 1), keys, own, held_out
 
 
 def _scored(batches: Iterator[pa.RecordBatch], sent, names: list[str], threshold: float) -> Iterator[pa.RecordBatch]:
@@ -259,7 +307,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, categories=CA
     shown = F.concat_ws("\0", *(F.coalesce(F.col(n).cast("string"), F.lit("-")) for n in names), "text")
     rows = docs.where(F.octet_length("text") > 0).join(F.broadcast(chosen), "doc_id").withColumn("key", F.md5(shown.cast("binary")))
     distinct = rows.groupBy("key").agg(F.min("doc_id").alias("doc_id"), *(F.first(n).alias(n) for n in names))
-    got = distinct.orderBy("key").toArrow()
+    got = distinct.orderBy("key").limit(sample).toArrow()  # an id can repeat over many texts: the bound holds for rows
     if not got.num_rows:
         return None
     y = np.column_stack([np.asarray(got[n].cast(pa.float64()).fill_null(np.nan)) for n in names])
@@ -267,10 +315,10 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, categories=CA
     texts = written(spark, rows.join(F.broadcast(numbers), ["key", "doc_id"]).dropDuplicates(["number"]).select("number", "text"), "labelled")
     index = texts.mapInArrow(_texts_of, "feature long, texts binary").groupBy("feature").agg(F.collect_list("texts").alias("parts"))
     index = written(spark, index.mapInArrow(_together, "feature long, texts binary"), "grams")
-    row, feature, keys, own = choose(spark, index, y, features)
+    row, feature, keys, own, held_out = choose(spark, index, y, features)
     if not len(keys):
         return None
-    return _lookup(keys), fit_chain(row, feature, y, len(keys), own)
+    return _lookup(keys), fit_chain(row, feature, y, len(keys), own, held_out)
 
 
 def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, categories=CATEGORIES,

@@ -261,7 +261,7 @@ def test_known_features_are_those_of_the_whole_text():
     assert (feature >> np.uint64(40)).max() == len(toxicity.RATES)
 
 
-def test_chain_uses_out_of_fold_predictions():
+def test_chain_uses_held_out_predictions():
     """The second category is decided by the first: its model learns that from probabilities that aren't fitted to the row itself."""
     rng = np.random.default_rng(6)
     n, m = 400, 30
@@ -271,10 +271,89 @@ def test_chain_uses_out_of_fold_predictions():
     noise = rng.random(n) < 0.02
     labels = np.column_stack([first, np.where(noise, 1 - first, first)])
     labels[:20, 1] = np.nan
-    models = toxicity.fit_chain(row, feature, labels, m)
+    held_out = np.column_stack([toxicity.out_of_fold(row, feature, np.zeros((n, 0)), first, m), np.zeros(n)])
+    models = toxicity.fit_chain(row, feature, labels, m, np.ones((2, m), bool), held_out)
     assert len(models[0].chain) == 0 and len(models[1].chain) == 1 and models[1].chain[0] > 0.5
 
 
+def indexed(spark, texts):
+    """The table of grams that ``choose`` reads, as ``train`` makes it."""
+    rows = spark.createDataFrame(list(enumerate(texts)), "number int, text string").repartition(3)
+    index = rows.mapInArrow(toxicity._texts_of, "feature long, texts binary").groupBy("feature").agg(F.collect_list("texts").alias("parts"))
+    return index.mapInArrow(toxicity._together, "feature long, texts binary").cache()
+
+
+def auc(y, p):
+    order = np.argsort(p, kind="stable")
+    ranks = np.empty(len(p))
+    ranks[order] = np.arange(len(p))
+    return (ranks[y == 1].mean() - (y.sum() - 1) / 2) / (len(y) - y.sum())
+
+
+def test_held_out_predictions_of_noise_know_nothing(spark):
+    """Labels drawn at random: features chosen with a text's own label would tell it, those of the other folds can't."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join("".join(rng.choice(list("abcdefgh"), 4)) for _ in range(60)) for _ in range(600)]
+    labels = rng.integers(0, 2, (600, 2)).astype(float)
+    index = indexed(spark, texts)
+    _, _, keys, own, held_out = toxicity.choose(spark, index, labels, 300)
+    assert own.shape == (2, len(keys)) and own.any(axis=0).all()
+    assert all(0.42 <= auc(labels[:, i], held_out[:, i]) <= 0.58 for i in (0, 1))
+    index.unpersist()
+
+
+def test_first_features_and_chain_by_brute_force(spark, monkeypatch):
+    """One step of choosing equals gains counted text by text; the held-out column is that of the views without the fold."""
+    monkeypatch.setattr(toxicity, "STEPS", 1)
+    rng = np.random.default_rng(2)
+    y = (np.arange(90) % 3 == 0).astype(float)
+    texts = [" ".join([*("".join(rng.choice(list("abcd"), 3)) for _ in range(12)), *["xyzzy"] * int(t)]) for t in y]
+    index, seen, honest = indexed(spark, texts), [], toxicity._honest
+    monkeypatch.setattr(toxicity, "_honest", lambda picks, *rest: (seen.append(picks), honest(picks, *rest))[1])
+    row, feature, keys, own, held_out = toxicity.choose(spark, index, y[:, None], 15)
+    index.unpersist()
+    has = {}
+    for i, t in enumerate(texts):
+        raw = b"\0" * 4 + t.encode()
+        grams = [int.from_bytes(raw[j - 4 : j + 1], "big") for j in range(4, len(raw))]
+        for g in set(grams):
+            has.setdefault(g, set()).add(i)
+            for k, rate in enumerate(toxicity.RATES, 1):
+                if grams.count(g) >= 2 and grams.count(g) * rate >= len(t):
+                    has.setdefault(g | k << 40, set()).add(i)
+
+    def gains(view):
+        known = np.isfinite(view)
+        p = view[known].mean()
+        return {f: round(abs(sum(view[i] - p for i in rows if known[i])) / np.sqrt(p * (1 - p) * sum(known[i] for i in rows) + 1), 9)
+                for f, rows in has.items() if sum(known[i] for i in rows) >= toxicity.SUPPORT}
+
+    fold = np.arange(90) % toxicity.FOLDS
+    for f, pick in enumerate(seen[-1]):
+        view = np.where(fold == f, np.nan, y)
+        gain = gains(view)
+        assert sorted(gain[g] for g in pick.chosen.tolist()) == sorted(gain.values())[-15:]  # the labels of the fold have no say
+        r, c = np.array([(i, k) for k, g in enumerate(pick.chosen.tolist()) for i in sorted(has[g])]).T
+        assert sorted(zip(r, c)) == sorted(zip(pick.row, pick.feature))
+        if f < toxicity.FOLDS:
+            model = toxicity.fit(*toxicity._known(np.isfinite(view), r, c, np.zeros((90, 0)), view), 15)
+            assert np.allclose(model.probability(r, c, np.zeros((90, 0)))[fold == f], held_out[fold == f, 0])
+    assert set(zip(row.tolist(), keys[feature].tolist())) == {(i, g) for g in keys.tolist() for i in has[g]} and sorted(keys.tolist()) == sorted(seen[-1][-1].chosen.tolist())
+
+
+def test_a_repeated_labelled_id_brings_no_more_rows_than_the_sample(spark):
+    docs = frame(spark, [(1, f"text number {i} of one id") for i in range(400)] + [(i, f"idiot {i}" if i % 2 else f"fine day {i}") for i in range(2, 60)])
+    labels = frame(spark, [(i, 1, i % 2) for i in range(1, 60)], "doc_id long, quality int, toxic int")
+    seen = []
+    real = toxicity.choose
+    try:
+        toxicity.choose = lambda spark, index, y, features: (seen.append(len(y)), real(spark, index, y, features))[1]
+        assert toxicity.classify(spark, docs, labels, sample=50).count() == 458
+    finally:
+        toxicity.choose = real
+    assert seen == [50]
+
+
 def test_toxicity_of_odd_rows(spark):
     rows = [(i, f"you idiot moron {i}" if i % 3 == 0 else f"a good day to you {i}") for i in range(90)]
     rows += [(200, None), (201, ""), (202, "you idiot moron " * 3000), (None, "you idiot moron"), (0, rows[0][1])]
