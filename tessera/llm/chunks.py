@@ -65,16 +65,19 @@ class Remembered:
 
     def all(self, chunks: list[bytes], make) -> list[bytes]:
         """The result of each chunk; ``make`` gives those of a list of chunks that aren't known."""
-        new, old = self.new, self.old
-        found = [new.get(c) or old.get(c) for c in chunks]
+        found = list(map(self.new.get, chunks))
         missing = [i for i, x in enumerate(found) if x is None]
-        if missing:
-            for i, x in zip(missing, make([chunks[i] for i in missing]), strict=True):
-                found[i] = x
-        if len(new) >= self.most:
-            self.new, self.old = {}, new
-        for c, x in zip(chunks, found, strict=True):
-            self.new[c] = x
+        if not missing:
+            return found
+        old = self.old
+        for i in missing:
+            found[i] = old.get(chunks[i])
+        unknown = [i for i in missing if found[i] is None]
+        for i, x in zip(unknown, make([chunks[i] for i in unknown]) if unknown else [], strict=True):
+            found[i] = x
+        if len(self.new) >= self.most:
+            self.new, self.old = {}, self.new
+        self.new.update((chunks[i], found[i]) for i in missing)
         return found
 
 

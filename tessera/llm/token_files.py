@@ -38,15 +38,44 @@ _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens",
 
 
 class LibraryEncoder:
-    """The tokenizers library, asked once for each distinct chunk of a block that isn't remembered."""
+    """The tokenizers library, asked once for each distinct chunk of a block that isn't remembered.
+
+    Chunks go to it joined, so many bytes at a time, where the place between two of them is a boundary in any text; the
+    bytes that each token stands for then tell where a chunk's ids end.
+    """
+
+    JOINED_BYTES = 1 << 14
 
     def __init__(self, text: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.library = Tokenizer.from_str(text)
         self.known = C.Remembered(250_000)
+        # in a byte-level vocabulary each character of a token is a byte; elsewhere the lengths don't add up and chunks go alone
+        self.sizes = np.array([len(self.library.id_to_token(i) or "") for i in range(self.library.get_vocab_size(with_added_tokens=True))], np.int64)
+
+    def _alone(self, chunks: list[bytes]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.library.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
 
     def _ids(self, chunks: list[bytes]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
+        ends = np.cumsum([len(c) for c in chunks])
+        data = np.frombuffer(b"".join(chunks), np.uint8)
+        sure = np.isin(ends, C.after_blanks(data, np.array([0, len(data)])))
+        groups, begin, first = [], 0, 0
+        for i, (end, cut) in enumerate(zip(ends.tolist(), sure.tolist(), strict=True)):
+            if not cut or end - begin >= self.JOINED_BYTES or i + 1 == len(chunks):
+                groups.append((first, i + 1, begin, end))
+                begin, first = end, i + 1
+        raw = data.tobytes()
+        out: list[bytes] = []
+        for (a, b, begin, end), ids in zip(groups, self._alone([raw[x:y] for _, _, x, y in groups]), strict=True):
+            upto = np.cumsum(self.sizes[ids])
+            places = np.searchsorted(upto, ends[a:b] - begin)
+            if not len(ids) or upto[-1] != end - begin or (upto[places] != ends[a:b] - begin).any():
+                out += [x.tobytes() for x in self._alone(chunks[a:b])]
+                continue
+            own, at = ids.tobytes(), [0, *((places + 1) * 4).tolist()]
+            out += [own[x:y] for x, y in zip(at[:-1], at[1:], strict=True)]
+        return out
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, where each row's begin) of rows of text."""
@@ -169,7 +198,8 @@ def save(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "doc_id"
     with open(path, encoding="utf-8") as file:
         sent = spark.sparkContext.broadcast(file.read())
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    own = own.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # by id and text, so that an id that repeats over many texts spreads over files
+    own = own.withColumn("hash", F.xxhash64("text")).repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash").drop("hash")
     manifest = own.mapInArrow(partial(_saved, sent=sent, folder=folder, end_id=end_id, length=length), _MANIFEST)
     return folder, written(spark, manifest, "token-manifest")
 
@@ -181,16 +211,19 @@ def _loaded(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Recor
             file = SequenceFile(folder, row["file"])
             with system.open_input_file(S.join(path, row["documents"])) as source:
                 index = pa.ipc.open_file(source)
-                tokens, ids, at = file.tokens(), np.zeros(0, np.uint16), 0
+                tokens, ids, at = file.tokens(), np.zeros(0, "<u4"), 0
                 for i in range(index.num_record_batches):
                     part = index.get_batch(i)
                     starts, sizes = np.asarray(part.column("start")), np.asarray(part.column("n_tokens"))
                     sums = []
-                    for start, n in zip(starts.tolist(), sizes.tolist(), strict=True):
-                        while at + len(ids) < start + n:
-                            got, _ = next(tokens)
-                            ids, at = (np.concatenate([ids[start - at :], got]), start) if at + len(ids) > start else (got, at + len(ids))
-                        sums.append(zlib.crc32(ids[start - at : start - at + n].astype("<u4").tobytes()))
+                    for n in sizes.tolist():
+                        crc = 0
+                        while n:  # a document may span batches of sequences: its checksum goes on over them
+                            if at == len(ids):
+                                ids, at = next(tokens)[0].astype("<u4"), 0
+                            own = ids[at : at + n]
+                            crc, at, n = zlib.crc32(own, crc), at + len(own), n - len(own)
+                        sums.append(crc)
                     yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(starts + row["base"]), part.column("n_tokens"), pa.array(sums, pa.int64()),
                                                       pa.array([row["file"]] * len(sums)), part.column("start")], ["doc_id", "start", "n_tokens", "ids_crc32", "file", "start_in_file"])
             file.close()

@@ -101,6 +101,30 @@ def test_repeated_ids_keep_a_fixed_order(spark):
     assert twice[0] == twice[1] and [r[0] for r in sorted(twice[0], key=lambda r: r[1])] == [0, 1, 1, 1, 2]
 
 
+def test_documents_that_span_batches_and_files_of_one_id(spark):
+    """Checksums go on over batches of sequences; an id with many texts is written by several tasks."""
+    rows = [(5, f"text {i} of one id " * (1 + i % 40)) for i in range(400)] + [(6, "a long text " * 150_000), (7, None)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else these few rows would be one task's
+    try:
+        folder, manifest = token_files.save(spark, frame(spark, rows), BYTE, length=16)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    got = token_files.load(spark, folder, manifest)
+    library = Tokenizer.from_file(BYTE)
+    assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in got.collect()) == sorted((d, n, c) for d, _, n, c in brute.token_files(rows, library))
+    starts = [(r.start, r.n_tokens) for r in got.orderBy("start").collect()]
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+    assert got.where("doc_id = 5").select("file").distinct().count() > 1
+
+
+def test_joined_chunks_equal_chunks_alone():
+    with open(BYTE, encoding="utf-8") as file:
+        codec = token_files.LibraryEncoder(file.read())
+    chunks = [c.encode() for c in [*(t for t in fuzz(800) if t), " the", " a", "x", "\n\ny", " <|endoftext|>", "<|endoftext|>", " é", "　", " z "]]
+    codec.JOINED_BYTES = 64
+    assert codec._ids(chunks) == [x.astype("<u4").tobytes() for x in codec._alone(chunks)]
+
+
 def test_sequences_are_read_in_place(spark):
     rows = [(i, t) for i, t in documents() if t]
     folder, manifest = token_files.save(spark, frame(spark, rows), BYTE, length=64)
