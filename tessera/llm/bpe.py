@@ -24,7 +24,7 @@ from tokenizers import Tokenizer
 from tessera.llm import chunks as C
 from tessera.llm import words as W
 from tessera.llm.rows import KEY, keyed
-from tessera.llm.stage import prepare
+from tessera.llm.stage import prepare, tidied
 
 
 def byte_symbols() -> list[str]:
@@ -101,7 +101,7 @@ class ForcedBoundaryBPE:
             strings[i] = token.encode() + b" "
         #: Token strings by id, each with the blank that decoding puts between tokens.
         self.strings = pa.array(strings, pa.large_binary())
-        self.known = C.Remembered(100_000)
+        self.known = C.Remembered(60_000)
 
     def merged(self, fragment: str, last: bool) -> list[int]:
         """Ids of a fragment by merge ranks: the lowest rank first, the leftmost of equals."""
@@ -176,6 +176,7 @@ def _codec(text: str) -> ForcedBoundaryBPE:
     return ForcedBoundaryBPE(text)
 
 
+@tidied
 def _round_trip(batches: Iterator[pa.RecordBatch], sent, decoded: bool) -> Iterator[pa.RecordBatch]:
     codec = _codec(sent.value)
     for batch in batches:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import words as W
 from tessera.llm.rows import KEY, keyed
-from tessera.llm.stage import prepare, written
+from tessera.llm.stage import prepare, tidied, written
 
 WINDOW_WORDS, SHINGLE_WORDS = 10, 3
 #: Windows sent to tasks at once, at most: about 12 MB.
@@ -71,6 +71,7 @@ def _row_shingles(block: W.Block, size: int) -> tuple[np.ndarray, np.ndarray, np
     return W.runs(block.hashes, size)[at] if len(at) else np.zeros(0, np.uint64), at, row
 
 
+@tidied
 def _occurrences(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
     """How many rows of each block of texts hold each of the sent shingles."""
     total: dict[int, int] = {}
@@ -120,6 +121,7 @@ class _Prefixes:
         return start[same], row[same], window[same]
 
 
+@tidied
 def _scanned(batches: Iterator[pa.RecordBatch], sent, everything: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block in W.blocks(batch.column("text"), W.PLAIN_WORDS):
@@ -200,6 +202,7 @@ def _block(spark: SparkSession, texts: DataFrame, windows: DataFrame, number: in
     return spark.sparkContext.broadcast([_Prefixes(words, wids, min(shingle, n), documents) for n, (words, wids) in sorted(arrays.items())])
 
 
+@tidied
 def _passed(batches: Iterator[pa.RecordBatch], sent, column: str) -> Iterator[pa.RecordBatch]:
     """The rows without any window, all columns as they are."""
     for batch in batches:

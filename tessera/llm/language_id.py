@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import rows
 from tessera.llm import words as W
-from tessera.llm.stage import prepare, written
+from tessera.llm.stage import prepare, tidied, written
 
 ORDER = 3
 #: Bound of the labelled sample: documents for each language. Languages are learned and scored so many at a time.
@@ -98,6 +98,7 @@ class Model:
         return out
 
 
+@tidied
 def _counted(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         languages = np.array(batch.column("lang").to_pylist(), object)
@@ -110,6 +111,7 @@ def _counted(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.Recor
                 yield pa.RecordBatch.from_arrays([pa.array([language] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n)], ["lang", "gram", "n"])
 
 
+@tidied
 def _scored(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
     """For each row the best of the model's languages, its code length, and the sum of all languages' probabilities against it."""
     model: Model = sent.value
@@ -207,7 +209,7 @@ def identify(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
 
 #: What a text may cost a byte beyond the sample's texts of its language: a share of their bound, and bits that
 #: a short text may cost more, falling with the root of its length.
-SLACK, SHORT_BITS = 1.2, 24.0
+SLACK, SHORT_BITS = 1.35, 24.0
 
 
 def _learned_bounds(scores: DataFrame) -> list:
@@ -216,6 +218,7 @@ def _learned_bounds(scores: DataFrame) -> list:
     return scores.where("n_bytes >= 200 AND lang_pred IS NOT NULL").groupBy("lang_pred").agg(F.percentile_approx(rate, 0.999, 10_000).alias("bound")).collect()
 
 
+@tidied
 def _judged(batches: Iterator[pa.RecordBatch], sent, column: str, name: str, drop: bool) -> Iterator[pa.RecordBatch]:
     """Rows whose text some language of the model codes within its bound: the others go, or are told apart by ``name``."""
     model, bounds = sent.value

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tessera.llm import rows as rows_of
 from tessera.llm import words as W
 from tessera.llm.components import components
-from tessera.llm.stage import matched, prepare, written
+from tessera.llm.stage import matched, prepare, tidied, written
 
 SHINGLE_WORDS = 5
 #: 32 bands of 4: a pair of similarity 0.75 shares none with a chance of 0.000006.
@@ -65,6 +65,7 @@ def set_id(shingles: np.ndarray) -> tuple[int, int]:
     return int(np.int64(a.view(np.int64))), int(np.int64(b.view(np.int64)))
 
 
+@tidied
 def _signed(batches: Iterator[pa.RecordBatch], k: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     weights = W.mix(np.arange(rows, dtype=np.uint64)) | np.uint64(1)
     salts = W.mix(np.arange(bands, dtype=np.uint64) + np.uint64(1 << 40))
@@ -100,6 +101,7 @@ def _likely(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Reco
         yield batch.select([0, 1]).filter(pa.array(agree))
 
 
+@tidied
 def _compared(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose full sets, made again from the texts, are similar enough."""
     for batch in batches:
@@ -112,6 +114,7 @@ def _compared(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterat
         yield batch.select([0, 1]).filter(pa.array(keep))
 
 
+@tidied
 def _named(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Texts with the class their words make; rows that only share the key of its representative go."""
     for batch in batches:
@@ -120,6 +123,7 @@ def _named(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
         yield batch.filter(pa.array(same, pa.bool_()))
 
 
+@tidied
 def _exploded(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """A row for each shingle of each class."""
     for batch in batches:

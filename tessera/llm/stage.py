@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +32,30 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_CONF, BATCH_BYTES)
 
 
+def tidy() -> None:
+    """Give memory that is free back to the system: a worker lives on and works for other operators beside its executor."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidied(function):
+    """A function over a task's batches that tidies up after each of them."""
+
+    @wraps(function)
+    def run(batches, *args, **named):
+        def each():
+            for batch in batches:
+                yield batch
+                del batch
+                tidy()
+
+        yield from function(each(), *args, **named)
+        tidy()
+
+    return run
+
+
 _scopes: list[list[str]] = []
 
 

@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 
 from tessera.llm import chunks as C
 from tessera.llm import shared_files as S
-from tessera.llm.stage import prepare, written
+from tessera.llm.stage import prepare, tidied, written
 from tessera.session import scratch_path
 
 SEQUENCE_TOKENS = 2048
@@ -151,6 +151,7 @@ class SequenceFile:
         self.source.close()
 
 
+@tidied
 def _saved(batches: Iterator[pa.RecordBatch], sent, folder: str, end_id: int, length: int) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
