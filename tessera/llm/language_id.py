@@ -209,7 +209,7 @@ def identify(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
 
 #: What a text may cost a byte beyond the sample's texts of its language: a share of their bound, and bits that
 #: a short text may cost more, falling with the root of its length.
-SLACK, SHORT_BITS = 1.6, 24.0
+SLACK, SHORT_BITS = 2.0, 24.0
 
 
 def _learned_bounds(scores: DataFrame) -> list:
