@@ -19,7 +19,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 HEADLINE = ["retention_report", "retention_matrix", "burst_players"]
 EXTRA = ["gamelog_report", "burst_lines", "retained_semi", "metrics_union", "blacklist_merge", "parse_log_line",
-         "daily_report_saved"]
+         "daily_report_saved", "retention_bitmaps", "burst_panes", "late_records", "user_history"]
 
 
 def main() -> None:

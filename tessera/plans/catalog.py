@@ -469,7 +469,8 @@ def q_blacklist_bucketed(spark, sf):
 def q_user_history(spark, sf):
     """All events of some users, from a log in sorted runs with Bloom filters."""
     path = inputs._once(spark, sf, "user-runs", lambda p: write_user_runs(_ev(spark, sf), p, "user_id", "ts"))
-    return read_user_history(spark, path, HISTORY_USERS, "user_id").select("event_id", "user_id", "event_type", "ts", "value")
+    schema = _ev(spark, sf).withColumn("event_date", F.to_date("ts")).schema
+    return read_user_history(spark, path, HISTORY_USERS, "user_id", schema).select("event_id", "user_id", "event_type", "ts", "value")
 
 
 def q_blacklist_polled(spark, sf):

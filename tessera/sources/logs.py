@@ -103,12 +103,14 @@ def write_user_runs(df: DataFrame, path: str, user_col: str, ts_col: str, date_c
      .write.mode(mode).partitionBy(date_col).options(**{**bloom, **options}).option("maxRecordsPerFile", max_records_per_file).parquet(path))
 
 
-def user_history(spark: SparkSession, path: str, users: list, user_col: str = "userName") -> DataFrame:
+def user_history(spark: SparkSession, path: str, users: list, user_col: str = "userName", schema=None) -> DataFrame:
     """All rows of some users from a log of ``write_user_runs``; row groups without them are skipped.
 
-    One equality per user, since Bloom filters are asked for equalities (a long ``IN`` list becomes a range).
+    One equality per user, since Bloom filters are asked for equalities (a long ``IN`` list becomes a range). ``schema`` is
+    the log's with its date column, needed where it may hold no row yet (and so no file to take a schema from).
     """
     cond = F.lit(False)
     for u in users:
         cond = cond | (F.col(user_col) == F.lit(u))
-    return spark.read.parquet(path).where(cond)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).where(cond)

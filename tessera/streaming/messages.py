@@ -21,6 +21,9 @@ task that fails and runs again leaves a file that no index names; a batch that a
 restarted stream writes again is known by (writer, batch) and adds nothing. One
 append at a time: writers of the same topic take turns.
 
+An ``availableNow`` run takes what is there as one batch (Spark gives sources in Python no limits), and no
+empty batch after it: windows that it closes come with the next batch that has messages.
+
 Messages travel as Arrow batches between files, tasks and Spark. Readers list
 the index files that a batch needs, newest first, so a batch costs what it
 reads, whatever the topic's age.

@@ -1,5 +1,7 @@
 """The command-line jobs, run in-process on the test session."""
 
+import datetime as dt
+
 from tessera import cli
 from tests.test_golden_stream import BURST_A, BURST_D, OTHER, line
 
@@ -41,6 +43,37 @@ def test_bursts_cli_available_now(spark, scratch):
     assert sorted(tuple(r) for r in rows) == [("A", 500.0, 2), ("D", 400.0, 2)]
 
 
+    polled = scratch("cli-polled")
+    end = spark.sql("SELECT CAST(now() AS timestamp_ntz) AS t").first().t  # the flags are long ago: each tick counts
+    start = end.replace(microsecond=0) - dt.timedelta(seconds=60)
+    out = cli.main(["poll-blacklist", "--tables", tables, "--table", polled, "--start", str(start), "--every", "0", "--runs", "2"], spark)
+    from tessera.plans.jobs import POLLED_DDL
+
+    rows = VersionedTable(spark, polled, POLLED_DDL).read().collect()
+    assert out["tick"] >= 30 and {r.userName for r in rows} == {"A", "D"} and {r.cnt for r in rows} == {out["tick"] + 1}
+
+
+def test_bursts_cli_from_a_topics_latest_position(spark, scratch):
+    from tessera.plans.streams import blacklist_table_merge, flagged_tables
+    from tessera.streaming.messages import append
+
+    topic, tables, ckpt = scratch("cli-topic"), scratch("cli-tables"), scratch("cli-ckpt")
+    args = ["bursts", "--source", topic, "--format", "messages", "--starting-offsets", "latest", "--checkpoint", ckpt, "--tables", tables, "--watermark", "0 seconds", "--available-now"]
+
+    def send(lines):
+        append(spark.createDataFrame([(x,) for x in lines], "value STRING").selectExpr("value", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS timestamp").coalesce(1), topic)
+
+    send(BURST_A)  # before the stream first runs: never seen
+    cli.main(args, spark)
+    send([*BURST_D, *OTHER])
+    cli.main(args, spark)
+    for at in (200, 201):  # a run is one batch: windows that it closes come with the next
+        send([line("C", at)])
+        cli.main(args, spark)
+    got = sorted(tuple(r) for r in flagged_tables(spark, tables)[1].read(blacklist_table_merge).collect())
+    assert got == [("D", 400.0, 2)]
+
+
 def test_ingest_then_typed_report_matches_raw(spark, scratch):
     from tessera.plans import inputs
     from tessera.plans.jobs import daily_result_table

@@ -12,7 +12,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 STREAM_KEYS = {"burst_stream", "burst_stream_complete", "burst_stream_wm", "late_drop", "burst_stream_ingest",
-               "stream_ingest", "blacklist_stream", "sync_blacklist"}
+               "stream_ingest", "blacklist_stream", "sync_blacklist", "late_records_stream", "stream_latest", "burst_messages"}
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
 
