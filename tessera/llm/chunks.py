@@ -81,6 +81,6 @@ class Remembered:
         return found
 
 
-def text_ranges(column) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+def text_ranges(column, most: int = 4 * W.BLOCK_BYTES) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
     data, offsets = W.utf8(column)
-    return data, offsets, list(W.ranges(offsets, 4 * W.BLOCK_BYTES))
+    return data, offsets, list(W.ranges(offsets, most))

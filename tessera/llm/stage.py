@@ -21,6 +21,12 @@ BATCH_BYTES = "8m"
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+def small_batches(spark: SparkSession, size: str) -> None:
+    """Bound batches to ``size`` in this session, unless it has a bound of its own."""
+    if spark.conf.get(_BATCH_CONF, None) in (None, "64MB", "67108864b", "67108864", BATCH_BYTES):
+        spark.conf.set(_BATCH_CONF, size)
+
+
 def prepare(spark: SparkSession) -> None:
     """What every operator needs of its session: code on the executors and batches that fit beside other workers.
 
