@@ -76,7 +76,8 @@ class ForcedBoundaryBPE:
         if model["type"] != "BPE" or model["continuing_subword_prefix"] or model["byte_fallback"] or model["dropout"] or model["ignore_merges"] \
                 or config["decoder"] or config["post_processor"] or pre[0]["pattern"] != {"Regex": _SPLIT}:
             raise ValueError("the vocabulary needs steps that this encoder doesn't have")
-        self.library = Tokenizer.from_str(text)
+        # only the library's normalizer and pre-tokenizer are asked here: it needs no vocabulary for that
+        self.library = Tokenizer.from_str(json.dumps(config | {"model": model | {"vocab": {}, "merges": []}, "added_tokens": []}))
         self.suffix = model["end_of_word_suffix"] or ""
         self.symbols = byte_symbols()
         self.byte_of = {c: b for b, c in enumerate(self.symbols)}
@@ -91,9 +92,8 @@ class ForcedBoundaryBPE:
             own = token[: -len(self.suffix)] if self.suffix and token.endswith(self.suffix) else token
             raw = [self.byte_of[c] for c in own if c in self.byte_of]
             inside[raw[:-1], raw[1:]] = True
-        symbol = np.array(self.symbols)
-        #: Pairs of byte symbols that no token has side by side: certain cuts.
-        self.cuts = {symbol[a] + symbol[b] for a, b in np.argwhere(~inside)}
+        #: Pairs of byte symbols that some token has side by side; between all others a cut is certain.
+        self.inside = {self.symbols[a] + self.symbols[b] for a, b in np.argwhere(inside)}
         table = dict(self.special)
         table.update(vocabulary)
         strings = [b""] * (max(table.values()) + 1)
@@ -124,9 +124,9 @@ class ForcedBoundaryBPE:
 
     def fragments_of(self, word: str) -> list[str]:
         """The word (byte symbols) cut at every certain boundary."""
-        cuts, out, begin = self.cuts, [], 0
+        inside, out, begin = self.inside, [], 0
         for i in range(1, len(word)):
-            if word[i - 1 : i + 1] in cuts:
+            if word[i - 1 : i + 1] not in inside:
                 out.append(word[begin:i])
                 begin = i
         out.append(word[begin:])
