@@ -58,8 +58,17 @@ day holding a third of the rows.
 - **Keyed tables**: a micro-batch writes only its flagged windows. Reads merge a compacted base with the newer deltas
   through a union and one pre-aggregated `groupBy(user)` (`flagged_latest`, `blacklist_merge`, `upsert_daily` by
   date): a single shuffle and no join. Nothing is ever keyed on a constant.
+- **`retention_bitmaps`**: reads the stored bitmaps alone, 4 KB per 32,768 user numbers, role and day: some 30,000 rows a
+  role and day for 1e9 users, however many events. Each register and login bitmap is copied to `days` cohorts for the
+  intersections; a range of dates reads its own folders only.
+- **`retention_by_loads`**: a load shuffles its own user-days and reads the stored ones of the days around it.
+- **`burst_panes`**: one row per click until its pane, then two to four change points a pane; windows are made from states
+  that satisfy the rule only. Groups are (user, stretch of 256 windows), so a long history is many groups.
+- **`late_records`**: one range shuffle of the records; the carried maxima are a row per range partition, broadcast.
+- **`blacklist_bucketed`**: a merge shuffles the batch; the base is read and written bucket by bucket.
 - **Parsing**: tab lines are parsed once per line (`from_csv` inside a `Generate`). Game-log time is parsed with
-  built-in expressions. No Python runs per row anywhere.
+  built-in expressions. No Python runs per row anywhere; `late_records` and `burst_on_time` run a prefix maximum over Arrow
+  batches, when the key is called, and the plan listed is what remains to be done.
 """
 
 
