@@ -16,6 +16,7 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ from tessera.llm.stage import prepare, tidied, written
 ORDER = 3
 #: Bound of the labelled sample: documents for each language. Languages are learned and scored so many at a time.
 DOCS_PER_LANGUAGE, LANGUAGES = 1000, 200
+#: Languages learned from all their texts go together while their grams times their number are no more (8 bytes each).
+CELLS = 4_000_000
 UNKNOWN = "und"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -138,15 +141,33 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
-class _Sample:
-    """The labelled sample: for each language the documents with the smallest hash of id and text.
+class _Labelled:
+    """All labelled texts, row by row. Held-out documents, null texts and null languages are never learned from."""
 
-    Held-out documents, null texts and null languages are never learned from.
-    """
-
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int):
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, lang_col: str):
         usable = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
         self.usable = usable.where(~held_out("doc_id") & F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
+
+    def models(self, order: int, languages: int, cells: int = CELLS) -> list[Broadcast]:
+        """The models of all languages, counted in one scan: so many languages and cells of a table of costs in each."""
+        spark = self.usable.sparkSession
+        grams = written(spark, _gram_counts(self.usable.select("lang", "text"), order), "grams")
+        parts, n_grams = [], 0
+        for lang, n in grams.groupBy("lang").count().orderBy("lang").collect():  # a row per language
+            if parts and len(parts[-1]) < languages and (n_grams + n) * (len(parts[-1]) + 1) <= cells:
+                parts[-1].append(lang)
+                n_grams += n
+            else:
+                parts.append([lang])
+                n_grams = n
+        return [spark.sparkContext.broadcast(_model(part, grams.where(F.col("lang").isin(part)), order)) for part in parts]
+
+
+class _Sample(_Labelled):
+    """The labelled sample: for each language the documents with the smallest hash of id and text."""
+
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int):
+        super().__init__(docs, id_col, text_col, lang_col)
         self.most = most
         self.languages = [tuple(r) for r in self.usable.groupBy("lang").count().orderBy("lang").collect()]  # a row per language
 
@@ -163,23 +184,29 @@ class _Sample:
         sample = ranked.where(F.col("place") <= self.most).select("lang", "hash")
         return hashed.join(F.broadcast(sample), ["lang", "hash"], "left_semi").dropDuplicates(["lang", "hash"]).select("lang", "text")
 
-    def model(self, languages: list[tuple[str, int]], order: int) -> Model:
-        counted = self.texts(languages).mapInArrow(partial(_counted, order=order), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
-        number = {x: i for i, (x, _) in enumerate(languages)}
-        return Model(list(number), np.array([number[x] for x in counted["lang"].to_pylist()]), np.asarray(counted["gram"]).astype(np.int64).view(np.uint64),
-                     np.asarray(counted["n"]).astype(np.float64), order)
+    def models(self, order: int, languages: int) -> list[Broadcast]:
+        parts = [self.languages[at : at + languages] for at in range(0, len(self.languages), languages)]
+        return [self.usable.sparkSession.sparkContext.broadcast(_model([x for x, _ in part], _gram_counts(self.texts(part), order), order)) for part in parts]
+
+
+def _gram_counts(texts: DataFrame, order: int) -> DataFrame:
+    """(lang, gram, n) of rows (lang, text)."""
+    return texts.mapInArrow(partial(_counted, order=order), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
 
+def _model(languages: list[str], grams: DataFrame, order: int) -> Model:
+    counted = grams.toArrow()
+    number = {x: i for i, x in enumerate(languages)}
+    return Model(languages, np.array([number[x] for x in counted["lang"].to_pylist()]), np.asarray(counted["gram"]).astype(np.int64).view(np.uint64),
+                 np.asarray(counted["n"]).astype(np.float64), order)
 
-def _scores(spark: SparkSession, own: DataFrame, sample: _Sample, order: int, languages: int) -> DataFrame:
-    """``_SCORES`` for every row of ``own``, from all languages, so many at a time; the language is null without a letter."""
-    own = own.withColumn("letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    if not sample.languages:
+
+def _scores(spark: SparkSession, own: DataFrame, models: list[Broadcast]) -> DataFrame:
+    """``_SCORES`` for every row of ``own``, the best of all models; the language is null if ``letters`` isn't set."""
+    if not models:
         none = F.lit(None).cast("double")
         return own.select("doc_id", *rows.KEY, F.lit(None).cast("string").alias("lang_pred"), none.alias("least"), none.alias("total"), F.lit(0).cast("long").alias("n_bytes"))
-    scans = []
-    for at in range(0, len(sample.languages), languages):
-        sent = spark.sparkContext.broadcast(sample.model(sample.languages[at : at + languages], order))
-        scans.append(own.mapInArrow(partial(_scored, sent=sent), _SCORES))
+    scans = [own.mapInArrow(partial(_scored, sent=sent), _SCORES) for sent in models]
     if len(scans) == 1:
         return scans[0]
     # the best of every part by key (rows of a key are alike), then one probability from all parts
@@ -201,27 +228,35 @@ def identify(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
     """
     prepare(spark)
     sample = _Sample(docs, id_col, text_col, lang_col, docs_per_language)
-    out = _scores(spark, rows.keyed(docs, id_col, text_col), sample, order, languages)
+    own = rows.keyed(docs, id_col, text_col).withColumn("letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    out = _scores(spark, own, sample.models(order, languages))
     known = F.col("lang_pred").isNotNull()
     return out.select("doc_id", *rows.KEY * keyed, held_out("doc_id").alias("held_out"), F.coalesce("lang_pred", F.lit(UNKNOWN)).alias("lang_pred"),
                       F.when(known, 1 / F.col("total")).otherwise(F.lit(0.0)).alias("score"), F.when(known, F.col("least") / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"))
 
 
-#: What a text may cost a byte beyond the sample's texts of its language: a share of their bound, and bits that
+#: What a text may cost a byte beyond the labelled texts of its language: a share of their bound, and bits that
 #: a short text may cost more, falling with the root of its length.
 SLACK, SHORT_BITS = 2.0, 24.0
+#: Bounds are counted in so many steps a bit.
+STEPS = 1024
 
 
 def _learned_bounds(scores: DataFrame) -> list:
-    """(language, the cost a byte under which 99.9 % of its texts of 200 bytes or more lie), a row per language."""
-    rate = F.col("least") / F.col("n_bytes")
-    return scores.where("n_bytes >= 200 AND lang_pred IS NOT NULL").groupBy("lang_pred").agg(F.percentile_approx(rate, 0.999, 10_000).alias("bound")).collect()
+    """(language, bound), a row per language: the least step that 99.9 % of its texts of 200 bytes or more cost a byte at most.
+
+    Every text is counted; the steps of a language are few, whatever the number of its texts."""
+    step = F.ceil(F.col("least") / F.col("n_bytes") * STEPS)
+    counted = scores.where("n_bytes >= 200 AND lang_pred IS NOT NULL").groupBy("lang_pred", step.alias("step")).agg(F.count("*").alias("n"))
+    own = Window.partitionBy("lang_pred")
+    counted = counted.withColumns({"upto": F.sum("n").over(own.orderBy("step")), "all": F.sum("n").over(own)})
+    return counted.where("1000 * upto >= 999 * all").groupBy("lang_pred").agg((F.min("step") / STEPS).alias("bound")).collect()
 
 
 @tidied
-def _judged(batches: Iterator[pa.RecordBatch], sent, column: str, name: str, drop: bool) -> Iterator[pa.RecordBatch]:
+def _judged(batches: Iterator[pa.RecordBatch], sent, bounds: dict[str, float], column: str, name: str, drop: bool) -> Iterator[pa.RecordBatch]:
     """Rows whose text some language of the model codes within its bound: the others go, or are told apart by ``name``."""
-    model, bounds = sent.value
+    model: Model = sent.value
     most = np.array([bounds.get(x, 8.0) for x in model.languages])
     for batch in batches:
         data, offsets = W.utf8(batch.column(column))
@@ -237,30 +272,30 @@ def _judged(batches: Iterator[pa.RecordBatch], sent, column: str, name: str, dro
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *,
-                   order: int = ORDER, docs_per_language: int = DOCS_PER_LANGUAGE, languages: int = LANGUAGES) -> DataFrame:
+                   order: int = ORDER, languages: int = LANGUAGES, cells: int = CELLS) -> DataFrame:
     """The rows of ``docs``, with their columns, that are in one of the learned languages; judged and kept in one scan.
 
-    A text must have a letter, and some language must code it in no more bits a byte than its own texts of the sample
-    take (their 99.9 % bound, by ``SLACK`` and, for short texts, ``SHORT_BITS`` / root of the length more): random strings, code
-    and languages that weren't learned cost more. Null texts go; without any labelled text nothing can be judged, and all
-    texts with a letter stay.
+    A text must have a letter, and some language must code it in no more bits a byte than its own texts take (their
+    99.9 % bound, by ``SLACK`` and, for short texts, ``SHORT_BITS`` / root of the length more): random strings, code and
+    languages that weren't learned cost more. Models and bounds are learned from all labelled texts that aren't held
+    out, a row that repeats as often as it does. Null texts go; without any labelled text nothing can be judged, and
+    all texts with a letter stay. Many languages or grams are learned in parts; what stays doesn't depend on them.
     """
     prepare(spark)
-    sample = _Sample(docs, id_col, text_col, lang_col, docs_per_language)
+    labelled = _Labelled(docs, id_col, text_col, lang_col)
     name = "__letters"
     marked = docs.withColumn(name, F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False)))
-    if not sample.languages:
+    models = labelled.models(order, languages, cells)
+    if not models:
         return marked.where(name).drop(name)
-    out, parts = [], [sample.languages[at : at + languages] for at in range(0, len(sample.languages), languages)]
-    for part in parts:
-        model, nothing = sample.model(part, order), F.lit(0).cast("long")
-        texts = sample.texts(part).select(nothing.alias("doc_id"), nothing.alias("k1"), nothing.alias("k2"), "text", F.lit(True).alias("letters"))
-        bounds = _learned_bounds(texts.mapInArrow(partial(_scored, sent=spark.sparkContext.broadcast(model)), _SCORES))
-        sent = spark.sparkContext.broadcast((model, {r.lang_pred: r.bound for r in bounds}))
-        if part is parts[-1]:
-            out.append(marked.mapInArrow(partial(_judged, sent=sent, column=text_col, name=name, drop=True), docs.schema))
+    bounds = {r.lang_pred: r.bound for r in _learned_bounds(_scores(spark, rows.keyed(labelled.usable, "doc_id", "text").withColumn("letters", F.lit(True)), models))}
+    out = []
+    for sent in models:
+        judged = partial(_judged, sent=sent, bounds=bounds, column=text_col, name=name)
+        if sent is models[-1]:
+            out.append(marked.mapInArrow(partial(judged, drop=True), docs.schema))
         else:  # what these languages don't let through is put to the next ones
-            told = written(spark, marked.where(name).mapInArrow(partial(_judged, sent=sent, column=text_col, name=name, drop=False), marked.schema), "judged")
+            told = written(spark, marked.where(name).mapInArrow(partial(judged, drop=False), marked.schema), "judged")
             out.append(told.where(name).drop(name))
             marked = told.where(~F.col(name)).withColumn(name, F.lit(True))
     return reduce(DataFrame.unionByName, out)

@@ -134,6 +134,38 @@ def test_languages_kept_in_parts(spark):
     assert one == all_ and 10**6 not in one and len(one) > 250
 
 
+def test_languages_are_learned_from_all_labelled_texts(spark, monkeypatch):
+    """Models and bounds take every labelled text that isn't held out, in parts by grams too; bounds are counted, not estimated."""
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(rng.choice(["the", "ing", "and", "ough", "str", "ee"], rng.integers(60, 90))), ("en", "xx", None)[(i % 7 > 4) + (i % 9 > 7)]) for i in range(2600)]
+    rows += [(None, "held " * 60, "en"), (6, None, "en"), rows[1], rows[1]]
+    docs = frame(spark, rows, "doc_id long, text string, lang string").cache()
+    learned, start = language_id._learned_bounds, language_id.Model.__init__
+    texts, counts, bounds = [], [], []
+
+    def learn(scores):
+        found = [(r.lang_pred, r.least / r.n_bytes) for r in scores.collect()]
+        texts.append(len(found))
+        bounds.append((found, {r.lang_pred: r.bound for r in learned(scores)}))
+        return learned(scores)
+
+    def begin(self, languages, language, grams, n, order):
+        counts.append(int(n.sum()))
+        start(self, languages, language, grams, n, order)
+
+    monkeypatch.setattr(language_id, "_learned_bounds", learn)
+    monkeypatch.setattr(language_id.Model, "__init__", begin)
+    own = [t for d, t, lang in rows if lang and t and d is not None and crc(d) != 2]
+    kept = [sorted(r.doc_id for r in language_id.keep_languages(spark, docs, **more).where("doc_id IS NOT NULL").collect()) for more in ({}, {"cells": 1})]
+    docs.unpersist()
+    assert len(own) > 1500 and texts == [len(own)] * 2
+    assert counts[0] == sum(counts[1:]) == sum(len(t.encode()) for t in own) and len(counts) == 3
+    assert kept[0] == kept[1] and bounds[0][1] == bounds[1][1]
+    for lang, bound in bounds[0][1].items():
+        rates = sorted(x for name, x in bounds[0][0] if name == lang)
+        assert bound == np.ceil(rates[int(np.ceil(0.999 * len(rates))) - 1] * 1024) / 1024
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 16, 17, 1000, 4097])
 def test_feistel_is_a_permutation(n):
     p = sharding.FeistelPermutation(n)
