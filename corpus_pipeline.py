@@ -33,6 +33,8 @@ from tessera.llm.stage import dropped, matched, noted, small_batches, table, wri
 _KEYS = ["__k1", "__k2"]
 #: Batches between Spark and Python: five operators follow each other in the same executors and workers.
 BATCH_BYTES = "3m"
+#: Bytes of text that the last stage encodes at a time.
+BLOCK_BYTES = 1 << 20
 #: The tables of the stage called last, by application.
 _left: dict[str, list[str]] = {}
 
@@ -98,7 +100,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 @_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(spark, docs, public_tokenizers.path("word_bpe_49k.json"), decoded=True)
+    encoded = bpe.encode(spark, docs, public_tokenizers.path("word_bpe_49k.json"), decoded=True, block_bytes=BLOCK_BYTES)
     return bpe.digests(encoded)
 
 

@@ -39,6 +39,8 @@ _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
+#: Texts are encoded in blocks of so many bytes; a longer text is a block of its own.
+BLOCK_BYTES = 4 * W.BLOCK_BYTES
 #: Fragments up to so many symbols are scanned for the lowest rank; longer ones keep their pairs in a heap.
 _SHORT = 48
 
@@ -177,10 +179,10 @@ def _codec(text: str) -> ForcedBoundaryBPE:
 
 
 @tidied
-def _round_trip(batches: Iterator[pa.RecordBatch], sent, decoded: bool) -> Iterator[pa.RecordBatch]:
+def _round_trip(batches: Iterator[pa.RecordBatch], sent, decoded: bool, block_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     codec = _codec(sent.value)
     for batch in batches:
-        data, offsets, parts = C.text_ranges(batch.column("text"))
+        data, offsets, parts = C.text_ranges(batch.column("text"), block_bytes)
         for lo, hi in parts:
             own = offsets[lo : hi + 1]
             ids, at = codec.encode(data[own[0] : own[-1]], own - own[0])
@@ -210,17 +212,19 @@ def _vocabulary(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(file.read())
 
 
-def encode(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", *, decoded: bool = False) -> DataFrame:
+def encode(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", *, decoded: bool = False,
+           block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, k1, k2, ids[, decoded]) for every row of ``docs``.
 
     ids are the token ids of the whole text as little-endian unsigned 32-bit numbers, equal to those the tokenizers
     library gives without special tokens being added; strings of special tokens in the text are those tokens, as there.
     ``decoded`` adds the text decoded from the ids in the same pass. Null and empty texts have no ids (an empty value)
     and decode to an empty text. Rows stay as they are, repeated or with a null id; other columns play no part.
+    Smaller blocks take less memory in the tasks and somewhat more time.
     """
     prepare(spark)
     fields = "doc_id long, k1 long, k2 long, ids binary" + ", decoded string" * decoded
-    return keyed(docs, id_col, text_col).mapInArrow(partial(_round_trip, sent=_vocabulary(spark, path), decoded=decoded), fields)
+    return keyed(docs, id_col, text_col).mapInArrow(partial(_round_trip, sent=_vocabulary(spark, path), decoded=decoded, block_bytes=block_bytes), fields)
 
 
 def decode(spark: SparkSession, encoded: DataFrame, path: str) -> DataFrame:

@@ -4,6 +4,7 @@ import io
 import random
 import time
 import zipfile
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tessera.llm import bpe, token_files, warc
 from tessera.llm import chunks as C
 from tessera.llm.zip_reader import ZipRanges
@@ -177,3 +179,17 @@ def test_zip64_directory():
             z.writestr(str(i), b"%d" % i)
     archive = ZipRanges(raw, len(raw.getvalue()))
     assert len(archive.members) == 65_600 and archive.read("65599", 0, 5) == b"65599"
+
+
+def test_blocks_bound_what_is_encoded_at_a_time():
+    """Small blocks give the same ids and texts, in batches of no more text than a block or one row."""
+    texts = ["the quick brown fox " * (i % 40) for i in range(300)] + [None, "", "x" * 3000]
+    keys = pa.array([0] * len(texts), pa.int64())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), keys, keys, pa.array(texts)], ["doc_id", "k1", "k2", "text"])
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        sent = SimpleNamespace(value=file.read())
+    whole, small = (list(bpe._round_trip(iter([batch]), sent, True, **more)) for more in ({}, {"block_bytes": 1000}))
+    assert len(whole) == 1 and pa.Table.from_batches(small).combine_chunks() == pa.Table.from_batches(whole).combine_chunks()
+    size = dict(enumerate(len(t or "") for t in texts))
+    assert all(b.num_rows == 1 or sum(size[d] for d in b["doc_id"].to_pylist()) <= 1000 for b in small)
+    assert corpus_pipeline.BLOCK_BYTES < bpe.BLOCK_BYTES
