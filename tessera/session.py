@@ -39,6 +39,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # plans name every folder that a scan prunes to
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.driver.memory", "8g")
         # GB2312 text logs need the legacy JDK charset list.
         .config("spark.sql.legacy.javaCharsets", "true")
