@@ -2,18 +2,22 @@
 
 A token can't span two neighbouring bytes that no vocabulary token has side by
 side, so a word is cut there: the fragments are encoded on their own, by the
-merge ranks, and their ids concatenated. White space and the pre-tokenizer's
-word ends are boundaries anyway; distinct fragments are encoded once while they
-are remembered. Decoding is a lookup in the token table.
+merge ranks, and their ids concatenated. The fragments of many words are merged
+side by side as arrays, one merge of each a round. White space and the
+pre-tokenizer's word ends are boundaries anyway; distinct chunks, and distinct
+words in them, are encoded once while they are remembered. Decoding is a lookup
+in the token table.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,32 +45,36 @@ _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 #: Texts are encoded in blocks of so many bytes; a longer text is a block of its own.
 BLOCK_BYTES = 4 * W.BLOCK_BYTES
-#: Fragments up to so many symbols are scanned for the lowest rank; longer ones keep their pairs in a heap.
+#: Fragments up to so many symbols are merged side by side; longer ones keep their pairs in a heap.
 _SHORT = 48
+#: Chunks that are cut into words at a time, and symbols that are merged side by side (a longer word on its own).
+_CHUNKS, _SYMBOLS = 8192, 1 << 16
+#: Words of more symbols aren't remembered.
+_KEPT_SYMBOLS = 64
 
 
-def _merged_in_heap(parts: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
+def _merged_in_heap(parts: list[int], ranks: dict[int, int], results: list[int], size: int) -> list[int]:
     """The merged symbols of a long fragment in O(n log n): neighbours as a linked list, pairs in a heap by (rank, place)."""
     n = len(parts)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    heap = [(rank, i) for i in range(n - 1) if (rank := ranks.get((parts[i], parts[i + 1]))) is not None]
+    heap = [(rank, i) for i in range(n - 1) if (rank := ranks.get(parts[i] * size + parts[i + 1])) is not None]
     heapify(heap)
     while heap:
         rank, i = heappop(heap)
         j = after[i]
         # an entry is out of date if its left symbol is gone or the pair there is another by now
-        if not parts[i] or j >= n or ranks.get((parts[i], parts[j])) != rank:
+        if parts[i] < 0 or j >= n or ranks.get(parts[i] * size + parts[j]) != rank:
             continue
-        parts[i] += parts[j]
-        parts[j] = ""
+        parts[i] = results[rank]
+        parts[j] = -1
         k = after[i] = after[j]
         if k < n:
             before[k] = i
-            if (found := ranks.get((parts[i], parts[k]))) is not None:
+            if (found := ranks.get(parts[i] * size + parts[k])) is not None:
                 heappush(heap, (found, i))
-        if (h := before[i]) >= 0 and (found := ranks.get((parts[h], parts[i]))) is not None:
+        if (h := before[i]) >= 0 and (found := ranks.get(parts[h] * size + parts[i])) is not None:
             heappush(heap, (found, h))
-    return [p for p in parts if p]
+    return [p for p in parts if p >= 0]
 
 
 class ForcedBoundaryBPE:
@@ -85,8 +93,19 @@ class ForcedBoundaryBPE:
         self.byte_of = {c: b for b, c in enumerate(self.symbols)}
         vocabulary = model["vocab"]
         self.ids = vocabulary
-        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        self.ranks = {(a, b): i for i, (a, b) in enumerate(pairs)}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.size = max(vocabulary.values()) + 1
+        #: The rank of a pair of ids a, b under a * size + b, and the id that the pair of a rank becomes.
+        self.ranks = {vocabulary[a] * self.size + vocabulary[b]: i for i, (a, b) in enumerate(pairs)}
+        self.results = [vocabulary[a + b] for a, b in pairs]
+        # the same as arrays, by key and by rank
+        self.pairs = np.sort(np.fromiter(self.ranks, np.int64, len(self.ranks)))
+        self.pair_ranks = np.array([self.ranks[x] for x in self.pairs.tolist()], np.int64)
+        self.result_ids = np.array(self.results, np.int64)
+        #: Ids of single bytes, inside a word and as its end (-1: none).
+        self.inner_ids, self.end_ids = (np.array([vocabulary.get(c + end, -1) for c in self.symbols], np.int64) for end in ("", self.suffix))
+        self.byte_at = np.zeros(max(map(ord, self.symbols)) + 1, np.uint8)
+        self.byte_at[list(map(ord, self.symbols))] = np.arange(256)
         self.special = {t["content"]: t["id"] for t in config["added_tokens"]}
         self.special_parts = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         inside = np.zeros((256, 256), bool)
@@ -95,6 +114,7 @@ class ForcedBoundaryBPE:
             raw = [self.byte_of[c] for c in own if c in self.byte_of]
             inside[raw[:-1], raw[1:]] = True
         #: Pairs of byte symbols that some token has side by side; between all others a cut is certain.
+        self.together = inside
         self.inside = {self.symbols[a] + self.symbols[b] for a, b in np.argwhere(inside)}
         table = dict(self.special)
         table.update(vocabulary)
@@ -104,34 +124,86 @@ class ForcedBoundaryBPE:
         #: Token strings by id, each with the blank that decoding puts between tokens.
         self.strings = pa.array(strings, pa.large_binary())
         self.known = C.Remembered(60_000)
-
-    def merged(self, fragment: str, last: bool) -> list[int]:
-        """Ids of a fragment by merge ranks: the lowest rank first, the leftmost of equals."""
-        parts = list(fragment)
-        if last:
-            parts[-1] += self.suffix
-        ranks = self.ranks
-        if len(parts) > _SHORT:
-            return [self.ids[p] for p in _merged_in_heap(parts, ranks)]
-        while len(parts) > 1:
-            best, at = None, 0
-            for i in range(len(parts) - 1):
-                rank = ranks.get((parts[i], parts[i + 1]))
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ids[p] for p in parts]
+        self.known_words = C.Remembered(60_000)
+
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of ids; the number of ranks for pairs that don't merge."""
+        key = left * self.size + right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.pair_ranks[at], len(self.results))
+
+    def merged(self, ids: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Merge the fragments of ``ids`` that begin at ``places`` (and end at the next) in place, by rank: the lowest
+        first, the leftmost of equals. Returns which places hold an id then."""
+        stay = np.ones(len(ids), bool)
+        size = np.diff(places)
+        for f in np.flatnonzero(size > _SHORT).tolist():
+            a, b = int(places[f]), int(places[f + 1])
+            out = _merged_in_heap(ids[a:b].tolist(), self.ranks, self.results, self.size)
+            ids[a : a + len(out)] = out
+            stay[a + len(out) : b] = False
+        short = (size > 1) & (size <= _SHORT)
+        at = np.flatnonzero(np.repeat(short, size))
+        if not len(at) or not self.results:
+            return stay
+        # what is left of the fragments that still merge: sizes, places, ids, ends, rank of each pair with the next
+        size, value = size[short], ids[at]
+        ends = np.zeros(len(at), bool)
+        ends[np.cumsum(size) - 1] = True
+        rank = np.full(len(at), len(self.results))
+        inner = np.flatnonzero(~ends)
+        rank[inner] = self._ranks_of(value[inner], value[inner + 1])
+        while len(at):
+            best = np.minimum.reduceat(rank << 32 | np.arange(len(at)), np.cumsum(size) - size)
+            merging = best >> 32 < len(self.results)
+            best = best[merging]
+            i = best & 0xFFFFFFFF
+            value[i] = self.result_ids[best >> 32]
+            ends[i] = ends[i + 1]
+            keep = np.repeat(merging, size)
+            done = np.flatnonzero(~keep)
+            ids[at[done]] = value[done]
+            keep[i + 1] = False
+            stay[at[i + 1]] = False
+            size = size[merging] - 1
+            i = (np.cumsum(keep) - 1)[i]
+            at, value, ends, rank = at[keep], value[keep], ends[keep], rank[keep]
+            rank[i] = len(self.results)
+            again = i[~ends[i]]
+            before = i[i > 0] - 1
+            again = np.concatenate([again, before[~ends[before]]])
+            rank[again] = self._ranks_of(value[again], value[again + 1])
+        return stay
+
+    def _cuts(self, data: np.ndarray) -> np.ndarray:
+        """Before which bytes a cut is certain."""
+        cut = np.zeros(len(data), bool)
+        cut[1:] = ~self.together[data[:-1], data[1:]]
+        return cut
+
+    def _bytes_of(self, words: list[str]) -> np.ndarray:
+        return self.byte_at[np.frombuffer("".join(words).encode("utf-32-le"), "<u4")]
 
     def fragments_of(self, word: str) -> list[str]:
         """The word (byte symbols) cut at every certain boundary."""
-        inside, out, begin = self.inside, [], 0
-        for i in range(1, len(word)):
-            if word[i - 1 : i + 1] not in inside:
-                out.append(word[begin:i])
-                begin = i
-        out.append(word[begin:])
+        places = [0, *np.flatnonzero(self._cuts(self._bytes_of([word]))).tolist(), len(word)]
+        return [word[a:b] for a, b in zip(places, places[1:])]
+
+    def words_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word (byte symbols), as little-endian unsigned 32-bit numbers."""
+        out: list[bytes] = []
+        ends = np.cumsum([0, *map(len, words)])
+        for lo, hi in W.ranges(ends, _SYMBOLS):
+            data, end = self._bytes_of(words[lo:hi]), ends[lo + 1 : hi + 1] - ends[lo]
+            ids, cut = self.inner_ids[data], self._cuts(data)
+            ids[end - 1] = self.end_ids[data[end - 1]]
+            if ids.min() < 0:
+                raise KeyError("a byte that the vocabulary doesn't have")
+            cut[0] = cut[end[:-1]] = True
+            stay = self.merged(ids, np.append(np.flatnonzero(cut), len(data)))
+            raw = ids[stay].astype("<u4").tobytes()
+            at = [0, *(np.cumsum(stay)[end - 1] * 4).tolist()]
+            out += [raw[a:b] for a, b in zip(at, at[1:])]
         return out
 
     def words_of(self, text: str) -> list[str]:
@@ -140,26 +212,34 @@ class ForcedBoundaryBPE:
             return found if text.isprintable() else ["".join(self.symbols[b] for b in w.encode()) for w in found]
         return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))]
 
-    def chunk_ids(self, chunk: bytes) -> bytes:
-        """Ids of a run of characters without blanks inside, as little-endian unsigned 32-bit numbers."""
-        text, ids, at = chunk.decode(), [], 0
-        specials = [(m.start(), m.end()) for m in self.special_parts.finditer(text)] if "<" in text else []
-        for begin, end in [*specials, (len(text), len(text))]:
-            for word in self.words_of(text[at:begin].strip("\t\n\v\f\r ")):
-                cut = self.fragments_of(word)
-                for fragment in cut[:-1]:
-                    ids += self.merged(fragment, False)
-                ids += self.merged(cut[-1], True)
-            if end > begin:
-                ids.append(self.special[text[begin:end]])
-            at = end
-        return np.array(ids, "<u4").tobytes()
+    def words_in(self, chunk: bytes) -> list[str | int]:
+        """The words of a run of characters without blanks inside; special tokens in it as their ids."""
+        text = chunk.decode()
+        if "<" not in text:
+            return self.words_of(text.strip("\t\n\v\f\r "))
+        found, at = [], 0
+        for m in self.special_parts.finditer(text):
+            found += [*self.words_of(text[at : m.start()].strip("\t\n\v\f\r ")), self.special[m[0]]]
+            at = m.end()
+        return found + self.words_of(text[at:].strip("\t\n\v\f\r "))
+
+    def chunks_ids(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of each chunk, as little-endian unsigned 32-bit numbers."""
+        out: list[bytes] = []
+        special = {i: struct.pack("<I", i) for i in self.special.values()}
+        for lo in range(0, len(chunks), _CHUNKS):
+            cut = [self.words_in(c) for c in chunks[lo : lo + _CHUNKS]]
+            own = [w for w in dict.fromkeys(chain.from_iterable(cut)) if w not in special]
+            kept, long = [w for w in own if len(w) <= _KEPT_SYMBOLS], [w for w in own if len(w) > _KEPT_SYMBOLS]
+            ids = special | dict(zip(kept + long, self.known_words.all(kept, self.words_ids) + self.words_ids(long), strict=True))
+            out += [b"".join([ids[w] for w in words]) for words in cut]
+        return out
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, where each row's begin) of rows of text."""
         starts, _ = W.word_spans(data, offsets, W.EXACT_WORDS.inside)
         numbers, chunks = C.distinct(data, np.append(starts, len(data)) if len(starts) else starts)
-        raw, at = C.rejoined(self.known.all(chunks, lambda x: [self.chunk_ids(c) for c in x]), numbers, np.searchsorted(starts, offsets))
+        raw, at = C.rejoined(self.known.all(chunks, self.chunks_ids), numbers, np.searchsorted(starts, offsets))
         return raw.view("<u4"), at // 4
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -53,6 +53,42 @@ def test_forced_boundaries():
     assert not any(a + b in t for t in inner)
 
 
+def test_a_word_is_merged_once_in_all_its_surroundings():
+    """Chunks that differ in blanks, case and signs share their words: few calls of the merging, for many words at a time."""
+    with open(WORD, encoding="utf-8") as file:
+        text = file.read()
+    codec, library, rng = bpe.ForcedBoundaryBPE(text), Tokenizer.from_file(WORD), random.Random(5)
+    own = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(1, 60))) + rng.choice(["", "", "é", "ñan", "日本"]) for _ in range(300)]
+    texts = [" ".join(around.format(w) for w in own) for around in ("{}", "{},", "({})", "{}\n", "{}...", "«{}»", "{0}<|endoftext|>{0}")]
+    texts += [" ".join(own).upper(), " ".join(own).title()]
+    merged, calls, symbols = codec.merged, [], 0
+
+    def counted(ids, *more):
+        nonlocal symbols
+        calls.append(len(ids))
+        symbols += len(ids)
+        return merged(ids, *more)
+
+    codec.merged = counted
+    for t in texts:
+        data, offsets, _ = C.text_ranges(pa.array([t]))
+        assert codec.encode(data, offsets)[0].tolist() == library.encode(t, add_special_tokens=False).ids
+    assert len(calls) < 100 and symbols < 1.1 * sum(len(w.encode()) for w in own)
+
+
+def test_more_words_than_are_remembered():
+    """Forgotten words, words beyond the remembered size and groups of few symbols give the same ids."""
+    with open(WORD, encoding="utf-8") as file:
+        codec = bpe.ForcedBoundaryBPE(file.read())
+    codec.known, codec.known_words = C.Remembered(5), C.Remembered(5)
+    library, rng = Tokenizer.from_file(WORD), random.Random(6)
+    own = ["".join(rng.choice("theaninor") for _ in range(rng.choice([1, 2, 3, 47, 48, 49, 63, 64, 65, 200]))) for _ in range(120)]
+    for _ in range(20):
+        t = " ".join(rng.choice(own) + rng.choice(["", "!", "é", "'s", "7"]) for _ in range(60))
+        data, offsets, _ = C.text_ranges(pa.array([t]))
+        assert codec.encode(data, offsets)[0].tolist() == library.encode(t, add_special_tokens=False).ids
+
+
 def long_words():
     """Runs of letters without a blank: one letter, a few, all kinds, up to a million."""
     rng = random.Random(7)
